@@ -49,7 +49,7 @@ _PURE_CYR = re.compile("[" + "".join(c for c in map(chr, range(0x400, 0x500)) if
 _PURE_LAT = re.compile("[" + "".join(c for c in map(chr, [*range(65, 91), *range(97, 123)]) if c not in LAT_TO_CYR) + "]")
 _TO_CYR = {ord(l): ord(c) for l, c in LAT_TO_CYR.items()}
 _TO_LAT = {ord(c): ord(l) for c, l in CYR_TO_LAT.items()}
-_MIXED = re.compile(r"(?=\S*[A-Za-z])(?=\S*[Ѐ-ӿ])\S+")
+_MIXED = re.compile(r"[A-Za-z][Ѐ-ӿ]|[Ѐ-ӿ][A-Za-z]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -65,10 +65,19 @@ def one_script(token: str, cyrillic: bool = True) -> str:
     return token.translate(_TO_CYR if cyrillic else _TO_LAT)
 
 
+_PLAIN_OF = {chr(k): "" if v is None else chr(v) for k, v in PLAIN.items()}
+
+
+def plain_text(text: str) -> str:
+    """Ordinary width, ordinary blanks, composed accents, nothing invisible. Alphabets stay."""
+    if ODD.search(text):
+        text = unicodedata.normalize("NFC", ODD.sub(lambda m: _PLAIN_OF.get(m[0], m[0]), text))
+    return text
+
+
 def readable(text: str) -> str:
     """Plain forms, composed accents, and one alphabet in every run of letters that mixes two."""
-    if ODD.search(text):
-        text = unicodedata.normalize("NFC", text.translate(PLAIN))
+    text = plain_text(text)
     if _MIXED.search(text):
         text = _LETTERS.sub(lambda m: one_script(m[0], len(_CYR.findall(m[0])) >= len(_LAT.findall(m[0]))) if _CYR.search(m[0]) and _LAT.search(m[0]) else m[0], text)
     return text

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import Memo, map_rows
-from .chars import CYR_TO_LAT, ODD, PLAIN, SKELETON, _PURE_CYR, _PURE_LAT, _TO_CYR
+from .chars import CYR_TO_LAT, PLAIN, SKELETON, _PURE_CYR, _PURE_LAT, _TO_CYR, plain_text
 
 TOKEN = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
 TWIN = {**CYR_TO_LAT, **{l: c for c, l in CYR_TO_LAT.items()}}
@@ -72,10 +72,8 @@ class Canonical:
         self.words = Memo(lambda w: auto.spell(w) or by_table(w))
 
     def __call__(self, text: str) -> str:
-        if ODD.search(text):
-            text = unicodedata.normalize("NFC", text.translate(PLAIN))
         words = self.words
-        return TOKEN.sub(lambda m: words[m[0]], text)
+        return TOKEN.sub(lambda m: words[m[0]], plain_text(text))
 
 
 def vocabulary(common: DataFrame, samples: DataFrame) -> list[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, encode, lookalike, split
+from . import boilerplate, encode, leaks, lookalike, mojibake, residue, split
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -21,6 +21,14 @@ def p2_clean(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.without_lines(raw, boilerplate.repeated_lines(raw)).select("row_id", "clean_text")
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.garbled_rows(_t(spark, d, "parsed_guidelines_raw"), mojibake.sample_texts(_t(spark, d, "language_samples")))
+
+
+def p3_text(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.repair(_t(spark, d, "parsed_guidelines_raw"), mojibake.sample_texts(_t(spark, d, "language_samples")))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     vocab = lookalike.vocabulary(_t(spark, d, "common_words"), _t(spark, d, "language_samples"))
     return lookalike.same_looking_pairs(_t(spark, d, "parsed_guidelines_raw"), vocab)
@@ -43,6 +51,27 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode(_t(spark, d, "documents"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.find_leaks(_t(spark, d, "documents"), _t(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
+def p9_passages(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.find_leaks(_t(spark, d, "documents"), _t(spark, d, "eval_items"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.residue_rows(_t(spark, d, "documents"))
+
+
+def p10_messages(spark: SparkSession, d: str) -> DataFrame:
+    return residue.messages(residue.candidates(_t(spark, d, "documents"))).select("message", "sources", "verdict")
+
+
+def p10_kept(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents")
+    return docs.join(residue.residue_rows(docs), "doc_id", "left_anti").select("doc_id", "source", "text")
+
+
 _P2_HITS = """
 lines AS (
   SELECT row_id, variant_id, specialty, unnest(string_split(raw_text, chr(10))) AS line,
