@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import Memo, map_rows
+from .arrow import Memo, durable, map_rows
 from .chars import CYR_TO_LAT, PLAIN, SKELETON, _PURE_CYR, _PURE_LAT, _TO_CYR, plain_text
 
 TOKEN = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
@@ -111,7 +111,7 @@ def same_looking_pairs(df: DataFrame, vocab: list[str], row_col: str = "row_id",
 
     Digests are grouped with partial aggregation; only looks stored in two ways or more reach the join on equal looks.
     """
-    rows = consistent(df, vocab, row_col, text_col, hashes=True)
+    rows = durable(consistent(df, vocab, row_col, text_col, hashes=True))
     several = rows.groupBy("look").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).filter("lo <> hi").select("look")
     kept = rows.join(several, "look", "left_semi")
     a, b = kept.alias("a"), kept.alias("b")

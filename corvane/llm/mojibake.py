@@ -37,6 +37,9 @@ ORIGINAL = ("cp1251", "koi8-r", "cp866", "mac-cyrillic", "iso8859-5", "cp1252")
 ASCII = re.compile(r"[\x20-\x7e]*\Z")
 STEP = 3.0  # nats for every decoding step
 LOST = "�"
+#: A Cyrillic word in the usual case: no pair of the charsets above makes one out of another such word.
+SIMPLE = re.compile(r"[«“(\[]*[А-ЯЁЎҚҒҲ]?[а-яёўқғҳ]{2,}(?:-[а-яёўқғҳ]+)*[»”)\]]*\Z")
+SPLIT = re.compile(r"[\n\t .,;:()]+").split
 HIDDEN = re.compile("[\xa0\xad]")
 #: Signs that a restored word may have.
 FAMILIAR = re.compile(r"[\x20-\x7eА-Яа-яЁёЎўҚқҒғҲҳ«»“”‘’–—№°±…\u00a0-\u00ff€•″′≤≥×™\ufffd\U0001d400-\U0001d7ff]*\Z")
@@ -195,9 +198,11 @@ class Repair:
     def judge(self, word: str) -> tuple[float, str, tuple[str, ...]] | None:
         """(gain, restored, steps) of a word that decoding makes clearly more plausible; (0, word, ()) where characters were
         lost and no step helps; None otherwise."""
-        if ASCII.match(word):
+        if ASCII.match(word) or SIMPLE.match(word):
             return None
         look = plain(word)
+        if look != word and not HIDDEN.search(word) and not CONTROL.search(word) and ORDINARY.match(look):
+            return self.words[look]  # variants that look the same share one verdict
         own = self.cost(look)
         usual = ORDINARY.match(look)
         if usual and own < self.floor * (len(look) + 1) and not DOUBT.search(look):
@@ -230,7 +235,7 @@ class Repair:
     def bad(self, text: str) -> dict[str, tuple[float, str, tuple[str, ...]]]:
         """The garbled words of a text."""
         words = self.words
-        return {w: r for w in set(text.replace("\n", " ").replace("\t", " ").split(" ")) if (r := words[w]) is not None}
+        return {w: r for w in dict.fromkeys(SPLIT(text)) if (r := words[w]) is not None}
 
     def garbled(self, text: str | None, least: float = 12.0) -> bool:
         if not text or text.isascii():
@@ -238,7 +243,7 @@ class Repair:
         if LOST in text:
             return True
         total, odd = 0.0, False
-        for w in dict.fromkeys(text.replace("\n", " ").replace("\t", " ").split(" ")):
+        for w in dict.fromkeys(SPLIT(text)):
             if (r := self.words[w]) is not None:
                 total += r[0]
                 odd = odd or not ORDINARY.match(w)
@@ -256,7 +261,7 @@ class Repair:
         chains.pop((), None)
         lines = []
         for line in text.split("\n"):
-            words = re.split(r"([ \t]+)", line)
+            words = re.split(r"([\t .,;:()]+)", line)
             hit = [w in bad for w in words]
             if any(hit):
                 top = [c for c, _ in chains.most_common(3)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, encode, leaks, lookalike, mojibake, residue, split
+from . import boilerplate, encode, language, leaks, lookalike, mojibake, quality, residue, split
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -39,6 +39,24 @@ def p4_text(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.consistent(_t(spark, d, "parsed_guidelines_raw"), vocab)
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.mislabelled(_t(spark, d, "parsed_guidelines_raw"), _t(spark, d, "language_samples"))
+
+
+def p5_segments(spark: SparkSession, d: str) -> DataFrame:
+    return language.identify(_t(spark, d, "parsed_guidelines_raw"), _t(spark, d, "language_samples"))
+
+
+def p6_statistics(spark: SparkSession, d: str) -> DataFrame:
+    raw = _t(spark, d, "parsed_guidelines_raw").select("row_id", "variant_id", "specialty", "raw_text")
+    clean = boilerplate.without_lines(raw, boilerplate.repeated_lines(raw))
+    return quality.statistics(clean, _t(spark, d, "language_samples"), _t(spark, d, "common_words"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_statistics(spark, d).filter("kind in ('list', 'table', 'junk')").select("row_id", "kind")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return split.split_oversized(_t(spark, d, "parsed_guidelines_raw"), _t(spark, d, "split_limits")).filter("piece_no = 1").select("row_id")
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import map_rows
+from .arrow import durable, map_rows
 from .chars import readable
 from .leaks import TO_LATIN
 
@@ -185,6 +185,6 @@ def messages(found: DataFrame, min_sources: int = 3) -> DataFrame:
 
 def residue_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", min_sources: int = 3) -> DataFrame:
     """(doc_id) of the documents with residue. Only candidate sentences are shuffled."""
-    found = candidates(docs, id_col, text_col, source_col)
+    found = durable(candidates(docs, id_col, text_col, source_col))
     hits = found.join(messages(found, min_sources).select("mhash"), "mhash", "left_semi").select("doc_id")
     return found.filter("mhash is null").select("doc_id").union(hits).distinct()
