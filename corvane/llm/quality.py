@@ -68,11 +68,11 @@ def line_type(line: str) -> str:
     if letters < 0.35 * solid and solid > 12:
         return "table" if (pipes > 1 or tabs) and letters else "junk"
     longest = max(map(len, s.split()))
-    if longest > 30 and letters < 0.98 * solid and sum(map(str.isdigit, s)) > 2 and len(words) <= 0.2 * solid and " " not in s:
-        return "junk"
+    if longest > 30 and " " not in s and sum("A" <= c <= "Z" for c in s) > 0.2 * solid and sum(map(str.isdigit, s)) > 2:
+        return "junk"  # encoded bytes; running text that lost its blanks has few capitals
     if BULLET.match(line) and not (len(words) >= 9 and ENDS.search(s)):
         return "entry"
-    if len(words) >= 6 and ENDS.search(s) or len(words) >= 16:
+    if ENDS.search(s) and (len(words) >= 6 or longest > 40) or len(words) >= 16:
         return "prose"
     return "entry"
 

@@ -5,13 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, encode, language, leaks, lookalike, mojibake, quality, residue, split
+from . import boilerplate, encode, language, leaks, lookalike, mojibake, quality, residue, scanned, split
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "parsed_docling")
+    return scanned.repair(docs, scanned.fit(docs), repaired=False).select("row_id", "line_no", "defect")
+
+
+def p1_text(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "parsed_docling")
+    return scanned.repair(docs, scanned.fit(docs)).filter("defect is null").select("row_id", "text")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.repeated_lines(_t(spark, d, "parsed_guidelines_raw")).select("row_id", "line_no")
 
