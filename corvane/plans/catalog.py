@@ -1,6 +1,354 @@
-def queries() -> dict:
-    return {}
+"""Queries over the project's tables, one for each operator or group of operators. Each runs over whole tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import Settings
+from ..functions import boxes as B
+from ..functions import paths as P
+from ..functions import tables as T
+from ..functions import text as X
+from ..operators import blocks, extraction, merging, queueing, registry, validation
+from .oracle import oracle_sql  # noqa: F401 - part of the contract
+
+CFG = Settings()
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def listing(spark: SparkSession, d: str) -> DataFrame:
+    """The registry's paths as a file listing; a sixteenth each as lock files, other formats and reviews, by digest."""
+    src = table(spark, d, "registry").groupBy(F.col("source_path").alias("p")).agg(F.max("size_kb").alias("kb"))
+    name = P.name(F.col("p"))
+    folder = F.substring("p", F.lit(1), F.length("p") - F.length(name))
+    h = F.substring(F.md5(F.col("p").cast("binary")), 1, 1)
+    path = F.when(h == "0", F.concat(folder, F.lit("~$"), name)).when(h == "1", F.concat("p", F.lit(".txt"))).when(h == "2", F.concat(folder, F.lit("рецензия "), name)).otherwise(F.col("p"))
+    return src.select(path.alias("path"), F.floor(F.coalesce("kb", F.lit(0.0)) * 1024).cast("bigint").alias("length"))
+
+
+def _inventory(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    supported, skipped = registry.scan(listing(spark, d))
+    inv, reviews = registry.inventory(supported, CFG)
+    return inv, reviews, skipped
+
+
+def _selection(spark: SparkSession, d: str) -> DataFrame:
+    return registry.select_variants(_inventory(spark, d)[0])
+
+
+def path_features(spark, d):
+    p = F.col("path")
+    parts = P.relative_parts(p, CFG)
+    return listing(spark, d).select(
+        "path", P.name(p).alias("filename"), P.extension(p).alias("extension"), P.stem(p).alias("stem"), P.specialty(parts).alias("specialty"), P.disease_path(parts, P.stem(p)).alias("disease_path"), P.doc_type(p).alias("doc_type"),
+        P.language_hint(p).alias("language_hint"), P.is_review(p).alias("is_review"), P.file_key(P.stem(p)).alias("file_key"), X.stable_id(p, "var").alias("variant_id"), P.is_supported(p).alias("is_supported"),
+    )
+
+
+def inventory_ids(spark, d):
+    return _inventory(spark, d)[0].select("inventory_id", "variant_id", "source_path", "disease_class_id", "clinical_doc_group_id", "priority", "size_kb")
+
+
+def select_variants(spark, d):
+    return _selection(spark, d).select("variant_id", "disease_class_id", "doc_type", "language_hint", "source_extension", "source_path", "selected", "selection_reason")
+
+
+def selected_order(spark, d):
+    """The selected rows in their order, with their place."""
+    rows = registry.selected(_selection(spark, d))
+    return registry.numbered(rows, F.struct(*registry.SELECTED_ORDER)).select("ordinal", "variant_id")
+
+
+def pdf_backfill(spark, d):
+    return registry.backfill(_selection(spark, d)).select("variant_id", "source_path", "selection_reason")
+
+
+def rejected_duplicates(spark, d):
+    return registry.rejected(_selection(spark, d)).select("variant_id", "source_path", "selection_reason")
+
+
+def skipped_files(spark, d):
+    _, reviews, skipped = _inventory(spark, d)
+    return skipped.unionByName(reviews).select("path", "extension", "skip_reason")
+
+
+def registry_grouped(spark, d):
+    groups = registry.grouped(registry.selected(_selection(spark, d)))
+    return groups.select("disease_class_id", "doc_type", "specialty", "disease_path", F.array_join("available_languages", ",").alias("languages"), F.explode("variants").alias("language", "rows")).select(
+        "disease_class_id", "doc_type", "specialty", "disease_path", "languages", "language", F.array_join(F.transform("rows", lambda r: r["variant_id"]), ",").alias("variant_ids")
+    )
+
+
+def fallback_plan(spark, d):
+    return registry.fallback_plan(registry.grouped(registry.selected(_selection(spark, d))))
+
+
+def registry_counters(spark, d):
+    return registry.counters(_selection(spark, d).withColumn("reason_kind", F.regexp_replace("selection_reason", "^duplicate_of_.*", "duplicate")), "language_hint", "source_format", "doc_type", "specialty", "reason_kind")
+
+
+def registry_summary(spark, d):
+    return registry.summary(_selection(spark, d))
+
+
+def _queue(spark, d):
+    rows = table(spark, d, "registry")
+    files = rows.select(F.col("source_path").alias("path")).filter(F.substring(F.md5(F.col("source_path").cast("binary")), 1, 1) != "f")
+    return queueing.build_queue(rows, files, CFG)
+
+
+def ocr_queue(spark, d):
+    return queueing.ordered(_queue(spark, d)[0]).select("queue_id", "variant_id", "ocr_reason", "ocr_input_path", "original_source_format")
+
+
+def queue_failures(spark, d):
+    return _queue(spark, d)[1].groupBy("variant_id", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def queue_only_backfill(spark, d):
+    return queueing.by_reason(_queue(spark, d)[0], "backfill").select("queue_id", "variant_id")
+
+
+def resume_antijoin(spark, d):
+    """Queue rows that neither results table has an output for."""
+    done = table(spark, d, "parsed_docling").select("variant_id").union(table(spark, d, "parsed_guidelines_raw").select("variant_id"))
+    return queueing.not_done(_queue(spark, d)[0], done).select("queue_id", "variant_id")
+
+
+def queue_top(spark, d):
+    """The first hundred rows of the queue after ten, as a limited run takes them."""
+    q = _queue(spark, d)[0].filter("source_path is not null")
+    return q.orderBy("source_path", "ocr_reason").offset(10).limit(100).select("variant_id", "ocr_reason")
+
+
+def _raw(spark, d):
+    return table(spark, d, "parsed_guidelines_raw")
+
+
+def clean_text_hash(spark, d):
+    t = X.clean(F.col("raw_text"))
+    return _raw(spark, d).select("row_id", F.length(t).alias("n"), F.md5(t.cast("binary")).alias("clean_md5"), X.text_hash(F.col("raw_text")).alias("text_hash"))
+
+
+def language_detect(spark, d):
+    return _raw(spark, d).select("row_id", X.language_by_markers(F.col("raw_text")).alias("language"))
+
+
+def quality_flags(spark, d):
+    t = X.clean(F.col("raw_text"))
+    return _raw(spark, d).select("row_id", F.array_join(X.quality_flags(t, X.language_by_markers(F.col("raw_text"))), ",").alias("flags"))
+
+
+def icd_codes(spark, d):
+    return _raw(spark, d).select("row_id", F.array_join(X.codes(X.clean(F.col("raw_text"))), ",").alias("codes"), X.has_code_marker(F.col("raw_text")).alias("has_marker"))
+
+
+def char_counts(spark, d):
+    t = X.clean(F.col("raw_text"))
+    return _raw(spark, d).select("row_id", F.length(t).alias("n"), *(X.count_of(t, p).cast("int").alias(n.replace("ratio", "count")) for n, p in X.RATIOS.items()))
+
+
+def char_ratios(spark, d):
+    t = X.clean(F.col("raw_text"))
+    return _raw(spark, d).select("row_id", *(X.ratio(t, p).alias(n) for n, p in X.RATIOS.items()))
+
+
+def bad_patterns(spark, d):
+    return _raw(spark, d).select("row_id", (X.bad_patterns(X.clean(F.col("raw_text"))) > 0).alias("has_bad"))
+
+
+def table_quality(spark, d):
+    """Tables as runs of bar lines of the texts: one for each record that has a bar."""
+    md = F.array_join(F.filter(F.split(X.missing_as_empty(F.col("raw_text")), "\n"), lambda x: x.contains("|")), "\n")
+    return _raw(spark, d).filter(F.col("raw_text").contains("|")).select("row_id", F.array_join(T.table_reasons(md), ",").alias("reasons"))
+
+
+def visual_types(spark, d):
+    m = table(spark, d, "visual_manifest")
+    return m.select("asset_id", T.visual_type(F.col("suggested_type"), F.concat_ws(" ", "caption", "before_text", "after_text")).alias("kind")).distinct()
+
 
+def _items(spark, d):
+    """Layout items made of the lines of the texts, by place: pictures, tables and texts on pages of five lines."""
+    docs = table(spark, d, "parsed_docling").groupBy("variant_id").agg(F.max(F.struct("row_id", "raw_text")).alias("m")).select("variant_id", F.col("m.raw_text").alias("raw_text"))
+    i = F.col("i")
+    rows = docs.filter("raw_text is not null").select("variant_id", F.posexplode(F.split("raw_text", "\n", -1)).alias("i", "line"))
+    page = F.floor(i / 5).cast("int") + 1
+    batch = F.floor((page - 1) / 8).cast("int") + 1
+    kind = F.when(i % 6 == 0, "picture").when(i % 6 == 1, "table").otherwise("text")
+    md = F.when(i % 6 != 1, "").when(i % 5 == 0, "| a | b |\n|---|---|\n| 1 | 2 |\n| 3 | 4 |").when(i % 5 == 1, "| a | b |\n| 1 | 2 | 3 |\n| 4 | 5 | 6 | 7 |").when(i % 5 == 2, "| only one column |\n| still only one |").when(i % 5 == 3, "| a single row of a table |").otherwise("| a |")
+    left, top = (i % 4 * 64).cast("double"), (1024 - (i * 3 % 5) * 128).cast("double")
+    label = F.when(kind == "picture", F.when(i % 4 == 0, "chart").when(i % 4 == 2, "Схема").otherwise("picture")).when(i % 7 == 2, "caption").otherwise(kind)
+    return rows.select(
+        "variant_id", batch.alias("batch_no"), ((batch - 1) * 8 + 1).alias("batch_start_page"), kind.alias("kind"), i.alias("item_seq"), label.alias("label"), F.when(kind == "text", F.col("line")).otherwise("").alias("text"), md.alias("markdown"),
+        (page - (batch - 1) * 8).alias("local_page"), left.alias("l"), top.alias("t"), F.when(i % 17 == 3, left).otherwise(left + 64).alias("r"), (top - 64).alias("b"),
+    )
 
-def oracle_sql() -> dict:
-    return {}
+
+def _pages(spark, d):
+    """One row a page, with sizes that divide into exact binary fractions."""
+    once = blocks.one_measure(table(spark, d, "page_info"))
+    return once.withColumns({"width_pts": F.lit(512.0), "height_pts": F.lit(1024.0)})
+
+
+def _blocks(spark, d):
+    return blocks.assemble_blocks(_items(spark, d), _pages(spark, d))
+
+
+def page_measures(spark, d):
+    return blocks.one_measure(table(spark, d, "page_info")).select("variant_id", "page", "width_pts", "height_pts")
+
+
+def document_class(spark, d):
+    once = blocks.one_measure(table(spark, d, "page_info"))
+    return blocks.document_class(once).select("variant_id", "pages", "scanned_pages", "document_class")
+
+
+def block_order(spark, d):
+    return blocks.in_reading_order(blocks.located(_items(spark, d), _pages(spark, d))).select("variant_id", "batch_no", "page", "order", "type", F.col("bbox.x0").alias("x0"), F.col("bbox.y0").alias("y0"), F.array_join("reasons", ",").alias("reasons"))
+
+
+def page_fallback(spark, d):
+    b = _blocks(spark, d)
+    return b.filter("fallback").select("variant_id", "page", "block_id", "type", "label")
+
+
+def neighbor_context(spark, d):
+    return blocks.with_context(_blocks(spark, d)).select("variant_id", "block_id", F.md5(F.col("before_text").cast("binary")).alias("before_md5"), F.md5(F.col("after_text").cast("binary")).alias("after_md5"), F.md5(F.col("caption").cast("binary")).alias("caption_md5"))
+
+
+def visual_manifest(spark, d):
+    return blocks.visual_manifest(_blocks(spark, d)).select("variant_id", "asset_id", "page", "order", "suggested_type", "crop_path", "status")
+
+
+def raw_text_assembly(spark, d):
+    return blocks.raw_text(_blocks(spark, d)).select("variant_id", F.md5(F.col("raw_text").cast("binary")).alias("text_md5"))
+
+
+def markdown_assembly(spark, d):
+    return blocks.markdown(_blocks(spark, d)).select("variant_id", F.md5(F.col("markdown").cast("binary")).alias("markdown_md5"))
+
+
+def page_nesting(spark, d):
+    return blocks.nested_pages(_blocks(spark, d)).select("variant_id", F.size("pages").alias("n_pages"), F.aggregate("pages", F.lit(0), lambda a, p: a + F.size(p["blocks"])).alias("n_blocks"))
+
+
+def bbox_normalize(spark, d):
+    box = B.relative_box(*(F.col(c) for c in "ltrb"), F.lit(512.0), F.lit(1024.0))
+    rows = _items(spark, d).select("variant_id", "item_seq", box.alias("x"))
+    return rows.select("variant_id", "item_seq", "x.x0", "x.y0", "x.x1", "x.y1", B.area(F.col("x")).alias("area"))
+
+
+def crop_box(spark, d):
+    m = table(spark, d, "visual_manifest").filter("bbox is not null").distinct()
+    c = B.crop(F.col("bbox"), F.lit(1024), F.lit(2048), CFG.crop_padding)
+    return m.select("asset_id", c.alias("c")).select("asset_id", "c.left", "c.top", "c.right", "c.bottom")
+
+
+def page_batches(spark, d):
+    rows = table(spark, d, "parsed_docling").select("row_id", F.explode(B.page_batches(F.col("page_count"), CFG.page_batch)).alias("b"))
+    return rows.select("row_id", "b.batch_no", "b.first_page", "b.last_page")
+
+
+def _merged(spark, d):
+    return merging.merged(table(spark, d, "parsed_docling"), "row_id")
+
+
+def merge_normalize(spark, d):
+    return _merged(spark, d).select(
+        "row_id", "variant_id", "source_path", "language_hint", "detected_language", "final_language", "char_count", F.array_join("quality_flags", ",").alias("flags"), "pending_visual_count", "docling_batch_failed_count", "page_count",
+        F.array_join("icd_codes_detected", ",").alias("codes"), "icd_code_count", F.md5(F.col("raw_text").cast("binary")).alias("text_md5"),
+    )
+
+
+def merge_missing(spark, d):
+    return merging.missing(_merged(spark, d), CFG.min_chars)
+
+
+def merge_grouped(spark, d):
+    g = merging.grouped(_merged(spark, d), "row_id")
+    return g.select("disease_class_id", "doc_type", "specialty", "clinical_doc_group_id", F.array_join("available_languages", ",").alias("languages"), F.explode("variants").alias("language", "rows")).select(
+        "disease_class_id", "doc_type", "specialty", "clinical_doc_group_id", "languages", "language", F.size("rows").alias("n")
+    )
+
+
+def merge_flag_counts(spark, d):
+    return merging.flag_counts(_merged(spark, d))
+
+
+def merge_summary(spark, d):
+    return merging.summary(_merged(spark, d), CFG.min_chars).drop("avg_seconds")
+
+
+def merge_latest(spark, d):
+    return merging.latest(table(spark, d, "parsed_docling"), "variant_id", "ingested_at", "row_id").select("variant_id", "row_id")
+
+
+def artefacts(spark, d):
+    """A listing of what exists: the paths that the results name, a sixteenth left out by digest."""
+    raw = _raw(spark, d)
+    named = raw.select(F.explode(F.array("markdown_path", "agentic_json_path", "raw_docling_dir", "visual_manifest_path")).alias("path")).union(table(spark, d, "visual_manifest").select("crop_path"))
+    return named.filter("path <> ''").distinct().filter(F.substring(F.md5(F.col("path").cast("binary")), 1, 1) != "f")
+
+
+def _report(spark, d):
+    return validation.quality_report(_raw(spark, d), artefacts(spark, d), table(spark, d, "visual_manifest"), CFG.min_chars, "row_id")
+
+
+def quality_report(spark, d):
+    return _report(spark, d).select(
+        "row_id", "variant_id", "detected_language", "final_language", "validation_text_source", "char_count", "page_count", "icd_code_count", "icd_codes_detected", "pending_visual_count", "review_flag_count", "review_flags", "needs_review",
+    )
+
+
+def needs_review(spark, d):
+    return _report(spark, d).filter("needs_review").select("row_id", "review_flags")
+
+
+def flag_ranking(spark, d):
+    return validation.flag_ranking(_report(spark, d))
+
+
+def duplicate_texts(spark, d):
+    return validation.duplicate_texts(_raw(spark, d), "row_id").select("row_id", "text_hash", "duplicate_group_size", "variant_id", "final_language", "char_count")
+
+
+def manifest_check(spark, d):
+    facts = validation.manifest_facts(table(spark, d, "visual_manifest"), artefacts(spark, d))
+    return _raw(spark, d).join(facts, "variant_id", "left").select("row_id", F.coalesce("pending_visual_count", F.lit(0)).alias("pending"), F.coalesce("manifest_rows", F.lit(0)).cast("bigint").alias("manifest_rows"), F.coalesce("missing_crops", F.lit(0)).cast("bigint").alias("missing_crops"))
+
+
+def visual_review(spark, d):
+    return validation.visual_review(_raw(spark, d), table(spark, d, "visual_manifest"), artefacts(spark, d)).select("variant_id", "source_path", "asset_id", "page", "order_no", "suggested_type", "crop_exists", "status")
+
+
+def _candidates(spark, d):
+    """Candidate texts of three methods for each record: whole, without its last half, and failed or whole, by row."""
+    raw, t = _raw(spark, d).filter("raw_text is not null"), F.col("raw_text")
+    forms = F.array(
+        F.struct(F.lit("first").alias("method"), F.lit(1).alias("method_rank"), F.when(F.col("row_id") % 3 == 0, F.substring(t, F.lit(1), F.floor(F.length(t) / 2).cast("int"))).otherwise(t).alias("text"), F.lit(True).alias("ok")),
+        F.struct(F.lit("second").alias("method"), F.lit(2).alias("method_rank"), t.alias("text"), (F.col("row_id") % 2 == 0).alias("ok")),
+        F.struct(F.lit("third").alias("method"), F.lit(3).alias("method_rank"), F.concat(t, F.when(F.col("row_id") % 5 == 0, "x").otherwise("")).alias("text"), (F.col("row_id") % 7 != 0).alias("ok")),
+    )
+    return raw.select(F.col("row_id").cast("string").alias("variant_id"), F.explode(forms).alias("c")).select("variant_id", "c.*")
+
+
+def word_best_candidate(spark, d):
+    return validation.best_candidate(_candidates(spark, d)).select("variant_id", "method", "char_count", F.array_join(F.transform(F.array_sort(F.map_entries("stats")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("stats"))
+
+
+def failures_split(spark, d):
+    ok, failed = extraction.split_by_status(_candidates(spark, d))
+    return ok.groupBy("method").agg(F.count(F.lit(1)).alias("n")).withColumn("status", F.lit("ok")).unionByName(failed.groupBy("method").agg(F.count(F.lit(1)).alias("n")).withColumn("status", F.lit("failed")))
+
+
+_NOT_QUERIES = {"table", "listing", "oracle_sql", "queries", "artefacts"}
+
+
+def queries() -> dict:
+    here = globals()
+    return {k: f for k, f in here.items() if callable(f) and getattr(f, "__module__", "") == __name__ and not k.startswith("_") and k not in _NOT_QUERIES}
