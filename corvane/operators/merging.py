@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.barrier import once
 from ..functions.text import clean, filled, missing_as_empty
 
 PASSED = "variant_id disease_class_id clinical_doc_group_id specialty disease_path doc_type".split()
@@ -26,13 +27,14 @@ def latest(rows: DataFrame, key: str = "variant_id", *order: str) -> DataFrame:
 def merged(parsed: DataFrame, *keep: str) -> DataFrame:
     """Canonical rows; `keep` names further columns that are passed through."""
     text = F.col("_text")
-    rows = parsed.withColumn("_text", clean(F.col("raw_text"))).withColumn("_lang", F.coalesce(filled(F.col("detected_language")), X.language_by_markers(F.col("_text"))))
+    rows = once(once(parsed, _text=clean(F.col("raw_text"))), _lang=F.coalesce(filled(F.col("detected_language")), X.language_by_markers(F.col("_text"))))
     lang = F.col("_lang")
+    rows = once(rows, _codes=F.when(F.size("icd_codes_detected") > 0, F.col("icd_codes_detected")).otherwise(X.codes(text)))
     flags = F.concat(
         F.coalesce("quality_flags", F.array().cast("array<string>")), X.quality_flags(text, lang),
         X.compact(F.when(F.coalesce("pending_visual_count", F.lit(0)) > 0, F.lit("pending_visual_assets")), F.when(F.coalesce("docling_batch_failed_count", F.lit(0)) > 0, F.lit("docling_batch_errors"))),
     )
-    codes = F.when(F.size("icd_codes_detected") > 0, F.col("icd_codes_detected")).otherwise(X.codes(text))
+    codes = F.col("_codes")
     return rows.select(
         *keep, *PASSED, F.coalesce(*(filled(F.col(c)) for c in ("source_path", "original_source_path", "ocr_input_path"))).alias("source_path"),
         F.lit("pdf").alias("source_format"), F.lit(".pdf").alias("source_extension"), "filename", "size_kb", F.coalesce("language_hint", F.lit("unknown")).alias("language_hint"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import text as X
+from ..functions.barrier import once
 from ..functions.text import clean, filled, missing_as_empty
 
 ARTEFACTS = ("markdown_path", "agentic_json_path", "raw_docling_dir", "visual_manifest_path")
@@ -45,7 +46,7 @@ def manifest_facts(manifest: DataFrame, artefacts: DataFrame | None = None) -> D
     return m.groupBy("variant_id").agg(F.count(F.lit(1)).alias("manifest_rows"), lost.alias("missing_crops"))
 
 
-def review_flags(text: Column, language: Column, min_chars: int) -> Column:
+def review_flags(text: Column, language: Column, codes: Column, bad: Column, letters: Column, min_chars: int) -> Column:
     """Flags in their order, each once. Expects the has_ columns, manifest_rows and missing_crops beside the merged columns."""
     n, pending = F.length(text), F.coalesce("pending_visual_count", F.lit(0))
     flag = lambda cond, name: F.when(cond, F.lit(name))
@@ -53,9 +54,9 @@ def review_flags(text: Column, language: Column, min_chars: int) -> Column:
     own = X.compact(
         flag(~F.coalesce(F.col("source_format") == "pdf", F.lit(False)), "non_pdf_row_in_pdf_only_validation"),
         flag(n < min_chars, "needs_review_char_count_below_min"),
-        flag(F.size(X.codes(text)) == 0, "needs_review_no_icd_codes_detected"),
-        flag(X.bad_patterns(text) > 0, "needs_review_bad_text_patterns"),
-        flag((n > R.LOW_CHARS) & (X.ratio(text, X.LETTER) < R.LETTER_RATIO), "needs_review_low_letter_ratio"),
+        flag(F.size(codes) == 0, "needs_review_no_icd_codes_detected"),
+        flag(bad > 0, "needs_review_bad_text_patterns"),
+        flag((n > R.LOW_CHARS) & (letters < R.LETTER_RATIO), "needs_review_low_letter_ratio"),
         flag((F.coalesce("final_language", F.lit("")) == "unknown") | (language == "unknown"), "needs_review_unknown_language"),
         flag(~F.col("has_markdown_path"), "missing_markdown_output"),
         flag(~F.col("has_agentic_json_path"), "missing_agentic_json_output"),
@@ -74,14 +75,12 @@ def quality_report(rows: DataFrame, artefacts: DataFrame, manifest: DataFrame, m
     """The QA row of every merged row."""
     facts = manifest_facts(manifest, artefacts)
     rows = with_artefacts(validation_text(rows), artefacts).join(facts, "variant_id", "left")
-    rows = rows.withColumn("_t", clean(F.col("_text")))
-    text = F.col("_t")
-    rows = rows.withColumn("_lang", F.coalesce(filled(F.col("detected_language")), X.language_by_markers(text)))
-    lang, codes = F.col("_lang"), X.codes(text)
-    flags = review_flags(text, lang, min_chars)
+    text, lang, codes, flags = F.col("_t"), F.col("_lang"), F.col("_codes"), F.col("_flags")
+    rows = once(once(rows, _t=clean(F.col("_text"))), _lang=F.coalesce(filled(F.col("detected_language")), X.language_by_markers(text)), _codes=X.codes(text), _bad=X.bad_patterns(text), _letters=X.ratio(text, X.LETTER))
+    rows = once(rows, _flags=review_flags(text, lang, codes, F.col("_bad"), F.col("_letters"), min_chars))
     return rows.select(
         *keep, *DESCRIPTIVE, lang.alias("detected_language"), F.coalesce(filled(F.col("final_language")), lang).alias("final_language"), "validation_text_source", F.length(text).alias("char_count"), "page_count",
-        *(X.ratio(text, p).alias(n) for n, p in X.RATIOS.items()), F.size(codes).alias("icd_code_count"), F.array_join(F.slice(codes, 1, R.SHOWN_CODES), ", ").alias("icd_codes_detected"), X.bad_patterns(text).alias("bad_pattern_count"),
+        *(X.ratio(text, p).alias(n) for n, p in X.RATIOS.items()), F.size(codes).alias("icd_code_count"), F.array_join(F.slice(codes, 1, R.SHOWN_CODES), ", ").alias("icd_codes_detected"), F.col("_bad").alias("bad_pattern_count"),
         "pending_visual_count", "visual_asset_count", "docling_batch_count", "docling_batch_failed_count", *ARTEFACTS, F.size(flags).alias("review_flag_count"), F.array_join(flags, "; ").alias("review_flags"), (F.size(flags) > 0).alias("needs_review"),
     )
 

@@ -41,12 +41,12 @@ _W = r"\p{L}\p{M}\p{Nd}\p{Pc}\x{200c}\x{200d}"
 
 def _codes(c: str) -> str:
     double = rf"regexp_replace(' ' || {c} || ' ', '([^{_W}])', '\1\1', 'g')"
-    return rf"list_transform(regexp_extract_all({double}, '[^{_W}]([A-Za-zА-Яа-я]\p{{Nd}}{{2}}(?:\.\.\p{{Nd}}{{1,2}})?)[^{_W}]', 1), x -> upper(replace(x, '..', '.')))"
+    return rf"list_transform(regexp_extract_all({double}, '[^{_W}]([A-Za-zА-Яа-я]\p{{Nd}}{{2}}(?:\.\.\p{{Nd}}{{1,2}})?)[^{_W}]', 1), lambda x: upper(replace(x, '..', '.')))"
 
 
 def _distinct(lst: str) -> str:
     """First occurrences in order."""
-    return f"list_filter({lst}, (x, i) -> list_position({lst}, x) = i)"
+    return f"list_filter({lst}, lambda x, i: list_position({lst}, x) = i)"
 
 
 _P = f"""
@@ -55,12 +55,12 @@ named AS (SELECT p, kb, string_split(p, '/')[-1] AS nm, substr(md5(p), 1, 1) AS
 listing AS (SELECT CASE h WHEN '0' THEN left(p, length(p) - length(nm)) || '~$' || nm WHEN '1' THEN p || '.txt' WHEN '2' THEN left(p, length(p) - length(nm)) || 'рецензия ' || nm ELSE p END AS path,
   CAST(floor(coalesce(kb, 0.0) * 1024) AS BIGINT) AS length FROM named),
 f0 AS (SELECT path, length, string_split(path, '/')[-1] AS filename, regexp_extract(string_split(path, '/')[-1], '(?s)^.+(\\.[^.]+)$', 1) AS suf,
-  list_filter(string_split(CASE WHEN starts_with(path, 'data/raw_guidelines/') THEN substr(path, {len('data/raw_guidelines/') + 1}) ELSE path END, '/'), x -> x <> '') AS parts,
+  list_filter(string_split(CASE WHEN starts_with(path, 'data/raw_guidelines/') THEN substr(path, {len('data/raw_guidelines/') + 1}) ELSE path END, '/'), lambda x: x <> '') AS parts,
   replace(lower(path), '\\', '/') AS lp FROM listing),
 f1 AS (SELECT *, lower(suf) AS extension, left(filename, length(filename) - length(suf)) AS stem, string_split(lp, '/')[-1] AS lf,
   CASE WHEN len(parts) >= 3 THEN parts[2:len(parts) - 1] ELSE [] END AS middle FROM f0),
-f2 AS (SELECT *, list_transform(middle, x -> regexp_replace({_strip('lower(x)')}, '^[0-9{_BLANK}.+_-]+', '') IN ({_list(R.STOP_FOLDERS)})) AS stops FROM f1),
-f3 AS (SELECT *, list_transform(CASE WHEN list_position(stops, true) > 0 THEN middle[1:list_position(stops, true) - 1] ELSE middle END, x -> {_one(_strip('x'))}) AS kept FROM f2),
+f2 AS (SELECT *, list_transform(middle, lambda x: regexp_replace({_strip('lower(x)')}, '^[0-9{_BLANK}.+_-]+', '') IN ({_list(R.STOP_FOLDERS)})) AS stops FROM f1),
+f3 AS (SELECT *, list_transform(CASE WHEN list_position(stops, true) > 0 THEN middle[1:list_position(stops, true) - 1] ELSE middle END, lambda x: {_one(_strip('x'))}) AS kept FROM f2),
 feat AS (SELECT path, length, filename, extension, stem, coalesce({_one(_strip('parts[1]'))}, 'unknown_specialty') AS specialty,
   CASE WHEN len(kept) > 0 THEN array_to_string(kept, ' / ') ELSE stem END AS disease_path,
   CASE WHEN {_any('lp', R.STANDARD_MARKERS)} THEN 'standard' WHEN {_any('lp', R.PROTOCOL_MARKERS)} THEN 'protocol' ELSE 'unknown' END AS doc_type,
@@ -80,7 +80,7 @@ def _key() -> str:
 _FEAT = f"{_P}, feats AS (SELECT *, CASE WHEN k <> '' THEN k ELSE lstem END AS file_key FROM (SELECT *, {_key()} AS k FROM feat))"
 _INV = f"""{_FEAT},
 ranked AS (SELECT *, row_number() OVER (ORDER BY string_split(path, '/')) AS ordinal FROM feats WHERE is_supported),
-inv AS (SELECT *, 'inv_' || lpad(CAST(ordinal AS VARCHAR), greatest(6, length(CAST(ordinal AS VARCHAR))), '0') AS inventory_id, 'dc_' || substr(md5(specialty || '::' || disease_path), 1, 12) AS disease_class_id,
+inv AS (SELECT *, 'inv_' || lpad(CAST(ordinal AS VARCHAR), CAST(greatest(6, length(CAST(ordinal AS VARCHAR))) AS INTEGER), '0') AS inventory_id, 'dc_' || substr(md5(specialty || '::' || disease_path), 1, 12) AS disease_class_id,
   'cd_' || substr(md5(specialty || '::' || disease_path || '::' || doc_type), 1, 12) AS clinical_doc_group_id, CASE extension WHEN '.docx' THEN 1 WHEN '.doc' THEN 2 WHEN '.pdf' THEN 3 ELSE 99 END AS priority,
   round(length / 1024, 2) AS size_kb FROM ranked WHERE NOT is_review)"""
 _SEL = f"""{_INV},
@@ -140,8 +140,8 @@ def _visual(label: str, context: str) -> str:
 
 _FLAGS = f"""[CASE WHEN length(t) = 0 THEN 'empty_text' WHEN length(t) < {R.LOW_CHARS} THEN 'low_char_count' END, CASE WHEN lang = 'unknown' THEN 'unknown_detected_language' END,
  CASE WHEN {_count('t', '�')} > {R.REPLACEMENTS} THEN 'encoding_replacement_chars' END, CASE WHEN length(t) > {R.LOW_CHARS} AND {_count('t', _LETTER)} / length(t) < {R.LETTER_RATIO} THEN 'low_letter_ratio' END]"""
-_compact = lambda lst: f"list_filter({lst}, x -> x IS NOT NULL)"
-_HAS_BAD = r"(regexp_matches(t, '\x{fffd}{3,}') OR regexp_matches(t, '[\x01-\x08\x0b\x0c\x0e-\x1f]') OR len(list_filter(list_distinct(string_split(t, '')), c -> c <> chr(10) AND contains(t, repeat(c, 21)))) > 0)"
+_compact = lambda lst: f"list_filter({lst}, lambda x: x IS NOT NULL)"
+_HAS_BAD = r"(regexp_matches(t, '\x{fffd}{3,}') OR regexp_matches(t, '[\x01-\x08\x0b\x0c\x0e-\x1f]') OR len(list_filter(list_distinct(string_split(t, '')), lambda c: c <> '' AND c <> chr(10) AND contains(t, repeat(c, 21)))) > 0)"
 _RAW = f"""
 txt AS (SELECT *, {_clean('raw_text')} AS t, {_language('raw_text')} AS s FROM parsed_guidelines_raw),
 raw AS (SELECT *, {_LANG_CASE} AS auto FROM txt)"""
@@ -187,7 +187,7 @@ def oracle_sql() -> dict[str, str]:
         "skipped_files": f"WITH {_FEAT} SELECT path, extension, CASE WHEN starts_with(filename, '~$') THEN 'temporary_word_lock_file' WHEN NOT is_supported THEN 'unsupported_extension' ELSE 'review_or_expert_document' END AS skip_reason FROM feats WHERE NOT is_supported OR is_review",
         "registry_grouped": f"WITH {_GRP} SELECT disease_class_id, doc_type, specialty, disease_path, array_to_string(ls, ',') AS languages, language, array_to_string(ids, ',') AS variant_ids FROM per JOIN langs USING (disease_class_id, doc_type)",
         "fallback_plan": f"""WITH {_GRP}, want AS (SELECT disease_class_id, doc_type, unnest(['ru', 'uz_cyr', 'uz_lat']) AS requested_language, ls FROM langs),
-            res AS (SELECT *, CASE WHEN list_contains(ls, requested_language) THEN requested_language ELSE list_filter([{_list(R.FALLBACK_ORDER)}], x -> list_contains(ls, x))[1] END AS resolved_language FROM want)
+            res AS (SELECT *, CASE WHEN list_contains(ls, requested_language) THEN requested_language ELSE list_filter([{_list(R.FALLBACK_ORDER)}], lambda x: list_contains(ls, x))[1] END AS resolved_language FROM want)
             SELECT disease_class_id, cd AS clinical_doc_group_id, specialty, disease_path, doc_type, requested_language, resolved_language, CASE WHEN requested_language = resolved_language THEN 'exact' ELSE 'fallback' END AS fallback_type,
             ids[1] AS resolved_variant_id, fmts[1] AS resolved_source_format, paths[1] AS resolved_source_path FROM res JOIN per USING (disease_class_id, doc_type) WHERE per.language = resolved_language""",
         "registry_counters": f"""WITH {_SEL}, c AS (SELECT unnest([{{'counter': 'language_hint', 'key': language_hint}}, {{'counter': 'source_format', 'key': replace(extension, '.', '')}}, {{'counter': 'doc_type', 'key': doc_type}}, {{'counter': 'specialty', 'key': specialty}},
@@ -204,9 +204,9 @@ def oracle_sql() -> dict[str, str]:
         "icd_codes": f"WITH {_RAW}, c AS (SELECT *, {_codes('t')} AS cs FROM raw) SELECT row_id, array_to_string({_distinct('cs')}, ',') AS codes, {_any('lower(coalesce(raw_text, chr(32)))', R.CODE_MARKERS)} AS has_marker FROM c",
         "char_counts": f"WITH {_RAW} SELECT row_id, length(t) AS n, {_count('t', _LETTER)} AS letter_count, {_count('t', chr(92) + 'p{Nd}')} AS digit_count, {_count('t', 'А-Яа-яЁёҚқЎўҒғҲҳ')} AS cyrillic_count, {_count('t', 'A-Za-z')} AS latin_count FROM raw",
         "bad_patterns": f"WITH {_RAW} SELECT row_id, {_HAS_BAD} AS has_bad FROM raw",
-        "table_quality": f"""WITH l AS (SELECT row_id, list_filter(string_split(raw_text, chr(10)), x -> contains(x, '|')) AS ls FROM parsed_guidelines_raw WHERE contains(raw_text, '|')),
-            b AS (SELECT row_id, ls, list_transform(list_filter(list_transform(ls, x -> regexp_replace({_strip('x')}, '^\\|+|\\|+$', '', 'g')), x -> regexp_replace(x, '[|\\-:{_BLANK}]', '', 'g') <> ''), x -> len(string_split(x, '|'))) AS n FROM l),
-            m AS (SELECT *, list_sort(list_transform(list_distinct(n), v -> {{'c': -len(list_filter(n, x -> x = v)), 'v': v}}))[1] AS top FROM b)
+        "table_quality": f"""WITH l AS (SELECT row_id, list_filter(string_split(raw_text, chr(10)), lambda x: contains(x, '|')) AS ls FROM parsed_guidelines_raw WHERE contains(raw_text, '|')),
+            b AS (SELECT row_id, ls, list_transform(list_filter(list_transform(ls, lambda x: regexp_replace({_strip('x')}, '^\\|+|\\|+$', '', 'g')), lambda x: regexp_replace(x, '[|\\-:{_BLANK}]', '', 'g') <> ''), lambda x: len(string_split(x, '|'))) AS n FROM l),
+            m AS (SELECT *, list_sort(list_transform(list_distinct(n), lambda v: {{'c': -len(list_filter(n, lambda x: x = v)), 'v': v}}))[1] AS top FROM b)
             SELECT row_id, CASE WHEN length({_strip('array_to_string(ls, chr(10))')}) < 20 THEN 'empty_or_short_table_markdown' WHEN len(ls) < 2 THEN 'not_enough_markdown_table_rows' WHEN len(n) = 0 THEN 'no_usable_table_cells'
             ELSE concat_ws(',', CASE WHEN top.v < 2 THEN 'table_has_fewer_than_2_columns' END, CASE WHEN -top.c / len(n) < 0.75 THEN 'inconsistent_row_column_counts' END) END AS reasons FROM m""",
         "visual_types": f"SELECT DISTINCT asset_id, {_visual('suggested_type', chr(39) + ' ' + chr(39) + ' || concat_ws(' + chr(39) + ' ' + chr(39) + ', caption, before_text, after_text)')} AS kind FROM visual_manifest",
