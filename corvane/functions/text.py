@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,9 +68,12 @@ def clean(c: Column) -> Column:
     return strip(out)
 
 
-def language_by_markers(text: Column) -> Column:
-    """Language of a text by its marker words and letters; text may be uncleaned."""
-    s = F.lower(clean(F.substring(missing_as_empty(text), 1, R.LANGUAGE_SAMPLE)))
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c) with c evaluated once however often use reads it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def _language(s: Column) -> Column:
     lat, ru, cyr = how_many(s, R.TEXT_UZ_LAT), how_many(s, R.TEXT_RU), how_many(s, R.TEXT_UZ_CYR)
     own = F.regexp_count(s, F.lit("[қўғҳ]"))
     return (
@@ -83,6 +86,11 @@ def language_by_markers(text: Column) -> Column:
     )
 
 
+def language_by_markers(text: Column) -> Column:
+    """Language of a text by its marker words and letters; text may be uncleaned."""
+    return let(F.lower(clean(F.substring(missing_as_empty(text), 1, R.LANGUAGE_SAMPLE))), _language)
+
+
 LETTER = "[A-Za-zА-Яа-яЁёҚқЎўҒғҲҳ]"
 RATIOS = {"letter_ratio": LETTER, "digit_ratio": r"(?U)\d", "cyrillic_ratio": "[А-Яа-яЁёҚқЎўҒғҲҳ]", "latin_ratio": "[A-Za-z]"}
 
