@@ -1,0 +1,253 @@
+"""Each operator on small cases: nulls, empty and long texts, ties, repeated rows, empty tables, extra columns."""
+
+import os
+import random
+import unicodedata
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from corvane.llm import boilerplate, encode, language, leaks, lookalike, mojibake, quality, residue, scanned, split
+
+SF = "/root/testdata/sf0.001"
+needs_files = pytest.mark.skipif(not os.path.exists(encode.TOKENIZERS), reason="no tokenizer files")
+
+
+def raw(spark, rows, extra="x"):
+    cols = "row_id bigint, variant_id string, specialty string, raw_text string, piece string, text string, doc_type string, detected_language string"
+    return spark.createDataFrame([(i, v, s, t, extra, extra, k, None) for i, v, s, t, k in rows], cols)
+
+
+@pytest.fixture(scope="module")
+def samples(spark):
+    return spark.read.parquet(f"{SF}/language_samples.parquet")
+
+
+@pytest.fixture(scope="module")
+def repair(samples):
+    return mojibake.Repair(mojibake.sample_texts(samples))
+
+
+# 1
+def model():
+    words = Counter({w: 100 for w in "получен осмотр больного терапевт врач врач-терапевт подтверждённой классификации лабораторно по при код указывают".split()})
+    return scanned.Model(dict(words), ["клинические протоколы. выпуск #"])
+
+
+PAGE = "Рекомендации по анемии\nПосле выписки врач проводит осмотр больного и при полу-\n1\nКЛИНИЧЕСКИЕ ПРОТОКОЛЫ. ВЫПУСК 38\nчении результата назначает врач-\nтерапевт получсн снова, код J10.1 по\nдтверждённой по классификации 5 из 10 н0вый\nследующий осмотр больного проводит врач.\n2"
+
+
+def test_scanned_page():
+    m = model()
+    m.words["получении"] = 50
+    m = scanned.Model(m.words, m.heads)
+    found, text = m.defects(PAGE)
+    assert [x for x in found if x[1] == "running_line"] == [(3, "running_line"), (4, "running_line"), (9, "running_line")]
+    assert [x for x in found if x[1] == "broken_word"] == [(2, "broken_word"), (6, "broken_word")]
+    assert [n for n, d in found if d == "bad_chars"] == [6, 7]
+    assert "при получении результата назначает врач-терапевт получен снова" in text and "ВЫПУСК" not in text
+
+
+def test_clean_records_stay():
+    text = "Заголовок\n\n" + "Длинная строка без переносов и без ошибок. " * 5 + "\n331\n"
+    assert model().defects(text) == ([], text)
+
+
+def test_page_number_forms():
+    for s, v in {"12": 12, "~ 2 ~": 2, "Стр. 7": 7, "страница 1 из 2": 1, "5-бет": 5, "3 / 9": 3, "xiv": 14, "l37": 137, "page 2 of 3": 2}.items():
+        assert scanned.page_number(s)[0] == v, s
+    for s in ("12,5 мг", "Лечение", "раз в 3 дня."):
+        assert scanned.page_number(s) is None, s
+
+
+def test_scanned_table(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, PAGE), (3, PAGE)], "row_id bigint, raw_text string").withColumn("defect", F.lit("x"))
+    out = scanned.repair(df, scanned.fit(df)).filter("defect is null").collect()
+    assert Counter(r.row_id for r in out) == {1: 1, 2: 1, 3: 2}
+    assert scanned.repair(df.limit(0), scanned.fit(df.limit(0))).count() == 0
+
+
+# 2
+def test_repeated_lines_against_brute_force(spark):
+    rng = random.Random(1)
+    lines = ["Информация предназначена только для врачей %d." % 1, "СОХРАНИТЕ страницу в закладки, пожалуйста!", "Короткая"]
+    rows = []
+    for i in range(120):
+        body = [f"Текст записи {'абвгдежзик'[j % 10] * 12} {rng.random()}" if rng.random() < 0.5 else "".join(rng.choice("абвгдежзик") for _ in range(30)) for j in range(3)]
+        if rng.random() < 0.3:
+            body.append(rng.choice(lines).lower() if rng.random() < 0.5 else rng.choice(lines).replace("1", str(i)))
+        rows.append((i, f"v{i % 100}", ["А", "Б", None, " "][i % 4], rng.choice([None, "", "\n".join(body)]) if i % 9 == 0 else "\n".join(body), None))
+    df = raw(spark, rows)
+    got = sorted((r.row_id, r.line_no) for r in boilerplate.repeated_lines(df).collect())
+    docs, total, place = defaultdict(set), defaultdict(set), []
+    for i, v, s, t, _ in rows:
+        if s and s.strip():
+            total[s].add(v)
+            for n, line in enumerate((t or "").split("\n"), 1):
+                k = "".join(c for c in line.lower() if c.isalpha())
+                if len(k) >= 20:
+                    docs[s, k].add(v)
+                    place.append((i, n, s, k))
+    want = sorted((i, n) for i, n, s, k in place if len(docs[s, k]) >= 4 and 100 * len(docs[s, k]) >= 2 * len(total[s]))
+    assert got == want and want
+    clean = {r.row_id: r.clean_text for r in boilerplate.without_lines(df, boilerplate.repeated_lines(df)).select("row_id", "clean_text").collect()}
+    drop = set(want)
+    assert all(clean[i] == (None if t is None else "\n".join(x for n, x in enumerate(t.split("\n"), 1) if (i, n) not in drop)) for i, _, _, t, _ in rows)
+    assert boilerplate.repeated_lines(df.limit(0)).count() == 0
+
+
+# 3
+@pytest.mark.parametrize("enc,dec", [("utf-8", "cp1251"), ("utf-8", "cp866"), ("utf-8", "koi8-r"), ("cp1251", "latin-1"), ("koi8-r", "cp1251"), ("cp1251", "cp866")])
+def test_mojibake_round_trip(repair, enc, dec):
+    plain = "Противопоказанием к применению является постоянная лихорадка, а также возраст больного"
+    bad = "".join(w.encode(enc).decode(dec, "ignore") if enc != "utf-8" or True else w for w in plain)
+    assert repair.garbled(bad)
+    assert unicodedata.normalize("NFC", repair(bad)).split()[:2] == plain.split()[:2]
+
+
+def test_mojibake_leaves_rare_signs(repair):
+    for t in (None, "", "About 26 treatment-naïve patients; café-au-lait (ÄÖÜ-test), 5 µg, x²", "Бўлимда ё‘тал 38 °C ±5 %", "ОТПРАВИТЬ КОЛЛЕГЕ ЭТУ СТРАНИЦУ", "щхвщ бж лфнб кн шщ. р;"):
+        assert not repair.garbled(t) and repair(t) == t
+    assert repair.garbled("текст �� с утратой")
+
+
+def test_mojibake_table(spark, samples):
+    df = raw(spark, [(1, "v", "s", None, None), (2, "v", "s", "Рекомендации по анемии".encode().decode("cp1251", "replace"), None), (2, "v", "s", "чистый текст", None)])
+    assert [r.row_id for r in mojibake.garbled_rows(df, mojibake.sample_texts(samples)).collect()] == [2]
+    assert mojibake.repair(df.limit(0), mojibake.sample_texts(samples)).count() == 0
+
+
+# 4
+def test_same_looks(spark):
+    a = "Уровень ёмкости ўзга, код A12"
+    rows = [(1, a), (2, unicodedata.normalize("NFD", a)), (3, a.replace("о", "o").replace(" ", " ")), (4, a.replace("к", "к​")), (5, a.replace("A12", "Ａ１２")), (6, a + "."), (7, None), (8, " "), (9, "​"), (10, a), (11, a.replace("ё", "е"))]
+    df = raw(spark, [(i, "v", "s", t, None) for i, t in rows])
+    got = {(r.row_id_a, r.row_id_b) for r in lookalike.same_looking_pairs(df, ["уровень", "сор"]).collect()}
+    same = [1, 2, 3, 4, 5, 10]
+    assert got == {(x, y) for x in same for y in same if x < y and (x, y) != (1, 10)}
+    forms = {r.row_id: r.text for r in lookalike.consistent(df, ["уровень"]).collect()}
+    assert forms[7] is None and len({forms[i] for i in same}) == 1 and forms[1].startswith("Уровень")
+    assert lookalike.same_looking_pairs(df.limit(0), []).count() == 0
+
+
+def test_automaton():
+    auto = lookalike.Automaton(["сор", "рос"])
+    assert auto.spell("cop") == "сор" and auto.spell("c​оp") == "сор" and auto.spell("сот") is None
+
+
+# 5
+@needs_files
+def test_languages(spark, samples):
+    mixed = "Препарат вводят в дозе десять мг под контролем врача.\nBemorga tekshiruv uchun shifokor bilan maslahatlashish tavsiya etiladi.\n"
+    df = raw(spark, [(1, "v", "s", mixed, None), (2, "v", "s", None, None), (3, "v", "s", "Слово", None), (4, "v", "s", "The nurse should order a full blood count on time.", None), (5, "v", "s", "бж 13ч б гдзв п ж лк. щщ вв дд ккк мм нн.", None)]).withColumn("detected_language", F.when(F.col("row_id") == 4, "en"))
+    got = {(r.row_id, r.language) for r in language.mislabelled(df, samples).collect()}
+    assert got == {(1, "ru"), (1, "uz_lat")}
+    seg = [(r.segment_no, r.language, r.first_line) for r in language.identify(df, samples).filter("row_id = 1").orderBy("segment_no").collect()]
+    assert seg == [(1, "ru", 1), (2, "uz_lat", 2)]
+    assert language.mislabelled(df.limit(0), samples).count() == 0
+
+
+@needs_files
+def test_language_held_out():
+    from corvane.llm.language import Scorer, fit, pieces
+    import pyarrow.parquet as pq
+
+    rows = [(r["language"], r["sample_text"]) for r in pq.read_table(f"{SF}/language_samples.parquet").to_pylist()]
+    train, test = rows[::2], rows[1::2]
+    vocab = pieces(encode.TOKENIZERS)
+    score = Scorer(fit(train, vocab), vocab)
+    assert sum(score(t)[0] == l for l, t in test) >= 0.95 * len(test)
+
+
+# 6
+def test_kinds(spark, samples):
+    texts = {
+        "prose": "Рекомендации\nПосле выписки врач проводит осмотр и разъясняет больному правила приёма лекарств. Температура выше нормы служит основанием для вызова врача.",
+        "list": "Список\n- код C25.3\n- Гараборин 550 мг\n- клинический анализ крови\n- нарастающая боль",
+        "table": "Код\tДоза\tНорма\nАлорин\t10\t20\nБелорин\t5\t7\nГалорин\t1\t2",
+        "junk": "........................ 12\n======================== 77\n//\\\\##__++--==~~^^",
+    }
+    df = raw(spark, [(k, "v", "s", t, None) for k, t in enumerate([*texts.values(), None, " \n"])])
+    got = {r.row_id: r.kind for r in quality.statistics(df, samples, spark.read.parquet(f"{SF}/common_words.parquet"), text_col="raw_text").collect()}
+    assert [got[k] for k in range(4)] == list(texts) and got[4] is None and got[5] is None
+    assert quality.jensen_shannon((1, 0), (0, 1)) == 1 and quality.jensen_shannon((0.5, 0.5), (0.5, 0.5)) == 0
+
+
+# 7
+def test_pieces(spark):
+    rng = random.Random(2)
+    for _ in range(200):
+        text = "".join(rng.choice(["слово ", "Конец. ", "\n", "\n\n", "1. Раздел\n", "x" * rng.randrange(1, 60), "😀"]) for _ in range(rng.randrange(1, 60)))
+        limit, lap = rng.randrange(1, 80), rng.randrange(0, 100)
+        cut = split.pieces(text, limit, lap)
+        lap = min(lap, limit - 1)
+        assert cut[0][0] == 0 and cut[-1][1] == len(text) and all(0 < b - a <= limit for a, b in cut)
+        if len(text) > limit:
+            assert all(c == max(b - lap, 0) and d > b for (_, b), (c, d) in zip(cut, cut[1:]))
+    limits = spark.createDataFrame([("a", 10, 3), ("a", 12, 3), ("b", None, 1)], "doc_type string, max_chars int, overlap_chars int")
+    df = raw(spark, [(1, "v", "s", "один два три четыре", "a"), (2, "v", "s", "коротко", "a"), (3, "v", "s", None, "a"), (4, "v", "s", "один два три четыре", "b"), (5, "v", "s", "один два три четыре", None)])
+    out = split.split_oversized(df, limits).orderBy("piece_no").collect()
+    assert {r.row_id for r in out} == {1} and all(len(r.piece) <= 10 for r in out) and out[0].piece == "один два "
+    assert split.split_oversized(df.limit(0), limits).count() == 0
+
+
+# 8
+@needs_files
+def test_encoding_matches_the_reference_library(spark):
+    tiktoken = pytest.importorskip("tiktoken")
+    _, _, ranks = encode.load(encode.TOKENIZERS)
+    ref = tiktoken.Encoding("own", pat_str=encode.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = [None, "", " ", "<|endoftext|>", "a" * 3000, "it's we'll  \n\n x", "Даволаш ва ташхис бўйича", "𝑔𝑚 é​", "12345ж" * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("ids", F.lit(1)).union(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", F.lit(1)))
+    want = Counter((r.doc_id, tuple(ref.encode_ordinary(r.text) if r.text else ())) for r in df.collect())
+    got = Counter((r.doc_id, tuple(r.ids)) for r in encode.encode(df).collect())
+    assert got == want
+    assert encode.encode(df.limit(0)).count() == 0
+
+
+# 9
+def words(rng, n):
+    return ["".join(rng.choice("бвгдклмнпрст") + rng.choice("аеиоу") for _ in range(3)) for _ in range(n)]
+
+
+def test_leaks_find_every_faithful_passage():
+    rng = random.Random(3)
+    for _ in range(150):
+        item = words(rng, 40)
+        prints = leaks.Prints({1: item})
+        n = rng.randrange(15, 36)
+        at = rng.randrange(0, len(item) - n + 1)
+        part = item[at : at + n]
+        for _ in range(n // 6):
+            k = rng.randrange(1, len(part) - 1)
+            how = rng.randrange(3)
+            part[k : k + 1] = [["чужое"], [], [part[k], "чужое"]][how]
+        doc = [prints.index.get(w, -1) for w in [*words(rng, 10), *part, *words(rng, 10)]]
+        assert len(prints.hits(leaks.np.array(doc))[0])
+        got = leaks.passage(doc, prints.items[1].tolist())
+        assert got and got[0] >= 13
+
+
+def test_leaks_table(spark):
+    rng = random.Random(4)
+    items = {k: "Выберите верный ответ. " + " ".join(words(rng, 30)) for k in range(5)}
+    passage = items[0].split(". ")[1].split()
+    df = spark.createDataFrame([(1, "Начало. " + " ".join(passage[:20]).upper() + "!"), (2, " ".join(passage[:9])), (3, None), (4, " "), (5, "Выберите верный ответ. " * 9), (6, items[1]), (6, items[1])], "doc_id bigint, text string").withColumn("item_id", F.lit(1))
+    it = spark.createDataFrame([*items.items(), (9, None), (8, "")], "item_id bigint, text string")
+    got = sorted((r.doc_id, r.item_id) for r in leaks.find_leaks(df, it).collect())
+    assert got == [(1, 0), (6, 1), (6, 1)]
+    assert leaks.find_leaks(df, it.limit(0)).count() == 0 and leaks.find_leaks(df.limit(0), it).count() == 0
+
+
+def test_uzbek_alphabets_fold_together():
+    assert [leaks.fold_word(w) for w in leaks.raw_words("Йиртилган шарбатни ертўлада")] == [leaks.fold_word(w) for w in leaks.raw_words("Yirtilgan sharbatni yerto‘lada")]
+
+
+# 10
+def test_residue(spark):
+    bad = ["Текст {{ clinic.title }} здесь", "x %PATIENT_NAME% y", "a ${drugName} b", "[вставить должность эксперта] текст", "срок KK.OO.YYYY", "504 Gateway Timeout\nПовторите.", "Саҳифа топилмади (404). Манзилни текширинг.", "Lorem ipsum dolor sit amet sed ipsum", "Портал не работает без JavaScript", "Brauzeringizda skriptlar o‘chirilgan. Sahifani yangilang.", "<html><head><title>404 Not Found</title></head></html>", "Namuna matni.", "Fatal error: Allowed memory size of 37 bytes exhausted", "{order_no}"]
+    good = [None, "", " ", "Набор {1, 2, 3} описан в [4], значения <0,05", "Для работы журнала должен быть включён JavaScript, это проверяет инженер.", "Ошибка 404 в отчёте означает, что снимок удалён.", "<|endoftext|> def dose(w): return w * 0.5 # mg", "± 5 % и 6 %", "If the portal reports that a page is not found, the clerk confirms it."]
+    df = spark.createDataFrame([(k, t, f"s{k % 3}", "x") for k, t in enumerate([*bad, *good])], "doc_id bigint, text string, source string, message string")
+    assert {r.doc_id for r in residue.residue_rows(df).collect()} == set(range(len(bad)))
+    assert residue.residue_rows(df.limit(0)).count() == 0
