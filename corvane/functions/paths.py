@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from . import rules as R
-from .text import any_of, one_space, stable_id, strip
+from .text import any_of, let, one_space, stable_id, strip
 
 
 def name(path: Column) -> Column:
@@ -63,11 +63,13 @@ def specialty(parts: Column) -> Column:
 
 def disease_path(parts: Column, file_stem: Column) -> Column:
     """Folders between specialty and file up to the first stop folder; the file's stem where there are none."""
-    middle = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0)))
-    stop = F.array_position(F.transform(middle, is_stop_folder), True)
-    kept = F.slice(middle, F.lit(1), F.when(stop > 0, (stop - 1).cast("int")).otherwise(F.size(middle)))
-    joined = F.array_join(F.transform(kept, tidy), " / ")
-    return F.when((F.size(parts) >= 3) & (F.size(kept) > 0), joined).otherwise(file_stem)
+
+    def kept(middle: Column) -> Column:
+        stop = F.array_position(F.transform(middle, is_stop_folder), True)
+        return F.array_join(F.transform(F.slice(middle, F.lit(1), F.when(stop > 0, (stop - 1).cast("int")).otherwise(F.size(middle))), tidy), " / ")
+
+    middle = let(parts, lambda p: F.slice(p, F.lit(2), F.greatest(F.size(p) - 2, F.lit(0))))
+    return F.coalesce(F.nullif(let(middle, kept), F.lit("")), file_stem)
 
 
 def searchable(path: Column) -> Column:
@@ -75,32 +77,36 @@ def searchable(path: Column) -> Column:
 
 
 def is_review(path: Column) -> Column:
-    return any_of(searchable(path), R.REVIEW_MARKERS)
+    return let(searchable(path), lambda p: any_of(p, R.REVIEW_MARKERS))
 
 
 def doc_type(path: Column) -> Column:
-    p = searchable(path)
-    return F.when(any_of(p, R.STANDARD_MARKERS), "standard").when(any_of(p, R.PROTOCOL_MARKERS), "protocol").otherwise("unknown")
+    return let(searchable(path), lambda p: F.when(any_of(p, R.STANDARD_MARKERS), "standard").when(any_of(p, R.PROTOCOL_MARKERS), "protocol").otherwise("unknown"))
 
 
 def language_hint(path: Column) -> Column:
+    def by_markers(x: Column) -> Column:
+        out = F.when(F.lit(False), F.lit(""))
+        for where in (x["file"], x["path"]):
+            for language, markers in (("ru", R.PATH_RU), ("uz_lat", R.PATH_UZ_LAT), ("uz_cyr", R.PATH_UZ_CYR)):
+                out = out.when(any_of(where, markers), language)
+        return out.when(x["file"].rlike("[қўғҳ]"), "uz_cyr").otherwise("unknown")
+
     p = searchable(path)
-    file = F.element_at(F.split(p, "/"), -1)
-    out = F.when(F.lit(False), F.lit(""))
-    for where in (file, p):
-        for language, markers in (("ru", R.PATH_RU), ("uz_lat", R.PATH_UZ_LAT), ("uz_cyr", R.PATH_UZ_CYR)):
-            out = out.when(any_of(where, markers), language)
-    return out.when(file.rlike("[қўғҳ]"), "uz_cyr").otherwise("unknown")
+    return let(F.struct(F.element_at(F.split(p, "/"), -1).alias("file"), p.alias("path")), by_markers)
 
 
 def file_key(file_stem: Column) -> Column:
     """The stem without language and kind words, removed in turn, and without digits and marks."""
-    low = F.lower(file_stem)
-    out = low
-    for w in R.KEY_REMOVALS:
-        out = F.replace(out, F.lit(w), F.lit(" "))
-    out = strip(one_space(F.regexp_replace(out, r"(?U)[\d_().,\-–—]+", " ")))
-    return F.when(out != "", out).otherwise(low)
+
+    def removed(low: Column) -> Column:
+        out = low
+        for w in R.KEY_REMOVALS:
+            out = F.replace(out, F.lit(w), F.lit(" "))
+        out = strip(one_space(F.regexp_replace(out, r"(?U)[\d_().,\-–—]+", " ")))
+        return F.coalesce(F.nullif(out, F.lit("")), low)
+
+    return let(F.lower(file_stem), removed)
 
 
 def size_kb(length: Column) -> Column:

@@ -6,7 +6,7 @@ missing where a value is chosen. Rows delivered twice stay two rows unless `late
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -19,9 +19,10 @@ COUNTS = "pending_visual_count visual_asset_count docling_batch_count docling_ba
 
 
 def latest(rows: DataFrame, key: str = "variant_id", *order: str) -> DataFrame:
-    """The last delivery of each key."""
-    w = Window.partitionBy(key).orderBy(*(F.col(c).desc_nulls_last() for c in order))
-    return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """The last delivery of each key (nulls of the order come first), by partial aggregation."""
+    rest = [c for c in rows.columns if c != key]
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    return last.select(*(F.col(c) if c == key else F.col(f"_r.{c}").alias(c) for c in rows.columns))
 
 
 def merged(parsed: DataFrame, *keep: str) -> DataFrame:

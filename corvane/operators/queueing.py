@@ -6,7 +6,7 @@ Rows whose file is missing go to a failure table; rows of one variant, path and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
@@ -41,9 +41,11 @@ def queued(rows: DataFrame, reason: str) -> DataFrame:
 
 
 def first_of_each(rows: DataFrame, *order: str) -> DataFrame:
-    """The first row of each variant, path and reason in the given order."""
-    w = Window.partitionBy("variant_id", "ocr_input_path", "ocr_reason").orderBy(*order)
-    return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """The first row of each variant, path and reason in the given order, by partial aggregation."""
+    key = ["variant_id", "ocr_input_path", "ocr_reason"]
+    rest = [c for c in rows.columns if c not in key]
+    kept = rows.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    return kept.select(*(F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in rows.columns))
 
 
 def build_queue(registry: DataFrame, files: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import paths as P
 from ..functions import rules as R
+from .durable import durable
 
 VARIANT = "variant_id inventory_id disease_class_id clinical_doc_group_id specialty disease_path doc_type language_hint source_format source_extension priority size_kb normalized_file_key source_path filename".split()
 
@@ -31,9 +32,10 @@ def numbered(files: DataFrame, order: Column) -> DataFrame:
 
     Rows are range-partitioned and sorted; a partition's offset is the sum of the counts before it (one row a partition).
     """
-    n = max(1, files.rdd.getNumPartitions() if files.isStreaming else int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = files.withColumn("_key", order).repartitionByRange(n, "_key").sortWithinPartitions("_key").withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy("_key")))
+    # both uses must see the same ranges, which are sampled: the table is made once
+    local = durable(ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy("_key"))))
     counts = local.groupBy("_part").agg(F.max("_local").alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return local.join(F.broadcast(before.drop("_n")), "_part").withColumn("ordinal", F.col("_local") + F.col("_before")).drop("_key", "_part", "_local", "_before")
@@ -53,22 +55,26 @@ def select_variants(inv: DataFrame) -> DataFrame:
     """Every row of the inventory with `selected` and `selection_reason`.
 
     A group with any Word file is served by its Word files; its PDFs become backfill. One best file is kept for each known
-    language, and for each file key of unknown language. One shuffle on the group, which both windows share.
+    language, and for each file key of unknown language. Groups are reduced with partial aggregation and joined back, so
+    that a group with a third of all files is never sorted in one task.
     """
-    group = Window.partitionBy("disease_class_id", "doc_type")
+    group = ["disease_class_id", "doc_type"]
     is_word = F.col("source_extension").isin(*R.WORD_EXTENSIONS)
     known = F.col("language_hint").isin(*R.REQUESTED_LANGUAGES)
-    rows = inv.withColumn("_word", F.max(is_word).over(group)).withColumn("_backfill", F.col("_word") & ~is_word)
-    within = Window.partitionBy("disease_class_id", "doc_type", "_backfill", "language_hint", F.when(~known, F.col("normalized_file_key"))).orderBy("priority", F.coalesce("size_kb", F.lit(0.0)).desc(), "source_path")
-    rows = rows.withColumn("_rank", F.row_number().over(within)).withColumn("_best", F.first("variant_id").over(within))
-    pool = F.when(F.col("_word"), "word_primary").otherwise("pdf_primary_no_word_available")
+    rows = inv.join(inv.groupBy(*group).agg(F.max(is_word).alias("_word")), group)
+    rows = rows.withColumns({"_backfill": F.col("_word") & ~is_word, "_key": F.when(known, F.lit("")).otherwise(F.concat(F.lit("k"), "normalized_file_key"))})
+    pool = [*group, "_backfill", "language_hint", "_key"]
+    best = rows.groupBy(*pool).agg(F.min(F.struct("priority", (-F.coalesce("size_kb", F.lit(0.0))).alias("s"), "source_path", "variant_id")).alias("_b"))
+    rows = rows.join(best, pool).withColumn("_best", F.col("_b.variant_id"))
+    first = F.col("source_path") == F.col("_b.source_path")
+    name = F.when(F.col("_word"), "word_primary").otherwise("pdf_primary_no_word_available")
     reason = (
         F.when(F.col("_backfill"), "pdf_backfill_candidate_word_exists")
-        .when(F.col("_rank") > 1, F.concat(F.lit("duplicate_of_"), "_best"))
-        .when(known, F.concat(pool, F.lit("_best_for_language_"), "language_hint"))
-        .otherwise(F.concat(pool, F.lit("_unknown_language_keep_for_content_detection")))
+        .when(~first, F.concat(F.lit("duplicate_of_"), "_best"))
+        .when(known, F.concat(name, F.lit("_best_for_language_"), "language_hint"))
+        .otherwise(F.concat(name, F.lit("_unknown_language_keep_for_content_detection")))
     )
-    return rows.select(*inv.columns, (~F.col("_backfill") & (F.col("_rank") == 1)).alias("selected"), reason.alias("selection_reason"))
+    return rows.select(*inv.columns, (~F.col("_backfill") & first).alias("selected"), reason.alias("selection_reason"))
 
 
 def selected(rows: DataFrame) -> DataFrame:

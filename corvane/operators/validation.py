@@ -5,7 +5,7 @@ artefacts is a listing (path) of what exists; a null or empty path does not exis
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -26,11 +26,12 @@ def validation_text(rows: DataFrame) -> DataFrame:
 
 
 def with_artefacts(rows: DataFrame, artefacts: DataFrame) -> DataFrame:
-    """rows with a boolean has_<column> for each artefact column; one join of the exploded paths."""
+    """rows with a boolean has_<column> for each artefact column. Missing paths get keys of their own, so that they spread."""
     listed = artefacts.filter("path <> ''").select(F.col("path").alias("_p")).distinct()
     for c in ARTEFACTS:
-        there = listed.withColumnRenamed("_p", f"_{c}").withColumn(f"has_{c}", F.lit(True))
-        rows = rows.join(there, F.col(c) == F.col(f"_{c}"), "left").drop(f"_{c}").withColumn(f"has_{c}", F.coalesce(f"has_{c}", F.lit(False)))
+        there = listed.select(F.col("_p").alias("_k"), F.lit(True).alias("_is"))
+        key = F.coalesce(filled(F.col(c)), F.concat(F.lit("\u0001"), F.xxhash64("variant_id", "source_path").cast("string")))
+        rows = rows.withColumn("_key", key).join(there, F.col("_key") == F.col("_k"), "left").withColumn(f"has_{c}", F.coalesce("_is", F.lit(False))).drop("_key", "_k", "_is")
     return rows
 
 
@@ -46,17 +47,17 @@ def manifest_facts(manifest: DataFrame, artefacts: DataFrame | None = None) -> D
     return m.groupBy("variant_id").agg(F.count(F.lit(1)).alias("manifest_rows"), lost.alias("missing_crops"))
 
 
-def review_flags(text: Column, language: Column, codes: Column, bad: Column, letters: Column, min_chars: int) -> Column:
-    """Flags in their order, each once. Expects the has_ columns, manifest_rows and missing_crops beside the merged columns."""
-    n, pending = F.length(text), F.coalesce("pending_visual_count", F.lit(0))
+def review_flags(min_chars: int) -> Column:
+    """Flags in their order, each once, of rows as text_facts and with_artefacts leave them."""
+    n, language, pending = F.col("_n"), F.col("_lang"), F.coalesce("pending_visual_count", F.lit(0))
     flag = lambda cond, name: F.when(cond, F.lit(name))
     manifest = F.col("has_visual_manifest_path")
     own = X.compact(
         flag(~F.coalesce(F.col("source_format") == "pdf", F.lit(False)), "non_pdf_row_in_pdf_only_validation"),
         flag(n < min_chars, "needs_review_char_count_below_min"),
-        flag(F.size(codes) == 0, "needs_review_no_icd_codes_detected"),
-        flag(bad > 0, "needs_review_bad_text_patterns"),
-        flag((n > R.LOW_CHARS) & (letters < R.LETTER_RATIO), "needs_review_low_letter_ratio"),
+        flag(F.size("_codes") == 0, "needs_review_no_icd_codes_detected"),
+        flag(F.col("_bad") > 0, "needs_review_bad_text_patterns"),
+        flag((n > R.LOW_CHARS) & (F.col("letter_ratio") < R.LETTER_RATIO), "needs_review_low_letter_ratio"),
         flag((F.coalesce("final_language", F.lit("")) == "unknown") | (language == "unknown"), "needs_review_unknown_language"),
         flag(~F.col("has_markdown_path"), "missing_markdown_output"),
         flag(~F.col("has_agentic_json_path"), "missing_agentic_json_output"),
@@ -68,19 +69,27 @@ def review_flags(text: Column, language: Column, codes: Column, bad: Column, let
         flag(F.coalesce("docling_batch_failed_count", F.lit(0)) > 0, "docling_batch_failures"),
         flag(F.coalesce("page_count", F.lit(0)) <= 0, "missing_page_count"),
     )
-    return F.array_distinct(F.concat(F.coalesce("quality_flags", F.array().cast("array<string>")), X.quality_flags(text, language), own))
+    return F.array_distinct(F.concat(F.coalesce("quality_flags", F.array().cast("array<string>")), "_quality", own))
+
+
+def text_facts(rows: DataFrame) -> DataFrame:
+    """rows with all that follows from the text, and without the texts: later joins move slim rows only."""
+    text = F.col("_t")
+    rows = once(validation_text(rows), _t=clean(F.col("_text")))
+    rows = once(rows, _lang=F.coalesce(filled(F.col("detected_language")), X.language_by_markers(text)), _codes=X.codes(text), _bad=X.bad_patterns(text))
+    rows = once(rows, _quality=X.quality_flags(text, F.col("_lang")))
+    rows = rows.withColumns({c: X.ratio(text, p) for c, p in X.RATIOS.items()} | {"_n": F.length(text)})
+    return rows.drop("_t", "_text", "raw_text", "clean_text")
 
 
 def quality_report(rows: DataFrame, artefacts: DataFrame, manifest: DataFrame, min_chars: int, *keep: str) -> DataFrame:
     """The QA row of every merged row."""
-    facts = manifest_facts(manifest, artefacts)
-    rows = with_artefacts(validation_text(rows), artefacts).join(facts, "variant_id", "left")
-    text, lang, codes, flags = F.col("_t"), F.col("_lang"), F.col("_codes"), F.col("_flags")
-    rows = once(once(rows, _t=clean(F.col("_text"))), _lang=F.coalesce(filled(F.col("detected_language")), X.language_by_markers(text)), _codes=X.codes(text), _bad=X.bad_patterns(text), _letters=X.ratio(text, X.LETTER))
-    rows = once(rows, _flags=review_flags(text, lang, codes, F.col("_bad"), F.col("_letters"), min_chars))
+    rows = with_artefacts(text_facts(rows), artefacts).join(manifest_facts(manifest, artefacts), "variant_id", "left")
+    rows = once(rows, _flags=review_flags(min_chars))
+    lang, codes, flags = F.col("_lang"), F.col("_codes"), F.col("_flags")
     return rows.select(
-        *keep, *DESCRIPTIVE, lang.alias("detected_language"), F.coalesce(filled(F.col("final_language")), lang).alias("final_language"), "validation_text_source", F.length(text).alias("char_count"), "page_count",
-        *(X.ratio(text, p).alias(n) for n, p in X.RATIOS.items()), F.size(codes).alias("icd_code_count"), F.array_join(F.slice(codes, 1, R.SHOWN_CODES), ", ").alias("icd_codes_detected"), F.col("_bad").alias("bad_pattern_count"),
+        *keep, *DESCRIPTIVE, lang.alias("detected_language"), F.coalesce(filled(F.col("final_language")), lang).alias("final_language"), "validation_text_source", F.col("_n").alias("char_count"), "page_count",
+        *X.RATIOS, F.size(codes).alias("icd_code_count"), F.array_join(F.slice(codes, 1, R.SHOWN_CODES), ", ").alias("icd_codes_detected"), F.col("_bad").alias("bad_pattern_count"),
         "pending_visual_count", "visual_asset_count", "docling_batch_count", "docling_batch_failed_count", *ARTEFACTS, F.size(flags).alias("review_flag_count"), F.array_join(flags, "; ").alias("review_flags"), (F.size(flags) > 0).alias("needs_review"),
     )
 
@@ -118,7 +127,3 @@ def best_candidate(candidates: DataFrame) -> DataFrame:
         F.max(F.when(F.col("ok"), F.struct(F.col("_n"), (-F.col("method_rank")).alias("r"), "method", "text"))).alias("b"), F.map_from_entries(F.array_sort(F.collect_set(F.struct("method", "_n")))).alias("stats")
     )
     return agg.select("variant_id", F.col("b.method").alias("method"), F.col("b.text").alias("text"), F.col("b._n").alias("char_count"), "stats")
-
-
-def dense(column: str, *partition: str) -> Column:
-    return F.row_number().over(Window.partitionBy(*partition).orderBy(column))
