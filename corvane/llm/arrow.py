@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..operators.durable import durable  # noqa: F401 - used through this module
+
 #: Rows handled at once; keeps Python strings and results of one batch small beside an executor's memory.
 CHUNK = 1024
 
@@ -39,16 +40,3 @@ class Memo(dict):
             self.clear()
         value = self[key] = self.make(key)
         return value
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """df cut from its lineage by a checkpoint in the folder that spark.checkpoint.dir names; every executor can read it again.
-
-    A folder of its own is set only where the setting is missing and the session is local, as in tests.
-    """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        if not spark.sparkContext.master.startswith("local"):
-            return df
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
