@@ -100,9 +100,7 @@ def file_key(file_stem: Column) -> Column:
     """The stem without language and kind words, removed in turn, and without digits and marks."""
 
     def removed(low: Column) -> Column:
-        out = low
-        for w in R.KEY_REMOVALS:
-            out = F.replace(out, F.lit(w), F.lit(" "))
+        out = F.aggregate(F.split(F.lit("|".join(R.KEY_REMOVALS)), r"\|"), low, lambda x, w: F.replace(x, w, F.lit(" ")))
         out = strip(one_space(F.regexp_replace(out, r"(?U)[\d_().,\-–—]+", " ")))
         return F.coalesce(F.nullif(out, F.lit("")), low)
 

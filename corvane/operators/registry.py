@@ -58,6 +58,7 @@ def select_variants(inv: DataFrame) -> DataFrame:
     language, and for each file key of unknown language. Groups are reduced with partial aggregation and joined back, so
     that a group with a third of all files is never sorted in one task.
     """
+    inv = durable(inv)  # slim rows that are read three times
     group = ["disease_class_id", "doc_type"]
     is_word = F.col("source_extension").isin(*R.WORD_EXTENSIONS)
     known = F.col("language_hint").isin(*R.REQUESTED_LANGUAGES)

@@ -11,13 +11,14 @@ from ..functions import paths as P
 from ..functions import tables as T
 from ..functions import text as X
 from ..operators import blocks, extraction, merging, queueing, registry, validation
+from ..sources.readers import spread
 from .oracle import oracle_sql  # noqa: F401 - part of the contract
 
 CFG = Settings()
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(spark.read.parquet(f"{d}/{name}.parquet"))
 
 
 def listing(spark: SparkSession, d: str) -> DataFrame:
@@ -346,7 +347,7 @@ def failures_split(spark, d):
     return ok.groupBy("method").agg(F.count(F.lit(1)).alias("n")).withColumn("status", F.lit("ok")).unionByName(failed.groupBy("method").agg(F.count(F.lit(1)).alias("n")).withColumn("status", F.lit("failed")))
 
 
-_NOT_QUERIES = {"table", "listing", "oracle_sql", "queries", "artefacts"}
+_NOT_QUERIES = {"spread", "table", "listing", "oracle_sql", "queries", "artefacts"}
 
 
 def queries() -> dict:

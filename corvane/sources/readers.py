@@ -53,3 +53,9 @@ def csv_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return raw.select(*((F.expr(f"try_cast(`{n}` as {t})") if n in raw.columns else F.lit(None).cast(t)).alias(n) for n, t in types))
 
     return _or_empty(spark, read, schema)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as there are cores: a table of one or two files is dealt out, others are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
