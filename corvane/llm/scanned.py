@@ -6,7 +6,8 @@ with misread characters are corrected to vocabulary words that common confusions
 
 The vocabulary and the header masks are counted over all rows (partial counts in each partition, one shuffle of counts).
 Only words found in a fixed share of all rows are kept, so their number is at most mean-distinct-words / share whatever
-the number of rows; that bound makes them fit for a broadcast.
+the number of rows; that bound makes them fit for a broadcast. Header masks need a fixed number of rows at every size, so that
+small series are found in large tables too; they are broadcast as well, and grow with the number of distinct series.
 
 Defined results: null, empty and blank texts, and records whose paragraphs are not wrapped into short lines, have no defects and stay
 as they are. A title in its own place, headings and numbers of the text are kept. Repeated rows are judged one by one.
@@ -181,9 +182,18 @@ class Model:
         top = max(words.values(), default=0)
         self.common = frozenset(w for w, n in words.items() if 30 * n > top)
         self.firsts = frozenset(w.split("-")[0] for w in words if "-" in w)
-        self.known_head = Memo(lambda m: any(alike(m, h, 0.84) for h in self.heads), 50_000)
+        self.known_head = Memo(self.is_head, 50_000)
+        self.by_length: dict[int, list[str]] = {}
+        for h in heads:
+            self.by_length.setdefault(len(h), []).append(h)
         self.fixed, self.bad = Memo(self.correct), Memo(self.bad_word)
 
+    def is_head(self, form: str) -> bool:
+        """Whether a form is like a header mask; only masks of a length that alike() admits are compared."""
+        n = len(form)
+        near = self.by_length.get(n, ())
+        return form in near or any(alike(form, h, 0.84) for k, hs in self.by_length.items() if min(n, k) >= 0.84 * max(n, k) - 1 for h in hs)
+
     def correct(self, word: str) -> str | None:
         """The vocabulary word that the usual confusions lead to, if it is far more frequent than the word itself."""
         found = self.by_class.get(fold(word))
@@ -392,12 +402,12 @@ def count_corpus(df: DataFrame, text_col: str = "raw_text", flush: int = 300_000
     return src.mapInArrow(run, "kind string, key string, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def fit(df: DataFrame, text_col: str = "raw_text", share: float = 1e-4, least: int = 3) -> Model:
+def fit(df: DataFrame, text_col: str = "raw_text", share: float = 1e-4, least: int = 3, least_heads: int = 5) -> Model:
     """The vocabulary of words in at least `share` of the rows (and in `least` rows), and the header masks: short lines with a
-    number that stand beside page numbers in most of the rows that have them."""
+    number that stand beside page numbers in most of the rows that have them, and in `least_heads` rows whatever the number of rows."""
     rows = df.filter(F.trim(df[text_col]) != "").count()
     floor = max(least, int(share * rows))
-    counted = count_corpus(df, text_col).filter((F.col("kind") == "w") & (F.col("n") >= floor) | (F.col("kind") != "w") & (F.col("n") >= max(5, 10 * floor if rows > 10_000 else 5)))
+    counted = count_corpus(df, text_col).filter((F.col("kind") == "w") & (F.col("n") >= floor) | (F.col("kind") != "w") & (F.col("n") >= least_heads))
     words, beside, lines = {}, {}, {}
     for r in counted.toLocalIterator():
         (words if r[0] == "w" else beside if r[0] == "h" else lines)[r[1]] = r[2]

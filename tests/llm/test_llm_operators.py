@@ -68,6 +68,13 @@ def test_scanned_table(spark):
     assert scanned.repair(df.limit(0), scanned.fit(df.limit(0))).count() == 0
 
 
+def test_rare_headers_are_learned_at_every_size(spark):
+    page = "Заметки\nПосле выписки врач проводит осмотр больного и при\nполучении результата назначает лечение номер {}\n{}\nВЕСТНИК КЛИНИКИ. ТОМ {}\nследующий осмотр больного проводит врач.\n{}"
+    rare = [(page.format("абвгде"[k], k + 1, 20 + k, k + 2),) for k in range(6)]
+    df = spark.createDataFrame(rare, "raw_text string").union(spark.range(10_100).selectExpr("concat('Чистая запись без страниц ', id)"))
+    assert scanned.fit(df).heads == ["вестник клиники. том #"]
+
+
 # 2
 def test_repeated_lines_against_brute_force(spark):
     rng = random.Random(1)
