@@ -4,9 +4,9 @@ Pages' edges are found by fuzzy repetition of lines: the document's title or a m
 page numbers that follow each other. Words divided at line ends are joined by the rules of a corpus vocabulary, and words
 with misread characters are corrected to vocabulary words that common confusions lead to.
 
-The vocabulary and the header masks are counted over all rows (partial counts in each partition, one shuffle of counts).
-Only words found in a fixed share of all rows are kept, so their number is at most mean-distinct-words / share whatever
-the number of rows; that bound makes them fit for a broadcast. Header masks need a fixed number of rows at every size, so that
+The vocabulary and the header masks are counted over all distinct texts (copies are left out by digest, with one shuffle of
+the texts; then partial counts in each partition, one shuffle of counts). Only words found in a fixed share of them are kept, so their number is at most mean-distinct-words / share whatever
+their number; that bound makes them fit for a broadcast. Header masks need a fixed number of texts at every size, so that
 small series are found in large tables too; they are broadcast as well, and grow with the number of distinct series.
 
 Defined results: null, empty and blank texts, and records whose paragraphs are not wrapped into short lines, have no defects and stay
@@ -402,12 +402,19 @@ def count_corpus(df: DataFrame, text_col: str = "raw_text", flush: int = 300_000
     return src.mapInArrow(run, "kind string, key string, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
+def distinct_texts(df: DataFrame, text_col: str = "raw_text") -> DataFrame:
+    """(raw_text): each text that is not blank once. Aggregated by digest within partitions first, so that copies of one text,
+    however many, meet in no single task."""
+    src = df.select(df[text_col].alias("raw_text")).filter(F.trim("raw_text") != "")
+    return src.groupBy(F.sha2("raw_text", 256).alias("digest")).agg(F.first("raw_text").alias("raw_text")).select("raw_text")
+
+
 def fit(df: DataFrame, text_col: str = "raw_text", share: float = 1e-4, least: int = 3, least_heads: int = 5) -> Model:
-    """The vocabulary of words in at least `share` of the rows (and in `least` rows), and the header masks: short lines with a
-    number that stand beside page numbers in most of the rows that have them, and in `least_heads` rows whatever the number of rows."""
-    rows = df.filter(F.trim(df[text_col]) != "").count()
-    floor = max(least, int(share * rows))
-    counted = count_corpus(df, text_col).filter((F.col("kind") == "w") & (F.col("n") >= floor) | (F.col("kind") != "w") & (F.col("n") >= least_heads))
+    """The vocabulary of words in at least `share` of the distinct texts (and in `least` of them), and the header masks: short lines with a
+    number that stand beside page numbers in most of the rows that have them, and in `least_heads` texts whatever their number. Copies of one text count once."""
+    texts = df.filter(F.trim(df[text_col]) != "").select(F.sha2(text_col, 256)).distinct().count()
+    floor = max(least, int(share * texts))
+    counted = count_corpus(distinct_texts(df, text_col)).filter((F.col("kind") == "w") & (F.col("n") >= floor) | (F.col("kind") != "w") & (F.col("n") >= least_heads))
     words, beside, lines = {}, {}, {}
     for r in counted.toLocalIterator():
         (words if r[0] == "w" else beside if r[0] == "h" else lines)[r[1]] = r[2]

@@ -75,6 +75,17 @@ def test_rare_headers_are_learned_at_every_size(spark):
     assert scanned.fit(df).heads == ["вестник клиники. том #"]
 
 
+def test_copies_of_one_text_count_once(spark):
+    words = "обследование назначают планово каждому взрослому пациенту отделения"
+    clean = [(k, f"Запись {k}: {words} без отклонений") for k in range(60)]
+    scan = "Заметки о порядке обследования взрослых\nСегодня обследовапие назначают планово взрослому\nпациенту отделения и выписывают его домой."
+    df = spark.createDataFrame([*clean, *((100 + k, scan) for k in range(30))], "row_id bigint, raw_text string")
+    model = scanned.fit(df, least=1)
+    assert model.words["обследовапие"] == 1 and model.words["обследование"] == 60
+    got = {(r.row_id, r.line_no) for r in scanned.repair(df, model, repaired=False).filter("defect = 'bad_chars'").collect()}
+    assert got == {(100 + k, 2) for k in range(30)}
+
+
 # 2
 def test_repeated_lines_against_brute_force(spark):
     rng = random.Random(1)
