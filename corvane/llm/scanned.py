@@ -1,7 +1,7 @@
 """Problem 1: repair of text from scanned pages.
 
-Pages' edges are found by fuzzy repetition of lines: the document's title or a mask of the corpus's running headers, and
-page numbers that follow each other. Words divided at line ends are joined by the rules of a corpus vocabulary, and words
+Pages' edges are found by fuzzy repetition of lines: the document's title, a mask of the corpus's running headers, lines beside
+page breaks that are alike on several pages, and page numbers that follow each other. Words divided at line ends are joined by the rules of a corpus vocabulary, and words
 with misread characters are corrected to vocabulary words that common confusions lead to.
 
 The vocabulary and the header masks are counted over all distinct texts (copies are left out by digest, with one shuffle of
@@ -115,6 +115,13 @@ def alike(a: str, b: str, least: float = 0.8) -> bool:
     return m.quick_ratio() >= least and m.ratio() >= least
 
 
+def pairs_admit(a: str, b: str, least: float) -> bool:
+    """Whether the letter pairs of two lines admit that alike() holds: a sign without a match takes at most two pairs with it."""
+    most = (1 - least / 2) * (len(a) + len(b))
+    lost = most + len(a) - least * (len(a) + len(b)) / 2
+    return len({*zip(a, a[1:])} - {*zip(b, b[1:])}) <= lost
+
+
 def page_number(s: str) -> tuple[int | None, bool] | None:
     """(value, explicit) of a line that has the form of a page number; None for other lines."""
     if len(s) > 26:
@@ -183,6 +190,7 @@ class Model:
         self.common = frozenset(w for w, n in words.items() if 30 * n > top)
         self.firsts = frozenset(w.split("-")[0] for w in words if "-" in w)
         self.known_head = Memo(self.is_head, 50_000)
+        self.plain_heads = frozenset(h for h in heads if "#" not in h)
         self.by_length: dict[int, list[str]] = {}
         for h in heads:
             self.by_length.setdefault(len(h), []).append(h)
@@ -190,9 +198,11 @@ class Model:
 
     def is_head(self, form: str) -> bool:
         """Whether a form is like a header mask; only masks of a length that alike() admits are compared."""
+        if "#" not in form and not self.plain_heads:
+            return False
         n = len(form)
         near = self.by_length.get(n, ())
-        return form in near or any(alike(form, h, 0.84) for k, hs in self.by_length.items() if min(n, k) >= 0.84 * max(n, k) - 1 for h in hs)
+        return form in near or any(alike(form, h, 0.84) for k, hs in self.by_length.items() if min(n, k) >= 0.84 * max(n, k) - 1 for h in hs if "#" in form or h in self.plain_heads)
 
     def correct(self, word: str) -> str | None:
         """The vocabulary word that the usual confusions lead to, if it is far more frequent than the word itself."""
@@ -206,8 +216,11 @@ class Model:
         texts = [(k, x.strip()) for k, x in enumerate(lines) if x.strip()]
         out: set[int] = set()
         heads, numbers, title = {}, [], None
+        own: dict[int, tuple] = {}
         for n, (k, s) in enumerate(texts):
             head, number = head_and_number(s)
+            if head and number:
+                own[k] = (n, head, number)
             if head and len(head) <= 50 and DIGIT_LIKE.search(head) and head[-1] not in CLOSING and "#" in (form := mask(head)) and self.known_head[form]:
                 heads[k] = True
             elif head and title is None and not number:
@@ -215,12 +228,19 @@ class Model:
                 if n + 1 < len(texts):
                     title.append(letters(f"{s} {texts[n + 1][1]}"))
                 continue
+            elif head and self.plain_heads and len(head) <= 60 and head[-1] not in CLOSING and "#" not in (form := mask(head)) and self.known_head[form]:
+                heads[k] = True
             elif head and title and head[-1] not in ".;,:" and any(0.8 * len(t) - 2 <= len(head) <= 1.25 * len(t) + 4 for t in title) and any(alike(letters(head), t, 0.82) for t in title):
                 heads[k] = True
             if number and (not head or k in heads):
                 numbers.append((n, k, *number))
-        out |= set(heads)
         chain = self.sequence(numbers)
+        found = self.repeated_edges(texts, {k for _, k, _, explicit in numbers if explicit or k in chain} | set(heads), {k: head for k, (_, head, _) in own.items()})
+        if found:
+            heads |= dict.fromkeys(found, True)
+            numbers = sorted({*numbers, *((own[k][0], k, *own[k][2]) for k in found if k in own)}, key=lambda x: x[:2])
+            chain = self.sequence(numbers)
+        out |= set(heads)
         last = texts[-1][0] if texts else -1
         around = {texts[n + d][0] for n, (k, _) in enumerate(texts) if k in heads for d in (-1, 1) if 0 <= n + d < len(texts)}
         romans = sum(number_is_roman(lines[k]) for _, k, _, _ in numbers if k in chain)
@@ -232,6 +252,40 @@ class Model:
                 out.add(k)
         return out
 
+    @staticmethod
+    def repeated_edges(texts: list[tuple[int, str]], breaks: set[int], own: dict[int, str], least: float = 0.88) -> set[int]:
+        """Places of the lines beside page breaks, or with a page number of their own, that are alike on pages which follow each
+        other (or every other page), on one side of the break, with or without digits. Lines found are edges too, so headers of
+        several lines are found one by one. The first line is the title's own place; lines that go on in lower case need three
+        pages; a line that is more often found inside the pages than at their edges belongs to the text."""
+        found: set[int] = set()
+        if not breaks and len(own) < 2:
+            return found
+        same = lambda a, b: a == b or min(len(a), len(b)) >= least * max(len(a), len(b)) - 1 and pairs_admit(a, b, least) and alike(a, b, least)
+        while True:
+            edge, page, near, gap = breaks | found, 0, {}, True
+            for n, (k, s) in enumerate(texts):
+                if k in edge or k in own:  # lines beside each other are one break
+                    page, gap = page + gap, False
+                else:
+                    gap = True
+                if not n or k in edge:
+                    continue
+                side = "own" if k in own else "above" if texts[n - 1][0] in edge else "below" if n + 1 < len(texts) and texts[n + 1][0] in edge or edge and n + 1 == len(texts) else ""
+                head = own.get(k, s)
+                if side and 4 < len(head) <= 60 and not closed(head) and not ITEM.match(head) and sum(map(str.isalpha, form := mask(head))) > 3:
+                    near[k] = page + (side == "below"), "" if side == "own" else side, form
+            new, low = set(), {k for k, s in texts if LOWER.match(s)}
+            for k, (at, side, form) in near.items():
+                mates = [p for j, (p, d, f) in near.items() if j != k and d == side and p != at and same(form, f)]
+                if len(mates) > (k in low) and min(abs(p - at) for p in mates) <= 2:
+                    inside = sum(same(form, mask(s)) for j, s in texts if j not in near and j not in edge)
+                    if len(mates) + 1 >= 0.4 * (len(mates) + 1 + inside):
+                        new.add(k)
+            if not new:
+                return found
+            found |= new
+
     @staticmethod
     def sequence(numbers: list[tuple]) -> set[int]:
         """Places of the longest row of numbers in which each equals the one before or follows it."""
@@ -382,15 +436,15 @@ def count_corpus(df: DataFrame, text_col: str = "raw_text", flush: int = 300_000
                     for x in lines:
                         seen.update(("w", w) for w in WORD.findall(x.lower())[1:-1])
                     texts = [x.strip() for x in lines if x.strip()]
+                    titles = [letters(" ".join(texts[:n])) for n in (1, 2)]  # a title may be a running line in its own record only
                     number = [page_number(x) if len(x) <= 26 else None for x in texts]
                     for k, x in enumerate(texts):
                         if 4 < len(x) <= 60 and not number[k] and not closed(x):
                             head, own = head_and_number(x)
                             m = mask(head)
-                            if "#" in m:  # titles and headings have no number of their own
-                                seen.add(("l", m))
-                                if own or k and number[k - 1] or k + 1 < len(texts) and number[k + 1]:
-                                    seen.add(("h", m))
+                            seen.add(("l", m))
+                            if (own or k and number[k - 1] or k + 1 < len(texts) and number[k + 1]) and ("#" in m or k and not any(alike(letters(head), t, 0.82) for t in titles)):
+                                seen.add(("h", m))
                 else:
                     seen.update(("w", w) for w in WORD.findall(text.lower()))
                 counts.update(seen)
@@ -410,15 +464,15 @@ def distinct_texts(df: DataFrame, text_col: str = "raw_text") -> DataFrame:
 
 
 def fit(df: DataFrame, text_col: str = "raw_text", share: float = 1e-4, least: int = 3, least_heads: int = 5) -> Model:
-    """The vocabulary of words in at least `share` of the distinct texts (and in `least` of them), and the header masks: short lines with a
-    number that stand beside page numbers in most of the rows that have them, and in `least_heads` texts whatever their number. Copies of one text count once."""
+    """The vocabulary of words in at least `share` of the distinct texts (and in `least` of them), and the header masks: short lines
+    that stand beside page numbers in most of the rows that have them, and in `least_heads` texts whatever their number. Copies of one text count once."""
     texts = df.filter(F.trim(df[text_col]) != "").select(F.sha2(text_col, 256)).distinct().count()
     floor = max(least, int(share * texts))
     counted = count_corpus(distinct_texts(df, text_col)).filter((F.col("kind") == "w") & (F.col("n") >= floor) | (F.col("kind") != "w") & (F.col("n") >= least_heads))
     words, beside, lines = {}, {}, {}
     for r in counted.toLocalIterator():
         (words if r[0] == "w" else beside if r[0] == "h" else lines)[r[1]] = r[2]
-    heads = sorted(m for m, n in beside.items() if n >= 0.4 * lines.get(m, n) and sum(map(str.isalpha, m)) > 1)
+    heads = sorted(m for m, n in beside.items() if n >= 0.4 * lines.get(m, n) and sum(map(str.isalpha, m)) > (1 if "#" in m else 3))
     return Model(words, heads)
 
 
@@ -446,7 +500,7 @@ def repair(df: DataFrame, model: Model, row_col: str = "row_id", text_col: str =
     return map_rows(df.select(df[row_col].alias("row_id"), df[text_col].alias("txt")), make, f"row_id {kind}, line_no int, defect string, text string", arrow)
 
 
-_models: dict[int, Model] = {}
+_models: dict[int, tuple[tuple, Model]] = {}  # the value is held, so that no other takes its id
 
 
 def _model(shared) -> Model:
@@ -454,5 +508,5 @@ def _model(shared) -> Model:
     key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) is not None else id(shared.value)
     if key not in _models:
         _models.clear()
-        _models[key] = Model(*shared.value)
-    return _models[key]
+        _models[key] = shared.value, Model(*shared.value)
+    return _models[key][1]

@@ -86,6 +86,19 @@ def test_copies_of_one_text_count_once(spark):
     assert got == {(100 + k, 2) for k in range(30)}
 
 
+def test_headers_without_numbers(spark):
+    body = "Сегодня врач проводит осмотр больного и назначает при\nобострении лечение по схеме отделения, указывая {} раз."
+    two, three = "При анемии средней тяжести показаны таблетки железа, их\nпринимают до обеда и запивают водой.", "Контроль анализа крови проводят каждую неделю, пока он\nне станет обычным для возраста больного."
+    pages = [body.format("один"), "3", "Республиканский институт терапии", two, "4", "Республиканскнй институт терапии", three, "5"]
+    found = model().defects("\n".join(["О лечении больных с анемией в отделениях", *pages]), False)[0]
+    assert [n for n, d in found if d == "running_line"] == [4, 5, 8, 9, 12]
+    words = "сосуды почки печень лёгкие кости нервы".split()
+    rows = [(f"Заметка о болезни: {w}\n{body.format(w)}\n{k + 1}\nИнститут терапии и хирургии\nПосле этого врач описывает {w}.",) for k, w in enumerate(words)]
+    m = scanned.fit(spark.createDataFrame(rows, "raw_text string"))
+    assert m.heads == ["институт терапии и хирургии"]
+    assert (5, "running_line") in m.defects(rows[0][0], False)[0]
+
+
 # 2
 def test_repeated_lines_against_brute_force(spark):
     rng = random.Random(1)
