@@ -106,13 +106,15 @@ SURE = [
     )
 ]
 LIKELY = [re.compile(p) for p in (rf"^{_js} (?:va|and|i) (?:cookies|kookies) ", rf"^[^.!?]{{0,40}}\b(?:captcha|ddos)\b", rf"^{fold('Требуются')} {_js}", r"^(?:brauzer|browser)\w* \w+ \w*$")]
-# Word parts of lower-case texts that hold a candidate sentence.
-HINTS = "java|скрипт|сценари|skript|ssenari|ссенари|script|brauzer|браузер|browser| js|traceback|fatal error|ora-|establishing|include(|<title|not found|не найден|topilmadi|топилмади|больше не доступ|mavjud emas|мавжуд эмас|no longer|образец текста|своим содержанием|добавлен позднее|должен быть текст|описание здесь|заголовок раздела|matn|матн|almashtiring|алмаштиринг|sarlavha|сарлавҳа|sample text|own content|added later|goes here|description here|section t|section h|click to add".split("|")
-CODE = re.compile(r"^\W*(?:error |http )?[45]\d\d\b|\([45]\d\d\)", re.M)
+# What a message must hold, in the folded form that the rules read, for any rule to match: each rule of SURE and
+# LIKELY has a part of this list, a phrase of FILLER or STATUS, or a status code in brackets. A code before other words needs STATUS or <title>.
+PARTS = "java|js|skript|stsenari|ssenari|aktivn|traceback|fatal error|establishing|ora-|include|require|mysql|pg_|bolshe ne dostup|endi mavjud emas|no longer available|brauzer|browser|captcha|ddos|</title>"
+HINTS = re.compile("|".join((PARTS, _any([*FILLER, *STATUS]), re.escape(fold("не работает без")), re.escape(fold("ваш браузер")), re.escape(fold("в вашем браузере")))))
 
 
-def hinted(low: str) -> bool:
-    return any(h in low for h in HINTS) or CODE.search(low) is not None
+def hinted(folded: str) -> bool:
+    """Whether any rule may match a text or sentence that fold() has brought to the form of the rules."""
+    return HINTS.search(folded) is not None
 
 
 def classify(message: str) -> str | None:
@@ -154,11 +156,11 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 if has_placeholder(text) or has_filler(low):
                     out.append((i, src, None, None))
                     continue
-                if not hinted(low):
+                if not hinted(fold(text)):
                     continue
                 seen = set()
                 for s in (*split(text), *text.split("\n")):
-                    if s.strip() and len(s) < 400 and hinted(s.lower()):
+                    if s.strip() and hinted(fold(s)):
                         m = mask(s)
                         if m and m not in seen:
                             seen.add(m)

@@ -282,3 +282,14 @@ def test_residue(spark):
     df = spark.createDataFrame([(k, t, f"s{k % 3}", "x") for k, t in enumerate([*bad, *good])], "doc_id bigint, text string, source string, message string")
     assert {r.doc_id for r in residue.residue_rows(df).collect()} == set(range(len(bad)))
     assert residue.residue_rows(df.limit(0)).count() == 0
+
+
+def test_residue_hints_pass_what_the_rules_know(spark):
+    bad = ["Ошибка 500: Внутренняя ошибка сервера", "Ошибка 403. Доступ запрещён", "Xato 403: Kirish taqiqlangan", "Warning: require() failed", "Warning: mysql_connect() failed", "Warning: pg_connect() failed"]
+    bad += [f"{code}: {p}" for code in (404, 503) for p in residue.STATUS] + residue.FILLER + ["502 Bad Gateway (502) " + "nginx " * 90, "Traceback (most recent call last) " + "in module " * 60]
+    likely = ["Пройдите captcha и продолжайте", "Сайт защищён от ddos атак"]
+    good = ["Ошибка в отчёте сервера исправлена.", "Сахар требует контроля."]
+    rows = [*((k, t, f"s{k % 3}") for k, t in enumerate(bad)), *((1000 + 10 * k + n, t, f"s{n}") for k, t in enumerate(likely) for n in range(3)), *((2000 + k, t, "s") for k, t in enumerate(good))]
+    got = {r.doc_id for r in residue.residue_rows(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
+    missed = [t for i, t, _ in rows if i < 2000 and i not in got and residue.classify(residue.mask(t))]
+    assert not missed and set(range(6)) <= got and {1000, 1001, 1002, 1010, 1011, 1012} <= got and not got & {2000, 2001}
