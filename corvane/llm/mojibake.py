@@ -6,7 +6,7 @@ of the trusted language samples, plus fixed costs for signs that no text of thes
 the cheapest state reached is the restored text. Words are searched, then runs of words agree on one chain of steps.
 
 Defined results: null and empty texts are unchanged and never found; a text with U+FFFD inside is always found (characters
-were lost for good), and restored as far as its other characters allow; rare letters and signs that no step makes more
+were lost for good), as is one with words of question marks or runs of them between letters, and restored as far as its other characters allow; rare letters and signs that no step makes more
 plausible stay as they are. Repeated rows are judged one by one.
 """
 
@@ -46,6 +46,26 @@ FAMILIAR = re.compile(r"[\x20-\x7eА-Яа-яЁёЎўҚқҒғҲҳ«»“”‘’
 #: Words of ordinary signs that may still be bytes: a sign right after a letter, or two alphabets at once.
 DOUBT = re.compile(r"[A-Za-zЀ-ӿ][°±№…“–—]|[Ѐ-ӿ][‘’”]|[A-Za-z‘’][А-яЁёЎўҚқҒғҲҳ]|[А-яЁёЎўҚқҒғҲҳ][A-Za-z]")
 
+#: Character references with their closing sign, perhaps escaped again.
+ENTITY = re.compile(r"&(?:amp;)*(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z][A-Za-z0-9]{1,30});")
+#: Letters that became question marks: words of nothing else, or runs between two letters. A mark after a word is punctuation.
+ERASED = re.compile(r"(?<!\S)[«“\"(]*\?{4,}[\])».,:;”\"]*(?!\S)|(?<!\S)\?{2,}[.,;:]?[ \t]+\?{2,}[.,;:]?(?!\S)|[^\W\d_]\?{2,}[^\W\d_]")
+
+
+def _open(m: re.Match) -> str:
+    s = m[0]
+    while (u := html.unescape(s)) != s:
+        s = u
+    return s
+
+
+def unescaped(text: str) -> str:
+    """A text whose characters stand in it as references is unescaped whole, before it is cut into words; a text in which
+    references stand for ASCII signs only is no case and stays."""
+    if "&" not in text or all(_open(m).isascii() for m in ENTITY.finditer(text)):
+        return text
+    return ENTITY.sub(_open, text)
+
 
 def _table(name: str) -> str:
     """256 characters; bytes without a meaning stand for themselves, as lenient decoders have it."""
@@ -149,19 +169,19 @@ def take(s: str, step: str) -> str | None:
     return raw.decode("utf-8", "replace") if d == "utf-8" else codecs.charmap_decode(raw, "strict", DECODE[d])[0]
 
 
-def search(s: str, cost: Plausibility, most: int = 8) -> tuple[str, float, tuple[str, ...]]:
-    """Cheapest state, its cost with steps, and the steps. At most `most` states are expanded."""
+def search(s: str, cost: Plausibility) -> tuple[str, float, tuple[str, ...]]:
+    """Cheapest state, its cost with steps, and the steps. States are expanded until the next costs clearly more than the
+    best (12 nats) or no step that is left can be cheaper; a state that costs more than the word itself (4 nats) is not followed."""
     start = cost(s)
     best = (start, s, ())
     heap: list[tuple[float, str, tuple[str, ...]]] = [(start, s, ())]
     seen = {hash(s)}
     lost = 2 * s.count(LOST) + s.count("?")
-    while heap and most:
+    while heap:
         total, state, path = heapq.heappop(heap)
-        most -= 1
         if path and (total > best[0] + 12 or total < 3.0 * (len(state) + 1) and ORDINARY.match(state)):
             break
-        if len(path) >= 4:
+        if len(path) >= 4 or STEP * (sum(x != "look" for x in path) + 1) >= best[0]:
             continue
         for name, nxt in _steps(state):
             h = hash(nxt)
@@ -238,10 +258,12 @@ class Repair:
         return {w: r for w in dict.fromkeys(SPLIT(text)) if (r := words[w]) is not None}
 
     def garbled(self, text: str | None, least: float = 12.0) -> bool:
-        if not text or text.isascii():
+        if not text:
             return False
-        if LOST in text:
+        if LOST in text or "??" in text and ERASED.search(text) or unescaped(text) != text:
             return True
+        if text.isascii():
+            return False
         total, odd = 0.0, False
         for w in dict.fromkeys(SPLIT(text)):
             if (r := self.words[w]) is not None:
@@ -254,6 +276,7 @@ class Repair:
     def __call__(self, text: str | None) -> str | None:
         if not self.garbled(text):
             return text
+        text = unescaped(text)
         bad = self.bad(text)
         chains = Counter()
         for gain, _, steps in bad.values():

@@ -143,6 +143,17 @@ def test_mojibake_leaves_rare_signs(repair):
     assert repair.garbled("текст �� с утратой")
 
 
+def test_mojibake_in_ascii(repair):
+    plain = "Противопоказанием к применению является лихорадка; возраст больного"
+    for bad in ("".join(f"&#{ord(c)};" if ord(c) > 127 else c for c in plain), "".join(f"&amp;#x{ord(c):x};" if ord(c) > 127 else c for c in plain)):
+        assert bad.isascii() and repair.garbled(bad) and repair(bad) == plain
+    assert repair("Na&iuml;ve patients") == "Naïve patients"
+    for t in ("?????????????? ? ?????????? 5 mg", "Dose ?? ?? ??????.", "Ле??ние больного"):
+        assert repair.garbled(t), t
+    for t in ("Really??", "Is it 5 mg? Or 6 mg?", "a &amp; b, x &lt; 5; R&D; q?a=1&copy=2", "Что это?? Нет!"):
+        assert not repair.garbled(t) and repair(t) == t, t
+
+
 def test_mojibake_table(spark, samples):
     df = raw(spark, [(1, "v", "s", None, None), (2, "v", "s", "Рекомендации по анемии".encode().decode("cp1251", "replace"), None), (2, "v", "s", "чистый текст", None)])
     assert [r.row_id for r in mojibake.garbled_rows(df, mojibake.sample_texts(samples)).collect()] == [2]
