@@ -68,6 +68,20 @@ def _forward(n: int, edges: list[tuple[int, int, str]], p: dict[str, float]) ->
     return f
 
 
+def _log_forward(n: int, edges: list[tuple[int, int, str]], p: dict[str, float]) -> float:
+    """Logarithm of the forward probability of a whole word of any length: values that become small are scaled up."""
+    f = [0.0] * (n + 1)
+    f[0], shift, last = 1.0, 0.0, -1
+    for a, b, piece in edges:
+        if a != last:
+            last = a
+            if f[a] < 1e-150:
+                up, shift = 1 / f[a], shift + math.log(f[a])
+                f[a : a + LONGEST + 1] = [x * up for x in f[a : a + LONGEST + 1]]
+        f[b] += f[a] * p.get(piece, 1e-7 if b > a + 1 else 1e-6)
+    return math.log(f[n]) + shift
+
+
 def fit(samples: Iterable[tuple[str, str]], vocab: frozenset[str], rounds: int = 4) -> dict[str, tuple[float, ...]]:
     """piece -> probability in each language (in sorted order), under '' the languages' names."""
     counts: dict[str, Counter] = {}
@@ -110,8 +124,8 @@ class Scorer:
         self.words = Memo(self.word)
 
     def word(self, word: str) -> tuple[float, ...]:
-        w, edges = spans(word[:60], self.vocab)
-        return tuple(math.log(max(_forward(len(w), edges, p)[-1], 1e-300)) for p in self.p)
+        w, edges = spans(word, self.vocab)
+        return tuple(_log_forward(len(w), edges, p) for p in self.p)
 
     def totals(self, groups: list[list[str]]) -> np.ndarray:
         """Log likelihoods of groups of words, one row a group; no group may be empty."""

@@ -202,6 +202,13 @@ def test_language_held_out():
     assert sum(score(t)[0] == l for l, t in test) >= 0.95 * len(test)
 
 
+def test_words_are_scored_in_whole():
+    score = language.Scorer({"": ("en",), **{c: (0.04,) for c in "^abcdefghij"}}, frozenset("^abcdefghij"))
+    for n in (5, 60, 61, 1000):
+        assert score.word(("abcdefghij" * 100)[:n])[0] == pytest.approx((n + 1) * language.math.log(0.04))
+    assert score.word("z" * 90)[0] == pytest.approx(language.math.log(0.04) + 90 * language.math.log(1e-6))
+
+
 # 6
 def test_kinds(spark, samples):
     texts = {
