@@ -37,6 +37,7 @@ ORIGINAL = ("cp1251", "koi8-r", "cp866", "mac-cyrillic", "iso8859-5", "cp1252")
 ASCII = re.compile(r"[\x20-\x7e]*\Z")
 STEP = 3.0  # nats for every decoding step
 LOST = "�"
+RISE = re.compile(r"[a-zа-яёўқғҳà-öø-ÿ](?=[A-ZА-ЯЁЎҚҒҲÀ-ÖØ-Þ])")
 #: A Cyrillic word in the usual case: no pair of the charsets above makes one out of another such word.
 SIMPLE = re.compile(r"[«“(\[]*[А-ЯЁЎҚҒҲ]?[а-яёўқғҳ]{2,}(?:-[а-яёўқғҳ]+)*[»”)\]]*\Z")
 SPLIT = re.compile(r"[\n\t .,;:()]+").split
@@ -46,6 +47,9 @@ FAMILIAR = re.compile(r"[\x20-\x7eА-Яа-яЁёЎўҚқҒғҲҳ«»“”‘’
 #: Words of ordinary signs that may still be bytes: a sign right after a letter, or two alphabets at once.
 DOUBT = re.compile(r"[A-Za-zЀ-ӿ][°±№…“–—]|[Ѐ-ӿ][‘’”]|[A-Za-z‘’][А-яЁёЎўҚқҒғҲҳ]|[А-яЁёЎўҚқҒғҲҳ][A-Za-z]")
 
+#: A restored word of letters that were other letters before, and the words that steps may lead to one: they keep digits and numbers of letters.
+WORD_LIKE = re.compile(r"[^\w]*\w[^\W\d_A-ZА-ЯЁ?-]{4,}[^\w]*\Z")
+SWAPPED = re.compile(r"(?=(?:\W*[^\W\d_]|\W*\d(?=\W*[^\W\d_])|[^?]*\?){4})(?!.*[^\W\d_].*[0-9_])|.*&")
 #: Character references with their closing sign, perhaps escaped again.
 ENTITY = re.compile(r"&(?:amp;)*(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z][A-Za-z0-9]{1,30});")
 #: Letters that became question marks: words of nothing else, or runs between two letters. A mark after a word is punctuation.
@@ -102,26 +106,27 @@ class Plausibility:
                 pairs.update(zip(w, w[1:]))
                 single.update(w[:-1])
         n = len(LETTERS) + 2
-        self.pair = {(a, b): -math.log((pairs[a, b] + 0.02) / (single[a] + 0.02 * n)) for a in "^" + LETTERS for b in LETTERS + "$"}
+        self.pair = {(a, b if b != "$" else ""): -math.log((pairs[a, b] + 0.02) / (single[a] + 0.02 * n)) for a in "^" + LETTERS for b in LETTERS + "$"}
+        self.end = {a: min(self.pair[a, ""], 4.0) for a in LETTERS}
         self.flat = Memo(_flat, 70_000)
 
     def __call__(self, s: str) -> float:
         low = s.lower()
-        total, last, pair = 0.0, "^", self.pair
+        total, last, pair, end, flat = 0.0, "^", self.pair.get, self.end, self.flat
         for c in low:
-            if (last, c) in pair and c != "$":
-                total += pair[last, c]
+            p = pair((last, c))
+            if p is not None:
+                total += p
                 last = c
             else:
                 if last != "^":
-                    total += min(pair.get((last, "$"), 4.0), 4.0)
-                total += self.flat[c]
+                    total += end[last]
+                total += flat[c]
                 last = "^"
         if last != "^":
-            total += min(pair[last, "$"], 4.0)
-        if len(low) == len(s) and low != s:
-            rise = sum(a.islower() and b.isupper() for a, b in zip(s, s[1:]))
-            total += 4.0 * rise + (0.2 * len(s) if s.isupper() else 0.0)
+            total += end[last]
+        if low != s and len(low) == len(s):
+            total += 4.0 * len(RISE.findall(s)) + (0.2 * len(s) if s.isupper() else 0.0)
         return total
 
 
@@ -171,7 +176,8 @@ def take(s: str, step: str) -> str | None:
 
 def search(s: str, cost: Plausibility) -> tuple[str, float, tuple[str, ...]]:
     """Cheapest state, its cost with steps, and the steps. States are expanded until the next costs clearly more than the
-    best (12 nats) or no step that is left can be cheaper; a state that costs more than the word itself (4 nats) is not followed."""
+    best (12 nats) or no step that is left can be cheaper; a state that costs more than the one it came from (4 nats) is not followed.
+    There is no limit of states or steps: every step has a cost, so a path ends where its steps alone cost more than the best state."""
     start = cost(s)
     best = (start, s, ())
     heap: list[tuple[float, str, tuple[str, ...]]] = [(start, s, ())]
@@ -181,7 +187,7 @@ def search(s: str, cost: Plausibility) -> tuple[str, float, tuple[str, ...]]:
         total, state, path = heapq.heappop(heap)
         if path and (total > best[0] + 12 or total < 3.0 * (len(state) + 1) and ORDINARY.match(state)):
             break
-        if len(path) >= 4 or STEP * (sum(x != "look" for x in path) + 1) >= best[0]:
+        if STEP * (sum(x != "look" for x in path) + 1) >= best[0]:
             continue
         for name, nxt in _steps(state):
             h = hash(nxt)
@@ -192,7 +198,7 @@ def search(s: str, cost: Plausibility) -> tuple[str, float, tuple[str, ...]]:
             price = cost(nxt) + STEP * sum(x != "look" for x in steps)
             if price < best[0]:
                 best = (price, nxt, steps)
-            if price < start + 4:
+            if price < total + 4:
                 heapq.heappush(heap, (price, nxt, steps))
     return best[1], best[0], best[2]
 
@@ -203,17 +209,6 @@ class Repair:
     def __init__(self, samples: Iterable[str], floor: float = 4.8, gain: float = 9.0, swap: float = 14.0):
         self.cost, self.floor, self.gain, self.swap = Plausibility(samples), floor, gain, swap
         self.words = Memo(self.judge)
-        self.chains: list[tuple[str, ...]] = []
-
-    def known(self, look: str) -> tuple[str, float, tuple[str, ...]] | None:
-        """The restored word where one of the chains met lately leads straight to a very plausible one."""
-        for steps in self.chains:
-            s: str | None = look
-            for step in steps:
-                s = take(s, step) if s is not None else None
-            if s and LOST not in s and ORDINARY.match(s) and (c := self.cost(s)) < 3.0 * (len(s) + 1):
-                return s, c + STEP * len(steps), steps
-        return None
 
     def judge(self, word: str) -> tuple[float, str, tuple[str, ...]] | None:
         """(gain, restored, steps) of a word that decoding makes clearly more plausible; (0, word, ()) where characters were
@@ -225,9 +220,9 @@ class Repair:
             return self.words[look]  # variants that look the same share one verdict
         own = self.cost(look)
         usual = ORDINARY.match(look)
-        if usual and own < self.floor * (len(look) + 1) and not DOUBT.search(look):
+        if usual and not DOUBT.search(look) and (own < self.floor * (len(look) + 1) or not SWAPPED.match(look)):
             return None
-        fixed, price, steps = self.known(word) or search(look, self.cost)
+        fixed, price, steps = search(look, self.cost)
         if HIDDEN.search(word):  # what looks like a blank or a soft hyphen may be a byte
             other = search(word, self.cost)
             if other[2] and other[1] <= price + 4 and len(other[0]) >= len(fixed):
@@ -236,22 +231,14 @@ class Repair:
         if steps and price - STEP * len(steps) < 4.2 * (len(fixed) + 1):
             decodes = sum(x != "look" for x in steps)
             if steps[-1].endswith("utf-8") and gain >= 4 and LOST not in fixed and FAMILIAR.match(fixed) and (not usual or decodes == 1 and DOUBT.search(look)):
-                self.met(steps)
                 return gain + 8, fixed, steps
             if usual:  # letters became other letters: only a large gain tells, and letters stay letters
-                word_like = re.fullmatch(r"[^\w]*\w[^\W\d_A-ZА-ЯЁ?-]{4,}[^\w]*", fixed.replace("?", "а"))
-                if gain >= self.swap and word_like and sum(map(str.isalpha, look)) == sum(map(str.isalpha, fixed)):
-                    self.met(steps)
-                    return gain, fixed, steps
+                if gain >= self.swap and WORD_LIKE.match(fixed.replace("?", "а")) and sum(map(str.isalpha, look)) == sum(map(str.isalpha, fixed)):
+                        return gain, fixed, steps
             elif gain >= self.gain and FAMILIAR.match(fixed):
-                self.met(steps)
                 return gain + 8, fixed, steps
         return (0.0, word, ()) if LOST in word else None
 
-    def met(self, steps: tuple[str, ...]) -> None:
-        if steps not in self.chains:
-            self.chains = [steps, *self.chains][:4]
-
     def bad(self, text: str) -> dict[str, tuple[float, str, tuple[str, ...]]]:
         """The garbled words of a text."""
         words = self.words

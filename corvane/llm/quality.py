@@ -1,9 +1,12 @@
 """Problem 6: per-document text statistics and the nearest structural profile by Jensen-Shannon divergence.
 
-Lines are typed (running sentences, list entries, table rows, signs without content) from counts of words, marks and
-cells. A document's distribution of characters over line types, together with its character classes and its share of
-function words, is compared with the profiles of prose (one for each language, from the trusted samples), list, table
-and junk; the profile of the smallest divergence is the document's kind. Lines repeated within the source are left aside.
+A text has three distributions: of its tokens over the function words of a language and classes of other tokens, of its
+characters over classes, and, as basic counts, of its characters over shapes of lines. Each is compared with profiles by
+Jensen-Shannon divergence; the kind of the nearest profile is the kind of the text, and no other rule decides it.
+
+Profiles are fitted on the fixed table of trusted samples, each language by itself: prose from the samples as they are, cut into
+lines and without blanks; lists, tables and junk from the same words laid out as entries, as rows of cells, and with the vowels,
+the letters or the words lost (see layouts). Lines repeated within the source are left aside.
 
 Defined results: null and blank texts, and texts of nothing but repeated lines, have null statistics and kind null;
 garbled text is restored before it is judged; repeated rows are judged one by one.
@@ -11,9 +14,10 @@ garbled text is restored before it is judged; repeated rows are judged one by on
 
 from __future__ import annotations
 
-import math
 import re
+from collections.abc import Callable, Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,126 +27,218 @@ from .chars import readable
 from .mojibake import shared
 
 KINDS = ("prose", "list", "table", "junk")
-CLASSES = ("letter", "digit", "blank", "sentence mark", "cell mark", "other")
+#: Characters by class; blanks and line feeds between tokens are counted too.
+CLASSES = ("vowel", "consonant", "digit", "sentence mark", "cell mark", "entry mark", "other", "blank")
+#: Tokens that are no function word.
+TOKENS = ("word", "number", "code", "broken word", "signs", "run")
+#: Lines: rows of cells, one solid token, marked entries by length, other lines by length and closing mark.
+SHAPES = ("cells", "solid", "entry", "long entry", *(f"{n} {e}" for n in ("short", "middle", "long") for e in ("open", "closed")))
+WEIGHTS = (0.3, 0.3, 0.4)  # tokens, characters, lines
+VOWELS = frozenset("аеёиоуыэюяўaeiouyáéíóúïöü")
+SENTENCE_MARKS, CELL_MARKS, ENTRY_MARKS = frozenset(".,!?…:"), frozenset("|\t;"), frozenset("-–—•*·▪●○◦‣")
 BULLET = re.compile(r"\s*(?:[-–—•*·▪●○◦‣+]|\(?\d{1,3}[.)]|[a-zа-я][.)])\s+\S")
 ENDS = re.compile(r"[.!?…][»”\"’)\]*]*\s*\Z")
-CELLS = re.compile(r"\t|\s*\|\s*|;(?=\S|\Z)|\s{3,}")
-GAPS = re.compile(r"\S\s{3,}(?=\S)")
-WORD = re.compile(r"[^\W\d_]{2,}").findall
-VOWELS = re.compile("[аеёиоуыэюяўaeiouyАЕЁИОУЫЭЮЯЎAEIOUY]")
-RULE = re.compile(r"[\s|:+=-]*\Z")
-
-
-def jensen_shannon(p: tuple[float, ...], q: tuple[float, ...]) -> float:
-    """Divergence in bits, 0 to 1, of two distributions."""
-    total = 0.0
-    for a, b in zip(p, q):
-        m = (a + b) / 2
-        total += (a * math.log2(a / m) if a > 0 else 0.0) + (b * math.log2(b / m) if b > 0 else 0.0)
-    return max(total / 2, 0.0)
-
-
-def char_classes(text: str) -> tuple[float, ...]:
-    n = max(len(text), 1)
-    letters = sum(map(len, re.findall(r"[^\W\d_]+", text)))
-    digits = len(re.findall(r"\d", text))
-    blanks = text.count(" ") + text.count("\n")
-    marks = sum(map(text.count, ".,!?…:"))
-    cells = sum(map(text.count, "\t|;"))
-    return tuple(x / n for x in (letters, digits, blanks, marks, cells, max(n - letters - digits - blanks - marks - cells, 0)))
-
-
-def line_type(line: str) -> str:
-    """prose, table, junk, entry (short or marked), rule (neither) of one line that is not blank."""
-    s = line.strip()
-    words = WORD(s)
-    letters = sum(map(len, words))
-    solid = len(s) - s.count(" ") - s.count("\t")
-    if "|" in s and RULE.match(s) and "-" in s:
-        return "table" if s.count("|") > 1 else "junk"
-    pipes, tabs, semis, gaps = s.count("|"), line.count("\t"), len(re.findall(r";(?=\S)", s)), len(GAPS.findall(line.rstrip()))
-    if letters and len(VOWELS.findall(s)) < 0.17 * letters and len(words) >= 3 or not words and solid > 12 and not (pipes > 1 or tabs):
-        return "junk"
-    if (pipes > 1 or tabs or semis > 1 or gaps) and letters >= 0.2 * solid and not (ENDS.search(s) and len(words) >= 8 and pipes < 2 and not tabs):
-        return "table"
-    if letters < 0.35 * solid and solid > 12:
-        return "table" if (pipes > 1 or tabs) and letters else "junk"
-    longest = max(map(len, s.split()))
-    if longest > 30 and " " not in s and sum("A" <= c <= "Z" for c in s) > 0.2 * solid and sum(map(str.isdigit, s)) > 2:
-        return "junk"  # encoded bytes; running text that lost its blanks has few capitals
-    if BULLET.match(line) and not (len(words) >= 9 and ENDS.search(s)):
-        return "entry"
-    if ENDS.search(s) and (len(words) >= 6 or longest > 40) or len(words) >= 16:
-        return "prose"
-    return "entry"
-
-
-def shape(text: str) -> tuple[tuple[float, ...], int, int]:
-    """Shares of the characters by KINDS, the number of lines, and of lines that end like sentences."""
-    lines = [x for x in text.split("\n") if x.strip()]
-    types = [line_type(x) for x in lines]
-    sizes = dict.fromkeys(KINDS, 0.0)
-    for k, (line, t) in enumerate(zip(lines, types)):
-        n = len(line.strip())
-        if t != "entry":
-            sizes[t] += n
-        elif BULLET.match(line) and not re.match(r"\s*\d+\.\s+\S+(?:\s\S+){0,3}\s*\Z", line):
-            sizes["list"] += n
-        elif k and (types[k - 1] == "entry" and k > 1 or k + 1 < len(types) and types[k + 1] == "entry"):
-            sizes["list"] += n  # one entry a line; a single short line between paragraphs is a heading
-    total = sum(sizes.values())
-    if not total:
-        return (1.0, 0.0, 0.0, 0.0), len(lines), sum(ENDS.search(x) is not None for x in lines)
-    return tuple(sizes[k] / total for k in KINDS), len(lines), sum(ENDS.search(x) is not None for x in lines)
+GAPS = re.compile(r"(?<=\S)\s{3,}(?=\S)")
+CORE = re.compile(r"[^\W_](?:.*[^\W_])?", re.S)
+WORD = re.compile(r"[^\W\d_]+(?:[‘’'-][^\W\d_]+)*[‘’']?\Z")
+NUMBER = re.compile(r"\d+(?:[.,:/x×-]\d+)*\Z")
+LONGEST = 30
+
+
+def jensen_shannon(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Divergence in bits, 0 to 1, of distributions along the last axis."""
+    p, q = np.asarray(p, float), np.asarray(q, float)
+    m = (p + q) / 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        a, b = np.where(p > 0, p * np.log2(p / m), 0.0), np.where(q > 0, q * np.log2(q / m), 0.0)
+    return np.maximum((a.sum(-1) + b.sum(-1)) / 2, 0.0)
+
+
+def token_class(core: str) -> int:
+    """Place in TOKENS of a token without its outer signs."""
+    if not core:
+        return 4
+    if len(core) > LONGEST:
+        return 5
+    if NUMBER.match(core):
+        return 1
+    if not WORD.match(core):
+        return 2
+    n = sum(map(str.isalpha, core))
+    return 0 if sum(c in VOWELS for c in core) >= 0.17 * n and n > 1 else 3
+
+
+def char_counts(token: str) -> list[int]:
+    """Characters of a token by CLASSES, all but blanks."""
+    out = [0] * len(CLASSES)
+    for c in token:
+        low = c.lower()
+        out[0 if low in VOWELS else 1 if c.isalpha() else 2 if c.isdigit() else 3 if c in SENTENCE_MARKS else 4 if c in CELL_MARKS else 5 if c in ENTRY_MARKS else 6] += 1
+    return out
+
+
+def line_shape(line: str, n_tokens: int) -> int:
+    """Place in SHAPES of a line that is not blank."""
+    if line.count("|") > 1 or "\t" in line.strip() or line.count(";") - line.count("; ") - line.rstrip().endswith(";") > 1 or GAPS.search(line):
+        return 0
+    if n_tokens == 1 and len(line) > LONGEST:
+        return 1
+    if BULLET.match(line):
+        return 2 if n_tokens < 10 else 3
+    return 4 + 2 * (0 if n_tokens < 6 else 1 if n_tokens < 12 else 2) + (ENDS.search(line) is not None)
+
+
+def layouts(words: list[str], texts: list[str]) -> list[tuple[str, str]]:
+    """(kind, text): the words and texts of one language laid out as each kind. Nothing is drawn at random."""
+    content = words or ["a"]
+    pick = lambda k, n: " ".join(content[(k * 7 + j) % len(content)] for j in range(n))
+    num = lambda k: f"{(k * 37) % 400 + 1}" if k % 3 else f"{(k * 13) % 90}.{k % 10}"
+    whole = "\n".join(texts)
+    out = [("prose", whole), ("prose", re.sub(r"(?<=[.!?]) ", "\n", whole)), ("prose", re.sub(r"([^\n]{60}\S*) ", r"\1\n", whole)), ("prose", whole.replace(" ", ""))]
+    out += [("prose", "\n".join(f"{pick(k, 1 + k % 3)}\n\n{t}" for k, t in enumerate(texts)))]
+    entries = [f"{pick(k, 1 + k % 4)}{f' {num(k)}' if k % 3 == 0 else ''}{';' if k % 4 == 1 else ''}" for k in range(60)]
+    out += [("list", "\n".join(f"{mark.format(k + 1)}{e}" for k, e in enumerate(entries))) for mark in ("– ", "{}. ", "* ", "")]
+    rows = [[pick(k, 1), pick(k + 3, 1 + k % 3), *(num(k + j) for j in range(k % 3 + 1))] for k in range(40)]
+    out += [("table", "\n".join(sep.join(r) for r in rows)) for sep in ("\t", " | ", ";")]
+    out += [("table", "\n".join(f"| {' | '.join(r)} |" for r in rows)), ("table", "\n".join("".join(c.ljust(26) for c in r) for r in rows))]
+    letters = re.sub(r"[\W\d_]", "", whole)
+    bare = "".join(c for c in letters.lower() if c not in VOWELS) or "x"
+    noise = [bare[(k * 11) % len(bare) :][: 1 + k % 4] + (str(k % 9) if k % 5 == 0 else "") + (".:;"[k % 3] if k % 6 == 0 else "") for k in range(600)]
+    codes = "".join(f"{c.upper() if k % 2 else c}{k * 7 % 10 if k % 3 == 0 else ''}" for k, c in enumerate((letters * 3)[:3000]))
+    signs = "".join("=/\\|-_~^#<>{}[]+*.,:;'\"1l"[(k * k + 3 * k) % 25] for k in range(3000))
+    out += [("junk", "\n".join(" ".join(noise[k : k + 18]) for k in range(0, 600, 18))), ("junk", "\n".join(codes[k : k + 70] for k in range(0, len(codes), 70))), ("junk", "\n".join(signs[k : k + 64] for k in range(0, 3000, 64)))]
+    out += [("junk", "\n".join(f"{'._-='[k % 4] * (30 + k % 20)} {num(k)}" for k in range(40)))]
+    out += [("junk", "\n".join(" ".join(str((k * j * j + 7 * j) % 10 ** (1 + (k + j) % 6)) for j in range(1, 6 + k % 9)) for k in range(1, 60)))]
+    return out
 
 
 class Profiles:
-    def __init__(self, samples: list[tuple[str, str]], common: list[str]):
+    """Profiles of every kind in every language, and the tables that turn texts into distributions."""
+
+    def __init__(self, samples: list[tuple[str, str]], common: Iterable[tuple[str | None, str]]):
+        own: dict[str | None, set[str]] = {}
+        for language, word in common:
+            own.setdefault(language, set()).add(word.lower())
+        self.words = sorted(set().union(*own.values())) if own else []
+        self.place = {w: k for k, w in enumerate(self.words)}
+        self.index: dict[str, int] = {}
+        self.kinds: list[tuple[int, int]] = []
+        self.reset()
         by: dict[str, list[str]] = {}
         for language, text in samples:
             by.setdefault(language, []).append(text)
-        self.common = frozenset(common)
-        self.prose = [(char_classes("\n".join(t)), self.share("\n".join(t))) for _, t in sorted(by.items())]
+        self.masks, rows = [], []
+        for language, texts in sorted(by.items()):
+            self.masks.append(np.array([w in own.get(language, ()) for w in self.words] + [True] * len(TOKENS)))
+            content = [w for w in dict.fromkeys(re.findall(r"[^\W\d_]{3,}", "\n".join(texts))) if w.lower() not in self.place]
+            for kind, text in layouts(content, texts):
+                rows.append(self.distribution(self.counts(text))[-1])
+                self.kinds.append((KINDS.index(kind), len(self.masks) - 1))
+        self.which, self.language = np.array(self.kinds).reshape(-1, 2).T
+        self.profiles = np.array(rows).reshape(len(rows), -1)
+        self.weights = np.repeat(WEIGHTS, (len(self.words) + len(TOKENS), len(CLASSES), len(SHAPES)))
+        self.own = self.entropy(self.profiles)
+
+    def distribution(self, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        """The three distributions side by side, one row a language: function words of other languages are words like others."""
+        n = len(self.words)
+        tokens = np.where(self.masks, counts[0], 0.0)
+        tokens[:, n] += counts[0].sum() - tokens.sum(1)
+        rest = np.concatenate([x / max(x.sum(), 1) for x in counts[1:]])
+        return np.hstack([tokens / max(counts[0].sum(), 1), np.broadcast_to(rest, (len(tokens), len(rest)))])
+
+    def entropy(self, p: np.ndarray) -> np.ndarray:
+        """Weighted sum of p log2 p, so that a divergence is half the sum of two of them less that of the middle."""
+        return (p * np.log2(np.maximum(p, 1e-300))) @ self.weights
+
+    def reset(self) -> None:
+        self.index.clear()
+        self.classes: list[int] = []
+        self.made: list[list[int]] = []
+
+    def learn(self, token: str) -> int:
+        m = CORE.search(token)
+        core = m[0] if m else ""
+        at = self.place.get(core.lower())
+        self.classes.append(len(self.words) + token_class(core) if at is None else at)
+        self.made.append(char_counts(token))
+        k = self.index[token] = len(self.index)
+        return k
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens by function word and class, characters by class, characters by shape of their lines."""
+        if len(self.index) > 400_000:
+            self.reset()
+        index, ids = self.index, []
+        lines = [0] * len(SHAPES)
+        chars = np.zeros(len(CLASSES))
+        for line in text.split("\n"):
+            tokens = line.split()
+            if tokens:
+                lines[line_shape(line, len(tokens))] += sum(map(len, tokens))
+                ids += tokens
+                chars[4] += line.count("\t")
+                chars[7] += len(tokens)
+        at = [index[t] if t in index else self.learn(t) for t in ids]
+        n = len(self.words) + len(TOKENS)
+        tokens = np.bincount([self.classes[k] for k in at], minlength=n).astype(float)
+        if at:
+            chars += np.array([self.made[k] for k in at]).sum(0)
+        return tokens, chars, np.array(lines, float)
+
+    def nearest(self, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[str, float]:
+        """Kind of the nearest profile, and the divergence from the nearest prose."""
+        if not len(self.which):  # no samples, nothing to compare with
+            return "prose", 0.0
+        own = self.distribution(counts)
+        d = (self.entropy(own)[self.language] + self.own) / 2 - self.entropy((own[self.language] + self.profiles) / 2)
+        return KINDS[self.which[int(d.argmin())]], max(float(d[self.which == 0].min()), 0.0)
 
-    def share(self, text: str) -> float:
-        words = WORD(text.lower())
-        return sum(w in self.common for w in words) / max(len(words), 1)
 
-    def kind(self, shares: tuple[float, ...], classes: tuple[float, ...], common: float) -> tuple[str, float]:
-        """Nearest profile and the divergence of the characters from the nearest prose. Line types weigh most."""
-        far = min(0.8 * jensen_shannon(classes, c) + 0.2 * jensen_shannon((common, 1 - common), (s, 1 - s)) for c, s in self.prose)
-        ideal = [tuple(0.94 if i == j else 0.02 for j in range(4)) for i in range(4)]
-        d = [jensen_shannon(shares, x) for x in ideal]
-        d[0] += 0.1 * far
-        return KINDS[d.index(min(d))], far
+NAMES = ["row_id", "n_chars", "n_words", "mean_word_length", "letter_ratio", "symbol_ratio", "line_end_ratio", "common_word_ratio", "divergence", "kind"]
 
 
-NAMES = ["row_id", "n_chars", "n_words", "mean_word_length", "letter_ratio", "symbol_ratio", "line_end_ratio", "common_word_ratio", "divergence", "kind"]
+def describe(text: str, counts: tuple[np.ndarray, np.ndarray, np.ndarray], n_common: int) -> tuple:
+    """n_chars to common_word_ratio of NAMES: basic counts of a text."""
+    tokens, chars, lines = counts
+    n = max(len(text), 1)
+    words = int(tokens[: n_common + 1].sum() + tokens[n_common + 3] + tokens[n_common + 5])
+    closed = [x for x in text.split("\n") if x.strip()]
+    letters = float(chars[0] + chars[1])
+    return len(text), words, letters / max(words, 1), letters / n, float(chars[4] + chars[5] + chars[6]) / n, sum(ENDS.search(x) is not None for x in closed) / max(len(closed), 1), float(tokens[:n_common].sum()) / max(words, 1)
 
 
-def statistics(df: DataFrame, samples: DataFrame, common: DataFrame, row_col: str = "row_id", text_col: str = "clean_text") -> DataFrame:
-    """One row of NAMES for every row of df. Narrow; the two fixed tables travel with the function."""
+def statistics(df: DataFrame, samples: DataFrame, common: DataFrame, row_col: str = "row_id", text_col: str = "clean_text", left_aside: Callable[[], Callable[[object, str], str]] | None = None, group_col: str | None = None) -> DataFrame:
+    """One row of NAMES for every row of df. Narrow; the two fixed tables travel with the function.
+
+    left_aside() makes a function (group, text) -> text that is applied first, with the values of group_col, so that lines are
+    left out and texts judged in one pass over them.
+    """
     trusted = [(r[0], r[1]) for r in samples.filter("language is not null and sample_text is not null").orderBy("sample_id").select("language", "sample_text").collect()]
-    frequent = sorted({r[0].lower() for r in common.filter("word is not null").select("word").collect()})
+    frequent = sorted({(r[0] or "", r[1]) for r in common.filter("word is not null").select("language", "word").collect()})
     kind = dict(df.dtypes)[row_col]
 
     def make():
         profiles, fix = Profiles(trusted, frequent), shared(tuple(t for _, t in trusted))
+        aside = left_aside() if left_aside else None
+        n_common = len(profiles.words)
 
-        def one(i, text):
+        def one(i, group, text):
+            if text and aside:
+                text = aside(group, text)
             if not text or not text.strip():
                 return (i, *[None] * 9)
-            text = readable(text)
-            shares, lines, ends = shape(text)
-            if shares[0] <= 0.6 and fix.garbled(text):
-                text = readable(fix(text))
-                shares, lines, ends = shape(text)
-            classes, words = char_classes(text), WORD(text)
-            common = sum(w in profiles.common for w in map(str.lower, words)) / max(len(words), 1)
-            what, far = profiles.kind(shares, classes, common)
-            return (i, len(text), len(words), sum(map(len, words)) / max(len(words), 1), classes[0], classes[5] + classes[4], ends / max(lines, 1), common, far, what)
-
-        return lambda c: dict(zip(NAMES, map(list, zip(*map(one, c["row_id"], c["txt"])))))
+            stored, text = text, readable(text)
+            counts = profiles.counts(text)
+            what, far = profiles.nearest(counts)
+            if what != "prose" and fix.garbled(stored):  # as stored: what looks like a blank may be a byte
+                text = readable(fix(stored))
+                counts = profiles.counts(text)
+                what, far = profiles.nearest(counts)
+            return (i, *describe(text, counts, n_common), far, what)
+
+        return lambda c: dict(zip(NAMES, map(list, zip(*map(one, c["row_id"], c["grp"], c["txt"])))))
 
     arrow = pa.schema([("row_id", pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), ("n_chars", pa.int32()), ("n_words", pa.int32()), *((n, pa.float64()) for n in NAMES[3:9]), ("kind", pa.string())])
-    return map_rows(df.select(df[row_col].alias("row_id"), df[text_col].alias("txt")), make, f"row_id {kind}, n_chars int, n_words int, " + ", ".join(f"{n} double" for n in NAMES[3:9]) + ", kind string", arrow)
+    src = df.select(df[row_col].alias("row_id"), (df[group_col] if group_col else F.lit(None).cast("string")).alias("grp"), df[text_col].alias("txt"))
+    return map_rows(src, make, f"row_id {kind}, n_chars int, n_words int, " + ", ".join(f"{n} double" for n in NAMES[3:9]) + ", kind string", arrow)

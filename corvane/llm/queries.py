@@ -28,8 +28,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_clean(spark: SparkSession, d: str) -> DataFrame:
-    raw = _t(spark, d, "parsed_guidelines_raw").select("row_id", "variant_id", "specialty", "raw_text")
-    return boilerplate.without_lines(raw, boilerplate.repeated_lines(raw)).select("row_id", "clean_text")
+    return boilerplate.cleaned(_t(spark, d, "parsed_guidelines_raw")).select("row_id", "clean_text")
+
+
+def p2_templates(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate.templates(_t(spark, d, "parsed_guidelines_raw"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -59,9 +62,13 @@ def p5_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_statistics(spark: SparkSession, d: str) -> DataFrame:
-    raw = _t(spark, d, "parsed_guidelines_raw").select("row_id", "variant_id", "specialty", "raw_text")
-    clean = boilerplate.without_lines(raw, boilerplate.repeated_lines(raw))
-    return quality.statistics(clean, _t(spark, d, "language_samples"), _t(spark, d, "common_words"))
+    raw = _t(spark, d, "parsed_guidelines_raw")
+    samples, common = _t(spark, d, "language_samples"), _t(spark, d, "common_words")
+    drop = boilerplate.remover(boilerplate.repeated_templates(raw))
+    if drop is None:  # too many templates for a broadcast: the texts are cleaned first
+        return quality.statistics(boilerplate.cleaned(raw), samples, common)
+    counted = raw.select("row_id", "raw_text", F.when(F.col("variant_id").isNotNull(), F.col("specialty")).alias("source"))
+    return quality.statistics(counted, samples, common, text_col="raw_text", left_aside=drop, group_col="source")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
