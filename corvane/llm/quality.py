@@ -78,8 +78,10 @@ def char_counts(token: str) -> list[int]:
 
 
 def line_shape(line: str, n_tokens: int) -> int:
-    """Place in SHAPES of a line that is not blank."""
-    if line.count("|") > 1 or "\t" in line.strip() or line.count(";") - line.count("; ") - line.rstrip().endswith(";") > 1 or GAPS.search(line):
+    """Place in SHAPES of a line that is not blank. Cells are divided by bars, tabs, tight semicolons or wide gaps, and have few tokens each."""
+    bars, tight = line.count("|"), line.count(";") - line.count("; ") - line.rstrip().endswith(";")
+    cuts = bars if bars > 1 else line.strip().count("\t") or (tight if tight > 1 else len(GAPS.findall(line)) if "   " in line else 0)
+    if cuts and n_tokens <= 8 * (cuts + 1):
         return 0
     if n_tokens == 1 and len(line) > LONGEST:
         return 1

@@ -1,12 +1,14 @@
 """Problem 10: unfilled placeholders, filler, error pages and notices that scripts are required.
 
 Texts are read in plain form. Sentences that hold a word of such messages are candidates: numbers, addresses, dates
-and ids are masked, both Uzbek alphabets and Russian are folded to one alphabet, and exact hashes of the masked
-messages are grouped across sources with partial aggregation. Every distinct message is classified once by phrase
-rules; rules that are not sure need a message that recurs in several sources. Placeholders are recognised by form.
+and ids are masked, both Uzbek alphabets and Russian are folded to one alphabet, words that stand for each other in
+such messages are masked too, and exact hashes of the masked messages are grouped across sources with partial aggregation.
+Recurrence decides: a message is residue only if its group is in several sources and a phrase rule knows it; rules that
+say less need more sources. Every distinct message is classified once. Placeholders and runs of filler words are recognised by form.
 
 Defined results: null, empty and blank texts are no residue; brackets around numbers, comparison signs, code, special
-tokens and sentences that speak about such messages are content. Repeated rows are judged one by one.
+tokens and sentences that speak about such messages are content; a message of a single source is content, and so is one
+whose rows have no source. Repeated rows are judged one by one.
 """
 
 from __future__ import annotations
@@ -44,6 +46,7 @@ PLACEHOLDERS = [
         ("<", rf"<{_CAPS}[A-ZА-ЯЁЎҚҒҲ‘’']+(?:[ _][A-ZА-ЯЁЎҚҒҲ‘’']{{2,}}){{0,4}}>"),
         ("[", r"\[(?i:вставить|заполнить|указать|введите|вставьте|укажите|заполните|insert|enter|fill in|specify|add|your) [^\[\]\n]{2,60}\]"),
         ("[", r"\[[^\[\]\n]{2,60} (?i:киритинг|кўрсатинг|тўлдиринг|ёзинг|қўйинг|kiriting|ko[‘’']rsating|to[‘’']ldiring|yozing|qo[‘’']ying|here)\]"),
+        ("[", r"\[(?i:фио|ф\. ?и\. ?о\.|имя|название|наименование|дата|номер|адрес|подпись|должность|телефон|name|date|number|address|title|phone|исми?|номи|сана|манзил|имзо|ismi?|nomi|sana|manzil|imzo)(?: [^\W\d_]+){0,3}\]"),
         *((x, rf"\b{re.escape(x)}\b") for x in ("ДД.ММ.ГГГГ", "DD.MM.YYYY", "MM/DD/YYYY", "KK.OO.YYYY", "КК.ОО.ЙЙЙЙ", "XX.XX.XXXX", "ХХ.ХХ.ХХХХ")),
     )
 ]
@@ -75,6 +78,27 @@ def mask(line: str) -> str:
     return s.strip()
 
 
+# Words that stand for each other in such messages, in the folded form.
+ALIKE = [
+    ("", r"\(#\)|\b(?:error|oshibka|xato|http) (?=#)|#[ :.–—-]*(?=\w)"),
+    ("<js>", r"\b(?:java ?script|js)(?:ni)?\b|\b(?:skript|stsenari|ssenari)\w*|\baktivni\w* element\w*(?: stranits\w*)?|\bactive content\b|\bfaol \w+"),
+    ("<page>", r"\b(?:protokol|dokument|razdel|stranits|soderjani|sayt|portal|reestr|bayonnoma|hujjat|bolim|sahifa|tarkib|protocol|document|section|page|content|site|website|registr)\w*"),
+    ("<on>", r"\b(?:vklyuchite|aktiviruyte|razreshite|turn on|enable|activate|allow|switch on|yoqing|eqing|faollashtiring|ezing|ruxsat bering)\b"),
+    ("<off>", r"\b(?:otklyuchen|zapreshen|zablokirovan|vyklyuchen|ochirilgan|taqiqlangan|bloklangan|disabled|blocked)\w*"),
+    ("", r"(?:,? (?:i|ili|va|yoki|and|or|v nastroykax|in your|poetomu|shuning uchun|so|to continue)\b.*|[\s.!…]+)\Z"),
+]
+ALIKE = [(to, re.compile(form)) for to, form in ALIKE]
+
+
+def grouped_form(message: str) -> str:
+    """The form whose hash groups masked messages: without what one wording has and the next has not."""
+    if "</" in message:  # an error page in one line is grouped by its title
+        message = message.partition("</")[0]
+    for to, form in ALIKE:
+        message = form.sub(to, message)
+    return message.strip(" .!…:–—-")
+
+
 _any = lambda phrases: "|".join(sorted({re.escape(fold(p)) for p in phrases}, key=len, reverse=True))
 _js = r"(?:java ?script|js)"
 SURE = [
@@ -105,10 +129,14 @@ SURE = [
         rf"^(?:\w+, )?(?:{fold('идёт проверка браузера')}|brauzer tekshirilmoqda|(?:checking|verifying) (?:your )?browser)",
     )
 ]
-LIKELY = [re.compile(p) for p in (rf"^{_js} (?:va|and|i) (?:cookies|kookies) ", rf"^[^.!?]{{0,40}}\b(?:captcha|ddos)\b", rf"^{fold('Требуются')} {_js}", r"^(?:brauzer|browser)\w* \w+ \w*$")]
+_page = r"(?:protokol|dokument|razdel|stranits|sayt|portal|sahifa|hujjat|page|site|website|document)\w*"
+LIKELY = [re.compile(p) for p in (rf"^(?:oops|uups|ups)\b.{{0,60}}$", r"^something went wrong\b.{0,40}$", r"^todo ?[:—–-] ?.{3,60}$", r"^(?:error |http )?#[ :.-]+(?:nginx|apache|iis)\b.{0,20}$",
+    rf"^(?:error|oshibka|xato|http) #[ :.-]+(?:{_page} )?(?:does not exist|is unavailable|ne sushestvuet|nedostup\w*|mavjud emas|topilmadi)[.!]*$",
+    rf"^{_page} (?:vremenno |seychas |temporarily |is |vaqtincha )*(?:nedostup\w*|ne sushestvuet|unavailable|mavjud emas)[.!]*$", rf"^(?:etot |dannyy |daniy |this )?{_page} (?:trebuet|requires)\b[^.!?]{{0,40}}{_js}[.!]*$",
+    rf"^{_js} (?:va|and|i) (?:cookies|kookies) ", rf"^[^.!?]{{0,40}}\b(?:captcha|ddos)\b", rf"^{fold('Требуются')} {_js}", r"^(?:brauzer|browser)\w* \w+ \w*$")]
 # What a message must hold, in the folded form that the rules read, for any rule to match: each rule of SURE and
 # LIKELY has a part of this list, a phrase of FILLER or STATUS, or a status code in brackets. A code before other words needs STATUS or <title>.
-PARTS = "java|js|skript|stsenari|ssenari|aktivn|traceback|fatal error|establishing|ora-|include|require|mysql|pg_|bolshe ne dostup|endi mavjud emas|no longer available|brauzer|browser|captcha|ddos|</title>"
+PARTS = "java|js|skript|stsenari|ssenari|aktivn|traceback|fatal error|establishing|ora-|include|require|mysql|pg_|bolshe ne dostup|nedostup|ne sushestvu|does not exist|unavailable|mavjud emas|topilmadi|oops|ups|went wrong|todo|nginx|apache|endi mavjud emas|no longer available|brauzer|browser|captcha|ddos|</title>"
 HINTS = re.compile("|".join((PARTS, _any([*FILLER, *STATUS]), re.escape(fold("не работает без")), re.escape(fold("ваш браузер")), re.escape(fold("в вашем браузере")))))
 
 
@@ -141,9 +169,11 @@ def has_placeholder(text: str) -> bool:
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, mhash, message): one row for a document's slots or filler (mhash null), one for each candidate sentence."""
+    """(doc_id, source, ghash, mhash, message): one row for a document's slots or filler (hashes null), one for each candidate
+    sentence, with the hash of its group and its own."""
     kind = dict(docs.dtypes)[id_col]
-    arrow = pa.schema([("doc_id", pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), ("source", pa.string()), ("mhash", pa.int64()), ("message", pa.string())])
+    arrow = pa.schema([("doc_id", pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), ("source", pa.string()), ("ghash", pa.int64()), ("mhash", pa.int64()), ("message", pa.string())])
+    digest = lambda m: xxhash.xxh3_64_intdigest(m) - 2**63
 
     def make():
         split = re.compile(r"\n|(?<=[.!?…])\s+").split
@@ -152,10 +182,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out = []
             for i, src, text in zip(c["doc_id"], c["source"], c["txt"]):
                 text = readable(text)
-                low = text.lower()
-                if has_placeholder(text) or has_filler(low):
-                    out.append((i, src, None, None))
-                    continue
+                if has_placeholder(text) or has_filler(text.lower()):
+                    out.append((i, src, None, None, None))
                 if not hinted(fold(text)):
                     continue
                 seen = set()
@@ -164,29 +192,32 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         m = mask(s)
                         if m and m not in seen:
                             seen.add(m)
-                            out.append((i, src, xxhash.xxh3_64_intdigest(m) - 2**63, m))
+                            out.append((i, src, digest(grouped_form(m)), digest(m), m))
             return dict(zip(arrow.names, map(list, zip(*out)))) if out else {n: [] for n in arrow.names}
 
         return work
 
     src = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), docs[text_col].alias("txt")).filter(F.trim("txt") != "")
-    return map_rows(src, make, f"doc_id {kind}, source string, mhash bigint, message string", arrow)
+    return map_rows(src, make, f"doc_id {kind}, source string, ghash bigint, mhash bigint, message string", arrow)
 
 
-def messages(found: DataFrame, min_sources: int = 3) -> DataFrame:
-    """(mhash, message, sources, verdict) of every distinct candidate message that is residue."""
-    distinct = found.filter("mhash is not null").groupBy("mhash", "source").agg(F.min("message").alias("message")).groupBy("mhash").agg(F.min("message").alias("message"), F.count("source").alias("sources"))
+def messages(found: DataFrame, min_sources: int = 2, likely_sources: int = 3) -> DataFrame:
+    """(mhash, message, sources, verdict) of every distinct candidate message that is residue: known to a phrase rule, and of a group
+    that is in `min_sources` sources, or in `likely_sources` where the rule says less."""
+    distinct = durable(found.filter("mhash is not null").groupBy("ghash", "mhash", "source").agg(F.min("message").alias("message")))
+    groups = distinct.select("ghash", "source").distinct().groupBy("ghash").agg(F.count("source").alias("sources")).filter(F.col("sources") >= min_sources)
+    recurring = distinct.groupBy("ghash", "mhash").agg(F.min("message").alias("message")).join(groups, "ghash")
     arrow = pa.schema([("mhash", pa.int64()), ("message", pa.string()), ("sources", pa.int64()), ("verdict", pa.string())])
 
     def make():
         return lambda c: {**{k: c[k] for k in ("mhash", "message", "sources")}, "verdict": [classify(m) for m in c["message"]]}
 
-    judged = map_rows(distinct, make, "mhash bigint, message string, sources bigint, verdict string", arrow)
-    return judged.filter(F.col("verdict").eqNullSafe("sure") | F.col("verdict").eqNullSafe("likely") & (F.col("sources") >= min_sources))
+    judged = map_rows(recurring.select("mhash", "message", "sources"), make, "mhash bigint, message string, sources bigint, verdict string", arrow)
+    return judged.filter(F.col("verdict").eqNullSafe("sure") | F.col("verdict").eqNullSafe("likely") & (F.col("sources") >= likely_sources))
 
 
-def residue_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", min_sources: int = 3) -> DataFrame:
+def residue_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", min_sources: int = 2, likely_sources: int = 3) -> DataFrame:
     """(doc_id) of the documents with residue. Only candidate sentences are shuffled."""
     found = durable(candidates(docs, id_col, text_col, source_col))
-    hits = found.join(messages(found, min_sources).select("mhash"), "mhash", "left_semi").select("doc_id")
+    hits = found.join(messages(found, min_sources, likely_sources).select("mhash"), "mhash", "left_semi").select("doc_id")
     return found.filter("mhash is null").select("doc_id").union(hits).distinct()

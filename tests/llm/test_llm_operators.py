@@ -297,9 +297,28 @@ def test_uzbek_alphabets_fold_together():
 def test_residue(spark):
     bad = ["Текст {{ clinic.title }} здесь", "x %PATIENT_NAME% y", "a ${drugName} b", "[вставить должность эксперта] текст", "срок KK.OO.YYYY", "504 Gateway Timeout\nПовторите.", "Саҳифа топилмади (404). Манзилни текширинг.", "Lorem ipsum dolor sit amet sed ipsum", "Портал не работает без JavaScript", "Brauzeringizda skriptlar o‘chirilgan. Sahifani yangilang.", "<html><head><title>404 Not Found</title></head></html>", "Namuna matni.", "Fatal error: Allowed memory size of 37 bytes exhausted", "{order_no}"]
     good = [None, "", " ", "Набор {1, 2, 3} описан в [4], значения <0,05", "Для работы журнала должен быть включён JavaScript, это проверяет инженер.", "Ошибка 404 в отчёте означает, что снимок удалён.", "<|endoftext|> def dose(w): return w * 0.5 # mg", "± 5 % и 6 %", "If the portal reports that a page is not found, the clerk confirms it."]
-    df = spark.createDataFrame([(k, t, f"s{k % 3}", "x") for k, t in enumerate([*bad, *good])], "doc_id bigint, text string, source string, message string")
-    assert {r.doc_id for r in residue.residue_rows(df).collect()} == set(range(len(bad)))
+    cols = "doc_id bigint, text string, source string, message string"
+    df = spark.createDataFrame([(k + 100 * n, t, f"s{n}", "x") for n in range(3) for k, t in enumerate([*bad, *good])], cols)
+    assert {r.doc_id for r in residue.residue_rows(df).collect()} == {k + 100 * n for n in range(3) for k in range(len(bad))}
     assert residue.residue_rows(df.limit(0)).count() == 0
+    # recurrence decides over messages, forms alone over placeholders and filler
+    forms = {k for k, t in enumerate(bad) if residue.has_placeholder(t) or residue.has_filler(t.lower())}
+    assert len(forms) == 7
+    for one in (df.filter("source = 's0'"), df.withColumn("source", F.lit(None).cast("string"))):
+        assert {r.doc_id % 100 for r in residue.residue_rows(one).collect()} == forms
+
+
+def test_residue_held_out_wording(spark):
+    bad = ["Oops! Something went wrong. Please try again later.", "502 nginx", "Error 404 page does not exist", "Этот сайт требует включённого JavaScript.", "Страница временно недоступна", "TODO: заполнить раздел", "[ФИО пациента]"]
+    good = ["Сайт клиники недоступен по выходным, записаться можно по телефону.", "Врач требует включённого монитора.", "Список [1, 2] дан ниже."]
+    df = spark.createDataFrame([(k + 100 * n, t, f"s{n}") for n in range(3) for k, t in enumerate([*bad, *good])], "doc_id bigint, text string, source string")
+    assert {r.doc_id % 100 for r in residue.residue_rows(df).collect()} == set(range(len(bad)))
+
+
+def test_messages_count_sources_of_documents_with_placeholders(spark):
+    rows = [(1, "{{ name }}\n503 Service Unavailable", "a"), (2, "Service Unavailable (503).", "b"), (3, "503 Service Unavailable", "b")]
+    found = residue.candidates(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    assert {r.sources for r in residue.messages(found).collect()} == {2}
 
 
 def test_residue_hints_pass_what_the_rules_know(spark):
@@ -307,7 +326,7 @@ def test_residue_hints_pass_what_the_rules_know(spark):
     bad += [f"{code}: {p}" for code in (404, 503) for p in residue.STATUS] + residue.FILLER + ["502 Bad Gateway (502) " + "nginx " * 90, "Traceback (most recent call last) " + "in module " * 60]
     likely = ["Пройдите captcha и продолжайте", "Сайт защищён от ddos атак"]
     good = ["Ошибка в отчёте сервера исправлена.", "Сахар требует контроля."]
-    rows = [*((k, t, f"s{k % 3}") for k, t in enumerate(bad)), *((1000 + 10 * k + n, t, f"s{n}") for k, t in enumerate(likely) for n in range(3)), *((2000 + k, t, "s") for k, t in enumerate(good))]
+    rows = [*((k + 300 * n, t, f"s{n}") for n in range(2) for k, t in enumerate(bad)), *((1000 + 10 * k + n, t, f"s{n}") for k, t in enumerate(likely) for n in range(3)), *((2000 + k, t, "s") for k, t in enumerate(good))]
     got = {r.doc_id for r in residue.residue_rows(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
     missed = [t for i, t, _ in rows if i < 2000 and i not in got and residue.classify(residue.mask(t))]
     assert not missed and set(range(6)) <= got and {1000, 1001, 1002, 1010, 1011, 1012} <= got and not got & {2000, 2001}
