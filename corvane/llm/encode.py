@@ -2,7 +2,8 @@
 
 Words (pieces of the public pre-tokenisation pattern) are encoded together: words of about one length form a
 padded matrix of ids; in every round each row merges its leftmost pair of the lowest rank, found in a hashed table of
-pairs, and rows are compacted by a mask. Finished rows leave the matrix. Known words come from a cache.
+pairs, and rows are compacted by a mask. Finished rows leave the matrix. Known words come from a cache. Rounds cost a row's length each,
+so words longer than the widest bucket (letters without blanks, rulers) take the same merges in the same order from a heap instead.
 
 Defined results: null and empty texts have an empty list; signs that look like special tokens are ordinary text;
 a lone surrogate cannot occur in a Spark string. Repeated rows give repeated rows; other columns are not read.
@@ -11,6 +12,7 @@ a lone surrogate cannot occur in a Spark string. Repeated rows give repeated row
 from __future__ import annotations
 
 import base64
+import heapq
 import os
 from functools import lru_cache
 
@@ -36,7 +38,7 @@ class PairTable:
         self.keys, self.vals = np.full(size, -1, np.int64), np.full(size, NONE, np.int32)
         key = (pairs[:, 0].astype(np.int64) << 20) | pairs[:, 1]
         slot, todo = self._slot(key), np.arange(len(key))
-        self.probes = 0
+        self.probes, self._dict = 0, None
         while len(todo):
             self.probes += 1
             free = self.keys[slot[todo]] == -1
@@ -49,6 +51,13 @@ class PairTable:
             todo = todo[left[todo]]
             slot[todo] = (slot[todo] + 1) & self.mask
 
+    def pairs(self) -> dict[int, int]:
+        """The same pairs as a dict, made when first needed."""
+        if self._dict is None:
+            used = self.keys >= 0
+            self._dict = dict(zip(self.keys[used].tolist(), self.vals[used].tolist()))
+        return self._dict
+
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key * np.int64(0x9E3779B97F4A7C1 & 0x7FFFFFFFFFFFFFFF)) >> np.int64(63 - self.bits - 8)) & np.int64(self.mask)
 
@@ -114,14 +123,47 @@ def merge_rows(ids: np.ndarray, table: PairTable) -> np.ndarray:
     return rows
 
 
+def merge_long(ids: list[int], table: PairTable) -> list[int]:
+    """ids after all merges, each the leftmost pair of the lowest rank, in time near to the length: a heap of ranked places over linked ids."""
+    n = len(ids)
+    ids, after, before = list(ids), list(range(1, n + 1)), list(range(-1, n - 1))
+    rank = table.get(np.array(ids[:-1], np.int32), np.array(ids[1:], np.int32))
+    heap = [(r, k) for k, r in enumerate(rank.tolist()) if r != NONE]
+    heapq.heapify(heap)
+    pair = table.pairs()
+    live = rank.tolist() + [int(NONE)]  # rank of the pair that begins at each place; entries of the heap with another are past
+    while heap:
+        r, k = heapq.heappop(heap)
+        if live[k] != r:
+            continue
+        gone = after[k]
+        ids[k], after[k], live[gone] = r, after[gone], -1
+        if after[k] < n:
+            before[after[k]] = k
+        for at in (before[k], k):
+            if at >= 0:
+                nxt = after[at]
+                live[at] = new = pair.get(ids[at] << 20 | ids[nxt], -1) if nxt < n else -1
+                if new >= 0:
+                    heapq.heappush(heap, (new, at))
+    out, k = [], 0
+    while k < n:
+        out.append(ids[k])
+        k = after[k]
+    return out
+
+
 def encode_words(words: list[str], byte_ids: np.ndarray, table: PairTable) -> list[np.ndarray]:
-    """Ids of each word, by buckets of length. A word longer than the widest bucket gets a matrix of its own width."""
+    """Ids of each word, by buckets of length; words longer than the widest bucket one by one."""
     raw = [w.encode("utf-8", "surrogatepass") for w in words]
     out: list[np.ndarray] = [np.empty(0, np.int32)] * len(words)
     buckets: dict[int, list[int]] = {}
     for k, b in enumerate(raw):
         n = len(b)
-        buckets.setdefault(next((w for w in WIDTHS if n <= w), 1 << n.bit_length()), []).append(k)
+        if n > WIDTHS[-1]:
+            out[k] = np.array(merge_long(byte_ids[np.frombuffer(b, np.uint8)].tolist(), table), np.int32)
+        else:
+            buckets.setdefault(next(w for w in WIDTHS if n <= w), []).append(k)
     for width, members in buckets.items():
         for s in range(0, len(members), max(1, 400_000 // width)):
             part = members[s : s + max(1, 400_000 // width)]

@@ -106,13 +106,36 @@ def consistent(df: DataFrame, vocab: list[str], row_col: str = "row_id", text_co
     return map_rows(src, make, f"row_id {kind}, text string", pa.schema([("row_id", key), ("text", pa.string())]))
 
 
-def same_looking_pairs(df: DataFrame, vocab: list[str], row_col: str = "row_id", text_col: str = "raw_text") -> DataFrame:
+SALTS = 16
+BLOCK = 256  # rows of one look that meet the rows of another block in one task
+
+
+def _with_looks(rows: DataFrame, looks: DataFrame) -> DataFrame:
+    """rows joined with a table of looks that is repeated over salts, so that a look of a third of all rows is split."""
+    spread = looks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(SALTS)).cast("int")).join(spread, ["look", "salt"]).drop("salt")
+
+
+def look_classes(df: DataFrame, vocab: list[str], row_col: str = "row_id", text_col: str = "raw_text") -> DataFrame:
+    """(row_id, class_id, n_rows, several_forms): one row for each record that can be seen, with the least row_id of those that look the
+    same, their number, and whether they are stored in several ways. The scalable form: copies are not expanded into pairs."""
+    rows = durable(consistent(df, vocab, row_col, text_col, hashes=True))
+    looks = rows.groupBy("look").agg(F.min("row_id").alias("class_id"), F.count(F.lit(1)).alias("n_rows"), (F.min("stored") != F.max("stored")).alias("several_forms"))
+    return _with_looks(rows, looks).select("row_id", "class_id", "n_rows", "several_forms")
+
+
+def same_looking_pairs(df: DataFrame, vocab: list[str], row_col: str = "row_id", text_col: str = "raw_text", block: int = BLOCK) -> DataFrame:
     """(row_id_a, row_id_b), a < b: all rows that look the same and differ as stored.
 
-    Digests are grouped with partial aggregation; only looks stored in two ways or more reach the join on equal looks.
+    Digests are grouped with partial aggregation; only looks stored in two ways or more go further. The rows of such a look are dealt
+    into blocks of about `block` rows, and blocks meet two by two, so that no task has more than block x block pairs of a look;
+    a row is repeated once for each block of its look, which is far less than its pairs.
     """
     rows = durable(consistent(df, vocab, row_col, text_col, hashes=True))
-    several = rows.groupBy("look").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).filter("lo <> hi").select("look")
-    kept = rows.join(several, "look", "left_semi")
-    a, b = kept.alias("a"), kept.alias("b")
-    return a.join(b, (F.col("a.look") == F.col("b.look")) & (F.col("a.row_id") < F.col("b.row_id")) & (F.col("a.stored") != F.col("b.stored"))).select(F.col("a.row_id").alias("row_id_a"), F.col("b.row_id").alias("row_id_b"))
+    several = rows.groupBy("look").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo <> hi")
+    kept = _with_looks(rows, several.select("look", F.ceil(F.col("n") / block).cast("int").alias("blocks"))).withColumn("own", F.pmod(F.xxhash64("row_id", F.lit(1)), F.col("blocks")).cast("int"))
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    a = kept.select("look", "row_id", "stored", F.col("own").alias("x"), each.alias("y")).alias("a")
+    b = kept.select("look", "row_id", "stored", each.alias("x"), F.col("own").alias("y")).alias("b")
+    on = (F.col("a.look") == F.col("b.look")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.y") == F.col("b.y")) & (F.col("a.row_id") < F.col("b.row_id")) & (F.col("a.stored") != F.col("b.stored"))
+    return a.join(b, on).select(F.col("a.row_id").alias("row_id_a"), F.col("b.row_id").alias("row_id_b"))

@@ -48,6 +48,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.same_looking_pairs(_t(spark, d, "parsed_guidelines_raw"), vocab)
 
 
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    vocab = lookalike.vocabulary(_t(spark, d, "common_words"), _t(spark, d, "language_samples"))
+    return lookalike.look_classes(_t(spark, d, "parsed_guidelines_raw"), vocab)
+
+
 def p4_text(spark: SparkSession, d: str) -> DataFrame:
     vocab = lookalike.vocabulary(_t(spark, d, "common_words"), _t(spark, d, "language_samples"))
     return lookalike.consistent(_t(spark, d, "parsed_guidelines_raw"), vocab)
