@@ -220,7 +220,7 @@ def identify(df: DataFrame, samples: DataFrame, row_col: str = "row_id", text_co
     return map_rows(src, make, f"row_id {kind}, segment_no int, language string, confidence double, first_line int, last_line int, n_words int, kind string", arrow)
 
 
-def mislabelled(df: DataFrame, samples: DataFrame, row_col: str = "row_id", text_col: str = "raw_text", label_col: str = "detected_language", folder: str = TOKENIZERS, least: int = 5, share: float = 0.0) -> DataFrame:
+def mislabelled(df: DataFrame, samples: DataFrame, row_col: str = "row_id", text_col: str = "raw_text", label_col: str = "detected_language", folder: str = TOKENIZERS, least: int = 5) -> DataFrame:
     """(row_id, language): the languages of the full sentences of records whose label is missing or wrong, or which have several.
 
     The label travels through the narrow map as part of the key, so that no join is needed.

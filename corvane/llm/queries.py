@@ -15,7 +15,7 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d, "parsed_docling")
-    return scanned.repair(docs, scanned.fit(docs), repaired=False).select("row_id", "line_no", "defect")
+    return scanned.repair(docs, scanned.fit(docs)).filter("defect is not null").select("row_id", "line_no", "defect")
 
 
 def p1_text(spark: SparkSession, d: str) -> DataFrame:

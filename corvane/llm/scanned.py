@@ -5,9 +5,10 @@ page breaks that are alike on several pages, and page numbers that follow each o
 with misread characters are corrected to vocabulary words that common confusions lead to.
 
 The vocabulary and the header masks are counted over all distinct texts (copies are left out by digest, with one shuffle of
-the texts; then partial counts in each partition, one shuffle of counts). Only words found in a fixed share of them are kept, so their number is at most mean-distinct-words / share whatever
-their number; that bound makes them fit for a broadcast. Header masks need a fixed number of texts at every size, so that
-small series are found in large tables too; they are broadcast as well, and grow with the number of distinct series.
+the texts; then partial counts in each partition, one shuffle of counts). Words need a fixed number of texts, and so do header masks, at
+every size, so that rare words and small series are known in large tables too. Both tables grow with the corpus. While they are small, by
+a checked size, they are broadcast; beyond it records are dealt into blocks, the words that a block's records may ask for are joined
+with the vocabulary by shuffle, and each block is repaired with its own part of it, with the same result (see repair_in_blocks).
 
 Defined results: null, empty and blank texts, and records whose paragraphs are not wrapped into short lines, have no defects and stay
 as they are. A title in its own place, headings and numbers of the text are kept. Repeated rows are judged one by one.
@@ -17,13 +18,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import Memo, map_rows
+from .arrow import Memo, durable, map_rows
 
 WORD = re.compile(r"[^\W\d_]+(?:[‘’'][^\W\d_]+)*(?:-[^\W\d_]+(?:[‘’'][^\W\d_]+)*)*")
 HYPHENS = "-¬\xad‐‑–"
@@ -34,6 +36,8 @@ CLOSING = frozenset(".!?;:)»”…")
 LOWER = re.compile(r"[a-zа-яёўқғҳ‘’]")
 MISREAD_HALF = "а1а"  # stands for a half whose misread character shows in the whole word only
 WIDEST = 100  # characters of a scanned line; paragraphs that are not wrapped are longer
+MOST_WORDS, MOST_HEADS = 1_000_000, 20_000  # of a broadcast: some 60 MB of texts and counts
+BLOCK_ROWS = 2_000
 
 # Signs that a page's characters are misread as fall into one class with them, by alphabet. Sequences are
 # replaced before single signs in the Cyrillic table and after them in the Latin one.
@@ -78,9 +82,9 @@ def closed(line: str) -> bool:
 
 
 def is_wrapped(lines: list[str]) -> bool:
-    """Whether paragraphs were cut into the lines of a page: short lines, of which some go on in lower case."""
+    """Whether paragraphs were cut into the lines of a page: lines most of whose characters are in short ones, of which some go on in lower case."""
     texts = [x for x in lines if x.strip()]
-    if any(len(x) > WIDEST and "|" not in x and "\t" not in x for x in texts):
+    if 2 * sum(len(x) for x in texts if len(x) > WIDEST and "|" not in x and "\t" not in x) > sum(map(len, texts)):
         return False
     return any(len(a) > 24 and LOWER.match(b.lstrip()) and not closed(a) and not ITEM.match(a) for a, b in zip(texts, texts[1:])) or len(_numbers(lines)) > 1
 
@@ -179,21 +183,25 @@ def head_and_number(s: str) -> tuple[str, tuple[int | None, bool] | None]:
 
 
 class Model:
-    """The corpus's words with their row counts, and its header masks."""
+    """The corpus's words with their counts, and its header masks."""
 
     def __init__(self, words: dict[str, int], heads: list[str]):
-        self.words, self.heads = words, heads
-        self.by_class: dict[str, str] = {}
+        best: dict[str, str] = {}
         for w in sorted(words, key=lambda w: (-words[w], w)):
-            self.by_class.setdefault(fold(w), w)
-        top = max(words.values(), default=0)
-        self.common = frozenset(w for w, n in words.items() if 30 * n > top)
-        self.firsts = frozenset(w.split("-")[0] for w in words if "-" in w)
-        self.known_head = Memo(self.is_head, 50_000)
+            best.setdefault(fold(w), w)
+        self.know(words, best, max(words.values(), default=0), frozenset(w.split("-")[0] for w in words if "-" in w))
+        self.heads = heads
         self.plain_heads = frozenset(h for h in heads if "#" not in h)
         self.by_length: dict[int, list[str]] = {}
         for h in heads:
             self.by_length.setdefault(len(h), []).append(h)
+        self.known_head = Memo(self.is_head, 50_000)
+
+    def know(self, words: dict[str, int], best: dict[str, str], top: int, firsts: frozenset[str]) -> None:
+        """Takes a vocabulary: words with counts, the most frequent word of each class, the top count, first halves of words with hyphens."""
+        self.words, self.by_class, self.firsts = words, best, firsts
+        self.common = frozenset(w for w, n in words.items() if 30 * n > top)
+        self.usual = frozenset(w for w, n in words.items() if 2_000 * n >= top)  # what is rarer may be a half or a misread word itself
         self.fixed, self.bad = Memo(self.correct), Memo(self.bad_word)
 
     def is_head(self, form: str) -> bool:
@@ -312,12 +320,12 @@ class Model:
         words, low, rest = self.words, a.lower(), b.lower()
         whole, dashed = low + rest, f"{low}-{rest}"
         if not hyphen:
-            return words.get(whole, 0) >= 8 and not (low in words and rest in words) and words[whole] > 3 * max(words.get(rest, 0), 0 if len(low) < 4 else words.get(low, 0))
+            return words.get(whole, 0) >= 8 and words[whole] > 30 * min(words.get(low, 0), words.get(rest, 0)) and words[whole] > 3 * max(words.get(rest, 0), 0 if len(low) < 4 else words.get(low, 0))
         if words.get(dashed, 0) > words.get(whole, 0):
             return False
         if whole in words:
             return True
-        if b[0].isupper() or any(d.startswith(low + "-") and words.get(rest, 0) > 0 for d in (dashed,) if low in self.firsts) or (low in words and rest in words and hyphen == "-" and len(low) > 3 and len(rest) > 3):
+        if b[0].isupper() or any(d.startswith(low + "-") and words.get(rest, 0) > 0 for d in (dashed,) if low in self.firsts) or (low in self.usual and rest in self.usual and hyphen == "-" and len(low) > 3 and len(rest) > 3):
             return False
         return True
 
@@ -337,7 +345,7 @@ class Model:
                 return True
         return False
 
-    def defects(self, text: str, repaired: bool = True) -> tuple[list[tuple[int, str]], str]:
+    def defects(self, text: str) -> tuple[list[tuple[int, str]], str]:
         """((line number, defect) ..., repaired text)."""
         lines = text.split("\n")
         if not is_wrapped(lines):
@@ -374,7 +382,7 @@ class Model:
                         words.append(MISREAD_HALF)
             if any(bad[w] for w in words if w):
                 found.append((k + 1, "bad_chars"))
-        return sorted(found), text if not repaired else self.join(lines, body, cut, {n for n, d in found if d == "bad_chars"})
+        return sorted(found), self.join(lines, body, cut, {n for n, d in found if d == "bad_chars"})
 
     def join(self, lines: list[str], body: list[int], cut: dict, bad: set[int]) -> str:
         """Continuous paragraphs: running lines left out, divided words joined, misread words corrected."""
@@ -463,41 +471,153 @@ def distinct_texts(df: DataFrame, text_col: str = "raw_text") -> DataFrame:
     return src.groupBy(F.sha2("raw_text", 256).alias("digest")).agg(F.first("raw_text").alias("raw_text")).select("raw_text")
 
 
-def fit(df: DataFrame, text_col: str = "raw_text", share: float = 1e-4, least: int = 3, least_heads: int = 5) -> Model:
-    """The vocabulary of words in at least `share` of the distinct texts (and in `least` of them), and the header masks: short lines
-    that stand beside page numbers in most of the rows that have them, and in `least_heads` texts whatever their number. Copies of one text count once."""
-    texts = df.filter(F.trim(df[text_col]) != "").select(F.sha2(text_col, 256)).distinct().count()
-    floor = max(least, int(share * texts))
-    counted = count_corpus(distinct_texts(df, text_col)).filter((F.col("kind") == "w") & (F.col("n") >= floor) | (F.col("kind") != "w") & (F.col("n") >= least_heads))
-    words, beside, lines = {}, {}, {}
-    for r in counted.toLocalIterator():
-        (words if r[0] == "w" else beside if r[0] == "h" else lines)[r[1]] = r[2]
-    heads = sorted(m for m, n in beside.items() if n >= 0.4 * lines.get(m, n) and sum(map(str.isalpha, m)) > (1 if "#" in m else 3))
-    return Model(words, heads)
+def corpus_counts(df: DataFrame, text_col: str = "raw_text", least: int = 3, least_heads: int = 5) -> DataFrame:
+    """(kind, key, n) of count_corpus over the distinct texts: words of `least` texts or more, masks of `least_heads` or more. A written table."""
+    return durable(count_corpus(distinct_texts(df, text_col)).filter((F.col("kind") == "w") & (F.col("n") >= least) | (F.col("kind") != "w") & (F.col("n") >= least_heads)))
 
 
-def repair(df: DataFrame, model: Model, row_col: str = "row_id", text_col: str = "raw_text", repaired: bool = True) -> DataFrame:
-    """(row_id, line_no, defect, text): a row for each defect, and with `repaired` one without line and defect that carries the repaired text."""
+def head_masks(counted: DataFrame) -> DataFrame:
+    """(key): the header masks, short lines that stand beside page numbers in most of the texts that have them."""
+    beside, lines = counted.filter("kind = 'h'").select("key", "n"), counted.filter("kind = 'l'").select("key", F.col("n").alias("all_n"))
+    signs = F.length(F.regexp_replace("key", r"[^\p{L}]", ""))
+    rows = beside.join(lines, "key", "left").filter(F.col("n") >= 0.4 * F.coalesce("all_n", "n"))
+    return rows.filter(signs > F.when(F.col("key").contains("#"), 1).otherwise(3)).select("key")
+
+
+def fit(df: DataFrame, text_col: str = "raw_text", least: int = 3, least_heads: int = 5, most_words: int = MOST_WORDS, most_heads: int = MOST_HEADS) -> Model | DataFrame:
+    """The vocabulary and the header masks: a Model where both are small enough to be broadcast, else the table of counts, which
+    repair() looks up in blocks. Copies of one text count once."""
+    counted = corpus_counts(df, text_col, least, least_heads)
+    heads = durable(head_masks(counted))
+    words = counted.filter("kind = 'w'")
+    if words.limit(most_words + 1).count() > most_words or heads.limit(most_heads + 1).count() > most_heads:
+        return words.select("kind", "key", "n").unionByName(heads.select(F.lit("h").alias("kind"), "key", F.lit(0).cast("bigint").alias("n")))
+    return Model({r[0]: r[1] for r in words.select("key", "n").toLocalIterator()}, sorted(r[0] for r in heads.collect()))
+
+
+def repair(df: DataFrame, model: Model | DataFrame, row_col: str = "row_id", text_col: str = "raw_text") -> DataFrame:
+    """(row_id, line_no, defect, text): a row for each defect, and one without line and defect that carries the repaired text."""
+    if isinstance(model, DataFrame):
+        return repair_in_blocks(df, model, row_col, text_col)
     kind = dict(df.dtypes)[row_col]
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((model.words, model.heads))
+    shared = df.sparkSession.sparkContext.broadcast((model.words, model.heads))
 
     def make():
         m = _model(shared)
+        return lambda c: _repaired(m, c["row_id"], c["txt"])
+
+    return map_rows(df.select(df[row_col].alias("row_id"), df[text_col].alias("txt")), make, f"row_id {kind}, line_no int, defect string, text string", _schema(kind))
+
+
+def _schema(kind: str) -> pa.Schema:
+    return pa.schema([("row_id", pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), ("line_no", pa.int32()), ("defect", pa.string()), ("text", pa.string())])
+
+
+def _repaired(m: Model, rows: list, texts: list[str | None]) -> dict[str, list]:
+    out = []
+    for i, t in zip(rows, texts):
+        found, fixed = m.defects(t) if t and t.strip() else ([], t)
+        out += [(i, n, d, None) for n, d in found]
+        out.append((i, None, None, fixed))
+    return dict(zip(("row_id", "line_no", "defect", "text"), map(list, zip(*out)))) if out else {n: [] for n in ("row_id", "line_no", "defect", "text")}
+
+
+def asked(text: str) -> set[tuple[str, str]]:
+    """(kind, key) of all that Model may look up for a text: words ('w'), classes ('c'), first halves ('f'), forms of lines ('h')."""
+    lines = text.split("\n")
+    if not is_wrapped(lines):
+        return set()
+    words: set[str] = set()
+    out: set[tuple[str, str]] = set()
+    texts = [x.strip() for x in lines if x.strip()]
+    for n, line in enumerate(texts):
+        head, _ = head_and_number(line)
+        if 0 < len(head) <= 60:
+            out.add(("h", mask(head)))
+        for token in TOKENS.findall(line):
+            for t in (token, STRAY.sub("", token), TAIL.sub("", token)):
+                core = t.strip(".:'‘’\"%°±<>=+–—-").lower()
+                words.update((core, *core.split("-")))
+                if m := GLUED.match(core):
+                    words.add(m[1])
+        m = END_WORD.match(line.rpartition(" ")[2])
+        for after in texts[n + 1 :] if m else ():  # any of the next lines may be left out as a running line, but not a long one
+            if s := START_WORD.match(after):
+                low, rest = m[1].lower(), s[0].lower()
+                words.update((low, rest, low + rest, f"{low}-{rest}"))
+                out.add(("f", low))
+            if len(after) > WIDEST or len(after) > 62 and "  " not in after and "\t" not in after:
+                break
+    out.update(("w", w) for w in words)
+    out.update(("c", fold(w)) for w in words)
+    return out
+
+
+def lookup_table(counted: DataFrame) -> DataFrame:
+    """(kind, key, word, n) of words, classes with their most frequent word, and first halves."""
+
+    def folded() -> Callable:
+        return lambda c: {"key": c["key"], "n": c["n"], "cls": [fold(w) for w in c["key"]]}
+
+    words = counted.filter("kind = 'w'")
+    classed = map_rows(words.select("key", "n"), folded, "key string, n bigint, cls string", pa.schema([("key", pa.string()), ("n", pa.int64()), ("cls", pa.string())]))
+    best = classed.groupBy("cls").agg(F.min(F.struct((-F.col("n")).alias("m"), "key")).alias("b"))
+    own = words.select(F.lit("w").alias("kind"), "key", F.col("key").alias("word"), "n")
+    first = words.filter(F.col("key").contains("-")).select(F.lit("f").alias("kind"), F.split("key", "-")[0].alias("key"), F.lit("").alias("word"), F.lit(1).cast("bigint").alias("n")).distinct()
+    return own.unionByName(best.select(F.lit("c").alias("kind"), F.col("cls").alias("key"), F.col("b.key").alias("word"), (-F.col("b.m")).alias("n"))).unionByName(first)
+
+
+def known_forms(forms: DataFrame, heads: DataFrame, chunk: int = MOST_HEADS) -> tuple[DataFrame, bool]:
+    """(kind 'h', key, word, n) of the distinct forms of lines that are like a header mask, and whether any mask has no number. Masks are a
+    stated set that all forms are compared with, in chunks of a bounded size."""
+    parts = max(1, -(-heads.count() // chunk))
+    plain = not heads.filter(~F.col("key").contains("#")).isEmpty()
+    marked = durable(heads.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))))
+    out = None
+    for p in range(parts):
+        shared = heads.sparkSession.sparkContext.broadcast(sorted(r[0] for r in marked.filter(F.col("part") == p).select("key").collect()))
+
+        def make(shared=shared):
+            m = Model({}, shared.value)
+            return lambda c: {"key": [k for k in c["key"] if m.known_head[k]]}
+
+        part = map_rows(forms, make, "key string", pa.schema([("key", pa.string())]))
+        out = part if out is None else out.union(part)
+    return out.distinct().select(F.lit("h").alias("kind"), "key", F.lit("").alias("word"), F.lit(1).cast("bigint").alias("n")), plain
+
+
+def repair_in_blocks(df: DataFrame, counted: DataFrame, row_col: str = "row_id", text_col: str = "raw_text", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """repair() with a vocabulary of any size: what the records of a block may ask for is joined with it by shuffle. Blocks are dealt by a
+    hash of the row, so copies of one text meet in no single block."""
+    kind = dict(df.dtypes)[row_col]
+    blocks = max(1, -(-df.count() // block_rows))
+    src = df.select(df[row_col].alias("row_id"), df[text_col].alias("txt")).withColumn("block", F.pmod(F.xxhash64("row_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
+    src = durable(src)  # the place of a row must not be made anew
 
+    def gather():
         def work(c: dict[str, list]) -> dict[str, list]:
-            out = []
-            for i, t in zip(c["row_id"], c["txt"]):
-                found, fixed = m.defects(t, repaired) if t and t.strip() else ([], t)
-                out += [(i, n, d, None) for n, d in found]
-                if repaired:
-                    out.append((i, None, None, fixed))
-            return dict(zip(("row_id", "line_no", "defect", "text"), map(list, zip(*out)))) if out else {n: [] for n in arrow.names}
+            keys = {(b, *k) for b, t in zip(c["block"], c["txt"]) if t and t.strip() for k in asked(t)}
+            return dict(zip(("block", "kind", "key"), map(list, zip(*keys)))) if keys else {"block": [], "kind": [], "key": []}
 
         return work
 
-    arrow = pa.schema([("row_id", pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), ("line_no", pa.int32()), ("defect", pa.string()), ("text", pa.string())])
-    return map_rows(df.select(df[row_col].alias("row_id"), df[text_col].alias("txt")), make, f"row_id {kind}, line_no int, defect string, text string", arrow)
+    want = durable(map_rows(src.select("block", "txt"), gather, "block int, kind string, key string", pa.schema([("block", pa.int32()), ("kind", pa.string()), ("key", pa.string())])).distinct())
+    forms, plain = known_forms(want.filter("kind = 'h'").select("key").distinct(), counted.filter("kind = 'h'").select("key"))
+    top = counted.filter("kind = 'w'").agg(F.max("n")).first()[0] or 0
+    part = want.join(lookup_table(counted).unionByName(forms), ["kind", "key"]).select("block", "kind", "key", "word", "n")
+    arrow = _schema(kind)
+
+    def one(texts: pa.Table, known: pa.Table) -> pa.Table:
+        k = known.to_pydict()
+        rows = list(zip(k["kind"], k["key"], k["word"], k["n"]))
+        m = Model({}, [])
+        m.know({w: n for kd, _, w, n in rows if kd in "wc"}, {key: w for kd, key, w, _ in rows if kd == "c"}, top, frozenset(key for kd, key, _, _ in rows if kd == "f"))
+        heads = {key for kd, key, _, _ in rows if kd == "h"}
+        m.known_head, m.plain_heads = Memo(heads.__contains__, 50_000), frozenset(["-"] if plain else [])
+        t = texts.to_pydict()
+        return pa.Table.from_pydict(_repaired(m, t["row_id"], t["txt"]), schema=arrow)
+
+    return src.groupBy("block").cogroup(part.groupBy("block")).applyInArrow(one, f"row_id {kind}, line_no int, defect string, text string")
 
 
 _models: dict[int, tuple[tuple, Model]] = {}  # the value is held, so that no other takes its id

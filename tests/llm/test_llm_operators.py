@@ -82,21 +82,44 @@ def test_copies_of_one_text_count_once(spark):
     df = spark.createDataFrame([*clean, *((100 + k, scan) for k in range(30))], "row_id bigint, raw_text string")
     model = scanned.fit(df, least=1)
     assert model.words["обследовапие"] == 1 and model.words["обследование"] == 60
-    got = {(r.row_id, r.line_no) for r in scanned.repair(df, model, repaired=False).filter("defect = 'bad_chars'").collect()}
+    got = {(r.row_id, r.line_no) for r in scanned.repair(df, model).filter("defect = 'bad_chars'").collect()}
     assert got == {(100 + k, 2) for k in range(30)}
 
 
+def test_blocks_give_what_the_broadcast_gives(spark):
+    docs = spark.read.parquet(f"{SF}/parsed_docling.parquet").select("row_id", "raw_text").union(spark.createDataFrame([(-1, None), (-2, ""), (-3, PAGE), (-3, PAGE)], "row_id bigint, raw_text string"))
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    m = scanned.fit(docs)
+    want = key(scanned.repair(docs, m))
+    assert isinstance(m, scanned.Model) and want
+    counted = scanned.fit(docs, most_words=5)
+    assert not isinstance(counted, scanned.Model) and key(scanned.repair(docs, counted)) == want
+    assert key(scanned.repair_in_blocks(docs, counted, block_rows=7)) == want
+    assert key(scanned.repair(docs.repartition(3, "row_id"), m)) == want
+    heads = spark.createDataFrame([("выпуск #",), ("том #",), ("институт терапии",)], "key string")
+    forms = spark.createDataFrame([("выпуск #",), ("вьпуск #",), ("институт терапин",), ("лечение",)], "key string")
+    got = {n: ({r.key for r in scanned.known_forms(forms, heads, n)[0].collect()}, scanned.known_forms(forms, heads, n)[1]) for n in (1, 9)}
+    assert got[1] == got[9] == ({"выпуск #", "вьпуск #", "институт терапин"}, True)
+
+
+def test_one_wide_line_does_not_make_a_record_clean():
+    m = model()
+    m = scanned.Model({**m.words, "получении": 50}, m.heads)
+    found, _ = m.defects(PAGE + "\n" + "слово " * 17)
+    assert (2, "broken_word") in found and (4, "running_line") in found
+
+
 def test_headers_without_numbers(spark):
     body = "Сегодня врач проводит осмотр больного и назначает при\nобострении лечение по схеме отделения, указывая {} раз."
     two, three = "При анемии средней тяжести показаны таблетки железа, их\nпринимают до обеда и запивают водой.", "Контроль анализа крови проводят каждую неделю, пока он\nне станет обычным для возраста больного."
     pages = [body.format("один"), "3", "Республиканский институт терапии", two, "4", "Республиканскнй институт терапии", three, "5"]
-    found = model().defects("\n".join(["О лечении больных с анемией в отделениях", *pages]), False)[0]
+    found = model().defects("\n".join(["О лечении больных с анемией в отделениях", *pages]))[0]
     assert [n for n, d in found if d == "running_line"] == [4, 5, 8, 9, 12]
     words = "сосуды почки печень лёгкие кости нервы".split()
     rows = [(f"Заметка о болезни: {w}\n{body.format(w)}\n{k + 1}\nИнститут терапии и хирургии\nПосле этого врач описывает {w}.",) for k, w in enumerate(words)]
     m = scanned.fit(spark.createDataFrame(rows, "raw_text string"))
     assert m.heads == ["институт терапии и хирургии"]
-    assert (5, "running_line") in m.defects(rows[0][0], False)[0]
+    assert (5, "running_line") in m.defects(rows[0][0])[0]
 
 
 # 2
@@ -122,10 +145,29 @@ def test_repeated_lines_against_brute_force(spark):
                     place.append((i, n, s, k))
     want = sorted((i, n) for i, n, s, k in place if len(docs[s, k]) >= 4 and 100 * len(docs[s, k]) >= 2 * len(total[s]))
     assert got == want and want
-    clean = {r.row_id: r.clean_text for r in boilerplate.without_lines(df, boilerplate.repeated_lines(df)).select("row_id", "clean_text").collect()}
     drop = set(want)
-    assert all(clean[i] == (None if t is None else "\n".join(x for n, x in enumerate(t.split("\n"), 1) if (i, n) not in drop)) for i, _, _, t, _ in rows)
-    assert boilerplate.repeated_lines(df.limit(0)).count() == 0
+    for out in (boilerplate.cleaned(df), boilerplate.without_lines(df, boilerplate.repeated_lines(df))):
+        clean = {r.row_id: r.clean_text for r in out.select("row_id", "clean_text").collect()}
+        assert all(clean[i] == (None if t is None else "\n".join(x for n, x in enumerate(t.split("\n"), 1) if (i, n) not in drop)) for i, _, _, t, _ in rows)
+    assert boilerplate.repeated_lines(df.limit(0)).count() == 0 and boilerplate.cleaned(df.limit(0)).count() == 0
+    # many rows a tree, and a join in place of the broadcast, change nothing
+    src = boilerplate._source(df, "row_id", "specialty", "variant_id", "raw_text")
+    assert sorted(map(tuple, boilerplate.grown(src, 20, most=3).distinct().collect())) == sorted(map(tuple, boilerplate.grown(src, 20).distinct().collect()))
+    most, boilerplate.BROADCAST = boilerplate.BROADCAST, 0
+    try:
+        assert sorted((r.row_id, r.line_no) for r in boilerplate.repeated_lines(df).collect()) == want
+        by_join = {tuple(r) for r in boilerplate.templates(df).collect()}
+        again = {r.row_id: r.clean_text for r in boilerplate.cleaned(df).collect()}
+    finally:
+        boilerplate.BROADCAST = most
+    assert again == clean and by_join == {tuple(r) for r in boilerplate.templates(df).collect()}
+
+
+def test_templates_have_wildcards_where_lines_differ(spark):
+    lines = ["Дата печати: 10.05.2025. Страница загружена", "ДАТА ПЕЧАТИ - 11.06.2025. Страница загружена", "Дата печа-ти: 1.1. Страница загружена!", "дата печати: 2. Страница загружена"]
+    df = raw(spark, [(k, f"v{k}", "А", f"Заголовок {k}\n{x}", None) for k, x in enumerate(lines)])
+    assert [(r.grp, r.template, r.docs, r.total) for r in boilerplate.templates(df).collect()] == [("А", "дата печа<*>ти<*>страница загружена<*>", 4, 4)]
+    assert boilerplate.templates(df.limit(0)).count() == 0
 
 
 # 3
@@ -137,6 +179,20 @@ def test_mojibake_round_trip(repair, enc, dec):
     assert unicodedata.normalize("NFC", repair(bad)).split()[:2] == plain.split()[:2]
 
 
+def test_mojibake_depends_on_no_other_text(samples):
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table("/root/testdata/sf0.01/parsed_guidelines_raw.parquet", columns=["raw_text"])["raw_text"].to_pylist() if t]
+    got = []
+    for seed in range(3):
+        order = list(range(len(texts)))
+        random.Random(seed).shuffle(order)
+        fix = mojibake.Repair(mojibake.sample_texts(samples))
+        out = {k: (fix.garbled(texts[k]), fix(texts[k])) for k in order}
+        got.append([out[k] for k in range(len(texts))])
+    assert got[0] == got[1] == got[2] and sum(g for g, _ in got[0]) > 20
+
+
 def test_mojibake_leaves_rare_signs(repair):
     for t in (None, "", "About 26 treatment-naïve patients; café-au-lait (ÄÖÜ-test), 5 µg, x²", "Бўлимда ё‘тал 38 °C ±5 %", "ОТПРАВИТЬ КОЛЛЕГЕ ЭТУ СТРАНИЦУ", "щхвщ бж лфнб кн шщ. р;"):
         assert not repair.garbled(t) and repair(t) == t
@@ -173,6 +229,15 @@ def test_same_looks(spark):
     assert lookalike.same_looking_pairs(df.limit(0), []).count() == 0
 
 
+def test_a_look_of_many_rows_meets_in_blocks(spark):
+    df = spark.range(300).select(F.col("id").alias("row_id"), F.when(F.col("id") % 3 == 0, "Сор 12").when(F.col("id") % 3 == 1, "Cop 12").otherwise("Сор\u200b 12").alias("raw_text"))
+    for block in (16, 256):
+        pairs = lookalike.same_looking_pairs(df, [], block=block).collect()
+        assert len(pairs) == len({tuple(p) for p in pairs}) == 3 * 100 * 100 and all(p[0] < p[1] for p in pairs)
+    rows = lookalike.look_classes(df.union(spark.createDataFrame([(500, "иное"), (501, None), (502, " ")], "row_id bigint, raw_text string")), []).collect()
+    assert {(r.class_id, r.n_rows, r.several_forms) for r in rows} == {(0, 300, True), (500, 1, False)} and len(rows) == 301
+
+
 def test_automaton():
     auto = lookalike.Automaton(["сор", "рос"])
     assert auto.spell("cop") == "сор" and auto.spell("c​оp") == "сор" and auto.spell("сот") is None
@@ -220,9 +285,27 @@ def test_kinds(spark, samples):
     df = raw(spark, [(k, "v", "s", t, None) for k, t in enumerate([*texts.values(), None, " \n"])])
     got = {r.row_id: r.kind for r in quality.statistics(df, samples, spark.read.parquet(f"{SF}/common_words.parquet"), text_col="raw_text").collect()}
     assert [got[k] for k in range(4)] == list(texts) and got[4] is None and got[5] is None
+    mixed = "\n".join([texts["prose"], *texts["prose"].split("\n")[1:] * 3, texts["table"]])
+    both = quality.statistics(raw(spark, [(1, "v", "s", mixed, None), (2, "v", "s", texts["table"] + "\n" + texts["list"].replace("- ", "– "), None)]), samples, spark.read.parquet(f"{SF}/common_words.parquet"), text_col="raw_text")
+    assert {r.row_id: r.kind for r in both.collect()}[1] == "prose"
     assert quality.jensen_shannon((1, 0), (0, 1)) == 1 and quality.jensen_shannon((0.5, 0.5), (0.5, 0.5)) == 0
 
 
+def test_kinds_of_held_out_words(samples):
+    """Profiles of half of the samples against layouts of the other half: the divergence alone tells the kinds apart."""
+    rows = [(r.language, r.sample_text) for r in samples.orderBy("sample_id").collect()]
+    common = [("ru", w) for w in "в на и при для не".split()] + [("en", w) for w in "the of and is to a".split()] + [("uz_cyr", w) for w in "ва билан учун бу".split()] + [("uz_lat", w) for w in "va bilan uchun bu".split()]
+    profiles = quality.Profiles(rows[::2], common)
+    right = total = 0
+    for language in ("ru", "en", "uz_cyr", "uz_lat"):
+        texts = [t for l, t in rows[1::2] if l == language]
+        words = list(dict.fromkeys(w for t in texts for w in quality.re.findall(r"[^\W\d_]{3,}", t)))
+        for kind, text in quality.layouts(words, texts):
+            total += 1
+            right += profiles.nearest(profiles.counts(text))[0] == kind
+    assert right >= 0.97 * total
+
+
 # 7
 def test_pieces(spark):
     rng = random.Random(2)
@@ -253,6 +336,12 @@ def test_encoding_matches_the_reference_library(spark):
     got = Counter((r.doc_id, tuple(r.ids)) for r in encode.encode(df).collect())
     assert got == want
     assert encode.encode(df.limit(0)).count() == 0
+    byte_ids, table, _ = encode.load(encode.TOKENIZERS)
+    rng = random.Random(1)
+    for n in (257, 1000, 20_000):
+        for signs in ("abcdefghijklmnopqrstuvwxyz", "ab", "абвгдеж", "-", "漢字仮名"):
+            word = "".join(rng.choice(signs) for _ in range(n))
+            assert encode.encode_words([word], byte_ids, table)[0].tolist() == ref._core_bpe.encode_single_piece(word.encode())
 
 
 # 9
@@ -262,9 +351,9 @@ def words(rng, n):
 
 def test_leaks_find_every_faithful_passage():
     rng = random.Random(3)
-    for _ in range(150):
+    for _ in range(300):
         item = words(rng, 40)
-        prints = leaks.Prints({1: item})
+        prints = leaks.Prints([(1, [leaks.word_hash(w) for w in item])])
         n = rng.randrange(15, 36)
         at = rng.randrange(0, len(item) - n + 1)
         part = item[at : at + n]
@@ -272,9 +361,10 @@ def test_leaks_find_every_faithful_passage():
             k = rng.randrange(1, len(part) - 1)
             how = rng.randrange(3)
             part[k : k + 1] = [["чужое"], [], [part[k], "чужое"]][how]
-        doc = [prints.index.get(w, -1) for w in [*words(rng, 10), *part, *words(rng, 10)]]
-        assert len(prints.hits(leaks.np.array(doc))[0])
-        got = leaks.passage(doc, prints.items[1].tolist())
+        doc = [leaks.word_hash(w) for w in [*words(rng, 10), *part, *words(rng, 10)]]
+        at = prints.hits(leaks.np.array(doc))[0].tolist()
+        assert len(at) >= leaks.LEAST_HITS
+        got = leaks.extended(doc, at, prints.words(0).tolist(), 15, 6)
         assert got and got[0] >= 13
 
 
@@ -282,11 +372,20 @@ def test_leaks_table(spark):
     rng = random.Random(4)
     items = {k: "Выберите верный ответ. " + " ".join(words(rng, 30)) for k in range(5)}
     passage = items[0].split(". ")[1].split()
-    df = spark.createDataFrame([(1, "Начало. " + " ".join(passage[:20]).upper() + "!"), (2, " ".join(passage[:9])), (3, None), (4, " "), (5, "Выберите верный ответ. " * 9), (6, items[1]), (6, items[1])], "doc_id bigint, text string").withColumn("item_id", F.lit(1))
+    wide = " ".join([*passage[:14], *words(rng, 4), *passage[14:]])  # four words put in at one place
+    df = spark.createDataFrame([(1, "Начало. " + " ".join(passage[:20]).upper() + "!"), (2, " ".join(passage[:9])), (3, None), (4, " "), (5, "Выберите верный ответ. " * 9), (6, items[1]), (6, items[1]), (7, wide)], "doc_id bigint, text string").withColumn("item_id", F.lit(1))
     it = spark.createDataFrame([*items.items(), (9, None), (8, "")], "item_id bigint, text string")
-    got = sorted((r.doc_id, r.item_id) for r in leaks.find_leaks(df, it).collect())
-    assert got == [(1, 0), (6, 1), (6, 1)]
-    assert leaks.find_leaks(df, it.limit(0)).count() == 0 and leaks.find_leaks(df.limit(0), it).count() == 0
+    for size in (leaks.BROADCAST, 0):
+        got = sorted((r.doc_id, r.item_id) for r in leaks.find_leaks(df, it, broadcast=size).collect())
+        assert got == [(1, 0), (6, 1), (6, 1), (7, 0)], size
+        assert leaks.find_leaks(df, it.limit(0), broadcast=size).count() == 0 and leaks.find_leaks(df.limit(0), it, broadcast=size).count() == 0
+
+
+def test_instructions_are_counted_over_all_items(spark):
+    rng = random.Random(5)
+    it = spark.createDataFrame([(k, "Прочитайте задание и выберите один верный ответ из списка. " + " ".join(words(rng, 20))) for k in range(3)] + [(9, "Другое начало. " + " ".join(words(rng, 20)))], "item_id bigint, text string")
+    got = {r.item_id: len(r.words) for r in leaks.item_words(it.repartition(4)).collect()}
+    assert got == {0: 20, 1: 20, 2: 20, 9: 22}
 
 
 def test_uzbek_alphabets_fold_together():
