@@ -28,6 +28,7 @@ from .arrow import CHUNK, durable, map_rows
 
 LETTERS = re.compile(r"[^\W\d_]+").findall
 TOKEN, DEPTH = 8, 2  # letters of a token, tokens on the way to a leaf
+HEAD = 40  # characters in which a line's first token is looked for before all of it is parsed
 BROADCAST = 50_000
 PLACE = ["n", "t1", "t2", "rest"]
 
@@ -81,7 +82,9 @@ class MergedTree:
 
     def __init__(self, rows: list[tuple]):
         self.root: dict[str, dict] = {}
+        self.opening: dict[str, set[int]] = {}
         for grp, n, t1, t2, rest, *value in rows:
+            self.opening.setdefault(grp, set()).add(t1)
             self.root.setdefault(grp, {}).setdefault(n, {}).setdefault(t1, {}).setdefault(t2, {})[rest] = tuple(value)
 
     def match(self, grp: str | None, line: str, min_letters: int) -> tuple | None:
@@ -89,6 +92,8 @@ class MergedTree:
         by_length = self.root.get(grp)
         if by_length is None or len(line) < min_letters:
             return None
+        if len(line) > HEAD and len(first := letters_of(line[:HEAD])) >= TOKEN and _h32(first[:TOKEN]) not in self.opening[grp]:
+            return None  # no template opens with the line's first token
         letters = letters_of(line)
         n, t1, t2, rest = tokens_of(letters)
         node = by_length.get(n)

@@ -137,8 +137,8 @@ class Profiles:
                 rows.append(self.distribution(self.counts(text))[-1])
                 self.kinds.append((KINDS.index(kind), len(self.masks) - 1))
         self.which, self.language = np.array(self.kinds).reshape(-1, 2).T
-        self.profiles = np.array(rows).reshape(len(rows), -1)
-        self.weights = np.repeat(WEIGHTS, (len(self.words) + len(TOKENS), len(CLASSES), len(SHAPES)))
+        self.profiles = np.array(rows, np.float32).reshape(len(rows), -1)
+        self.weights = np.repeat(np.array(WEIGHTS, np.float32), (len(self.words) + len(TOKENS), len(CLASSES), len(SHAPES)))
         self.own = self.entropy(self.profiles)
 
     def distribution(self, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
@@ -147,24 +147,25 @@ class Profiles:
         tokens = np.where(self.masks, counts[0], 0.0)
         tokens[:, n] += counts[0].sum() - tokens.sum(1)
         rest = np.concatenate([x / max(x.sum(), 1) for x in counts[1:]])
-        return np.hstack([tokens / max(counts[0].sum(), 1), np.broadcast_to(rest, (len(tokens), len(rest)))])
+        return np.hstack([tokens / max(counts[0].sum(), 1), np.broadcast_to(rest, (len(tokens), len(rest)))]).astype(np.float32)
 
     def entropy(self, p: np.ndarray) -> np.ndarray:
         """Weighted sum of p log2 p, so that a divergence is half the sum of two of them less that of the middle."""
-        return (p * np.log2(np.maximum(p, 1e-300))) @ self.weights
+        return (p * np.log2(np.maximum(p, 1e-30))) @ self.weights
 
     def reset(self) -> None:
         self.index.clear()
-        self.classes: list[int] = []
-        self.made: list[list[int]] = []
+        self.classes, self.made = np.zeros(1024, np.int32), np.zeros((1024, len(CLASSES)), np.int32)
 
     def learn(self, token: str) -> int:
         m = CORE.search(token)
         core = m[0] if m else ""
         at = self.place.get(core.lower())
-        self.classes.append(len(self.words) + token_class(core) if at is None else at)
-        self.made.append(char_counts(token))
         k = self.index[token] = len(self.index)
+        if k == len(self.classes):
+            self.classes, self.made = np.concatenate([self.classes, np.zeros_like(self.classes)]), np.concatenate([self.made, np.zeros_like(self.made)])
+        self.classes[k] = len(self.words) + token_class(core) if at is None else at
+        self.made[k] = char_counts(token)
         return k
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,11 +182,9 @@ class Profiles:
                 ids += tokens
                 chars[4] += line.count("\t")
                 chars[7] += len(tokens)
-        at = [index[t] if t in index else self.learn(t) for t in ids]
-        n = len(self.words) + len(TOKENS)
-        tokens = np.bincount([self.classes[k] for k in at], minlength=n).astype(float)
-        if at:
-            chars += np.array([self.made[k] for k in at]).sum(0)
+        at = np.array([index[t] if t in index else self.learn(t) for t in ids], np.int64)
+        tokens = np.bincount(self.classes[at], minlength=len(self.words) + len(TOKENS)).astype(float)
+        chars += self.made[at].sum(0)
         return tokens, chars, np.array(lines, float)
 
     def nearest(self, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[str, float]:
