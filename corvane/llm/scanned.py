@@ -464,11 +464,15 @@ def count_corpus(df: DataFrame, text_col: str = "raw_text", flush: int = 300_000
     return src.mapInArrow(run, "kind string, key string, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def distinct_texts(df: DataFrame, text_col: str = "raw_text") -> DataFrame:
-    """(raw_text): each text that is not blank once. Aggregated by digest within partitions first, so that copies of one text,
-    however many, meet in no single task."""
-    src = df.select(df[text_col].alias("raw_text")).filter(F.trim("raw_text") != "")
-    return src.groupBy(F.sha2("raw_text", 256).alias("digest")).agg(F.first("raw_text").alias("raw_text")).select("raw_text")
+def distinct_texts(df: DataFrame, text_col: str = "raw_text", most: int = 500_000) -> DataFrame:
+    """(raw_text): each text that is not blank once. Digests are counted first, and only texts whose digest occurs twice are aggregated, within
+    partitions before the shuffle, so that copies of one text meet in no single task and other texts stay where they are. The digests
+    that occur twice are broadcast while there are at most `most` (16 bytes each); beyond it they are joined by shuffle."""
+    keyed = df.select(df[text_col].alias("raw_text")).filter(F.trim("raw_text") != "").withColumn("digest", F.unhex(F.md5(F.col("raw_text").cast("binary"))))
+    several = durable(keyed.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"))
+    side = F.broadcast(several) if several.limit(most + 1).count() <= most else several
+    once = keyed.join(side, "digest", "left_anti").select("raw_text")
+    return once.unionByName(keyed.join(side, "digest", "left_semi").groupBy("digest").agg(F.first("raw_text").alias("raw_text")).select("raw_text"))
 
 
 def corpus_counts(df: DataFrame, text_col: str = "raw_text", least: int = 3, least_heads: int = 5) -> DataFrame:
