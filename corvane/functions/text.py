@@ -98,8 +98,10 @@ def count_of(text: Column, pattern: str) -> Column:
 
 
 def ratio(text: Column, pattern: str) -> Column:
-    """Share of the characters that match, to four places; 0 for an empty text."""
-    return F.when(F.length(text) > 0, F.round(count_of(text, pattern) / F.length(text), 4)).otherwise(F.lit(0.0))
+    """Share of the characters that match, to four places, halves up; 0 for an empty text. Rounded in whole numbers, so that every
+    engine has the same last digit."""
+    n = F.length(text)
+    return F.when(n > 0, F.floor((count_of(text, pattern).cast("bigint") * 20_000 + n) / (2 * n)) / 10_000).otherwise(F.lit(0.0))
 
 
 def compact(*flags: Column) -> Column:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions import boxes as B
 from ..functions import rules as R
 from ..functions import tables as T
-from ..functions.text import any_of, clean, filled, missing_as_empty
+from ..functions import text as X
+from ..functions.text import clean, filled, missing_as_empty
 
 
 def one_measure(pages: DataFrame) -> DataFrame:
@@ -113,17 +114,81 @@ def with_context(blocks: DataFrame) -> DataFrame:
     ).drop("_i", "_b1", "_b2", "_a1", "_a2")
 
 
-def visual_manifest(blocks: DataFrame) -> DataFrame:
-    """A row for each block that needs a picture: pending visuals and tables under review."""
-    rows = with_context(blocks).filter((F.col("type") == "pending_visual") | (F.col("type") == "table") & F.col("needs_review"))
+def is_visual() -> Column:
+    """Blocks that need a picture: pending visuals and tables under review."""
+    return (F.col("type") == "pending_visual") | (F.col("type") == "table") & F.col("needs_review")
+
+
+def with_visuals(blocks: DataFrame, images: DataFrame | None = None, padding: int = 12) -> DataFrame:
+    """blocks with context and, for those that need a picture, `visual`: asset, kind, crop and its path; reasons tell why there is none.
+
+    images has (variant_id, page, width, height) in pixels of the pages that were rendered; without it every page counts as rendered
+    and crops have no pixels. A page without an image, or a crop of nothing, leaves the block without an asset.
+    """
+    rows = with_context(blocks)
     asset = F.format_string("%s_p%04d_b%06d", "variant_id", "page", "order")
     kind = F.when(F.col("type") == "table", "complex_table").otherwise(T.visual_type(F.col("label"), F.concat_ws(" ", "caption", "before_text", "after_text")))
+    if images is None:
+        rows = rows.withColumns({"_there": F.lit(True), "_crop": F.lit(None).cast("struct<left:int,top:int,right:int,bottom:int>"), "_cropped": F.lit(True)})
+    else:
+        size = images.select("variant_id", "page", F.col("width").alias("_w"), F.col("height").alias("_h")).dropDuplicates(["variant_id", "page"])
+        rows = rows.join(size, ["variant_id", "page"], "left").withColumn("_crop", B.crop(F.col("bbox"), F.col("_w"), F.col("_h"), padding))
+        rows = rows.withColumns({"_there": F.col("_w").isNotNull(), "_cropped": F.col("_crop").isNotNull()}).drop("_w", "_h")
+    made = is_visual() & F.col("_there") & F.col("_cropped")
+    path = F.concat(F.lit("data/pdf_visual_assets/"), "variant_id", F.lit("/crops/"), asset, F.lit(".png"))
+    why = F.when(made, "visual/table crop exported for later VLM enrichment").when(is_visual() & ~F.col("_there"), "page_image_missing_for_visual_crop").when(is_visual(), "visual_crop_failed")
+    visual = F.when(made, F.struct(asset.alias("asset_id"), kind.alias("suggested_type"), path.alias("crop_path"), F.col("_crop").alias("crop")))
+    reasons = F.when(made, F.array_sort(F.array_distinct(F.concat("reasons", F.array(why))))).when(why.isNotNull(), F.concat("reasons", F.array(why))).otherwise(F.col("reasons"))
+    return rows.withColumns({"visual": visual, "_reasons": reasons, "needs_vlm": made}).withColumn("needs_review", F.col("needs_review") | why.isNotNull()).drop("reasons", "_there", "_crop", "_cropped").withColumnRenamed("_reasons", "reasons")
+
+
+def visual_manifest(blocks: DataFrame, images: DataFrame | None = None, padding: int = 12) -> DataFrame:
+    """A row for each block that needs a picture and has one; blocks may come from with_visuals already."""
+    rows = (blocks if "visual" in blocks.columns else with_visuals(blocks, images, padding)).filter("visual is not null")
     return rows.select(
-        F.col("variant_id").alias("doc_id"), "variant_id", asset.alias("asset_id"), "page", "order", "block_id", kind.alias("suggested_type"), "bbox",
-        F.concat(F.lit("data/parsed_docling/"), "variant_id", F.lit("/visual_assets/"), asset, F.lit(".png")).alias("crop_path"), "caption", "before_text", "after_text", F.lit("pending").alias("status"),
+        F.col("variant_id").alias("doc_id"), "variant_id", "visual.asset_id", "page", "order", "block_id", "visual.suggested_type", "bbox", "visual.crop_path", "caption", "before_text", "after_text", F.lit("pending_vlm").alias("status"),
     )
 
 
+CROPPERS: dict = {}
+
+
+def crop_backend(name: str):
+    """Registers a cropper: (image bytes, left, top, right, bottom) -> image bytes."""
+    return lambda f: CROPPERS.setdefault(name, f)
+
+
+@crop_backend("pillow")
+def _pillow(content: bytes, left: int, top: int, right: int, bottom: int) -> bytes:
+    import io
+
+    from PIL import Image
+
+    out = io.BytesIO()
+    Image.open(io.BytesIO(content)).crop((left, top, right, bottom)).save(out, "PNG")
+    return out.getvalue()
+
+
+def crops(visuals: DataFrame, images: DataFrame, backend: str = "pillow") -> DataFrame:
+    """(asset_id, crop_path, content, error) of the visuals of with_visuals; images has (variant_id, page, content) too. Failures are rows."""
+    cut = CROPPERS[backend]
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for asset, path, content, c in zip(batch["asset_id"], batch["crop_path"], batch["content"], batch["crop"]):
+                try:
+                    rows.append((asset, path, cut(bytes(content), *(int(c[k]) for k in ("left", "top", "right", "bottom"))), None))
+                except Exception as e:  # noqa: BLE001 - a picture that cannot be cut is a row
+                    rows.append((asset, path, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["asset_id", "crop_path", "content", "error"])
+
+    src = visuals.filter("visual is not null").join(images.select("variant_id", "page", "content"), ["variant_id", "page"])
+    return src.select("visual.asset_id", "visual.crop_path", "content", "visual.crop").mapInPandas(run, "asset_id string, crop_path string, content binary, error string")
+
+
 def _assembled(rows: DataFrame, parts: Column, name: str) -> DataFrame:
     piece = F.struct("page", "order", parts.alias("t"))
     gathered = rows.withColumn("_t", piece).groupBy("variant_id").agg(F.array_sort(F.collect_list("_t")).alias("_l"))
@@ -132,16 +197,17 @@ def _assembled(rows: DataFrame, parts: Column, name: str) -> DataFrame:
 
 def raw_text(blocks: DataFrame) -> DataFrame:
     """(variant_id, raw_text) of the documents that have a readable block."""
-    t = F.coalesce(filled(F.col("text")), filled(F.col("markdown")))
+    t = F.coalesce(filled(F.col("markdown")), filled(F.col("text")))
     return _assembled(blocks.filter(F.col("type").isin("text", "table") & (clean(t) != "")), clean(t), "raw_text")
 
 
 def markdown(blocks: DataFrame) -> DataFrame:
-    """(variant_id, markdown) with page marks and placeholders of visuals."""
+    """(variant_id, markdown) with page marks and placeholders of visuals, of blocks as with_visuals leaves them."""
     page = Window.partitionBy("variant_id", "page").orderBy("order")
-    visual = F.concat(F.lit("[PENDING_VISUAL asset_id="), F.format_string("%s_p%04d_b%06d", "variant_id", "page", "order"), F.lit(" type="), "label", F.lit("]"))
-    body = F.when(F.col("type") == "pending_visual", visual).when(F.col("type") == "table", F.coalesce(filled(F.col("markdown")), filled(F.col("text")))).otherwise(filled(F.col("text")))
-    mark = F.when(F.row_number().over(page) == 1, F.concat(F.lit("<!-- page "), F.col("page").cast("string"), F.lit(" -->")))
+    part = lambda name: missing_as_empty(F.col(f"visual.{name}"))
+    visual = F.concat(F.lit("[PENDING_VISUAL asset_id="), part("asset_id"), F.lit(" type="), part("suggested_type"), F.lit("]"))
+    body = F.when(F.col("type") == "pending_visual", visual).otherwise(filled(X.strip(F.coalesce(filled(F.col("markdown")), filled(F.col("text"))))))
+    mark = F.when(F.row_number().over(page) == 1, F.concat(F.lit("\n\n<!-- page "), F.col("page").cast("string"), F.lit(" -->\n")))
     rows = blocks.withColumn("_p", F.concat_ws("\n\n", mark, body))
     return _assembled(rows.filter("_p <> ''"), F.col("_p"), "markdown")
 
@@ -151,7 +217,3 @@ def nested_pages(blocks: DataFrame) -> DataFrame:
     cols = [c for c in blocks.columns if c not in ("variant_id", "page", "order")]
     per = blocks.groupBy("variant_id", "page").agg(F.array_sort(F.collect_list(F.struct("order", "block_id", *[c for c in cols if c != "block_id"])), lambda a, b: a["order"] - b["order"]).alias("blocks"))
     return per.groupBy("variant_id").agg(F.array_sort(F.collect_list(F.struct("page", "blocks")), lambda a, b: a["page"] - b["page"]).alias("pages"))
-
-
-def has_caption_word(text: Column) -> Column:
-    return any_of(F.lower(missing_as_empty(text)), R.CAPTION_OPENINGS)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.barrier import once
-from ..functions.text import clean, filled, missing_as_empty
+from ..functions.text import clean, filled
 
 PASSED = "variant_id disease_class_id clinical_doc_group_id specialty disease_path doc_type".split()
 PATHS = "markdown_path agentic_json_path raw_docling_dir visual_manifest_path visual_assets_dir".split()
@@ -75,7 +75,3 @@ def summary(rows: DataFrame, min_chars: int) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("char_count") >= min_chars).alias("usable_rows"), total("char_count"), total("pending_visual_count"), F.count_if(F.col("docling_batch_failed_count") > 0).alias("rows_with_failed_batches"),
         F.round(F.try_divide(F.sum("elapsed_seconds"), F.count("elapsed_seconds")), 3).alias("avg_seconds"),
     )
-
-
-def empty_as_unknown(column: str) -> F.Column:
-    return F.coalesce(filled(missing_as_empty(F.col(column))), F.lit("unknown"))

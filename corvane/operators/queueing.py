@@ -67,6 +67,11 @@ def ordered(queue: DataFrame, limit: int | None = None, offset: int = 0) -> Data
     return out.limit(limit) if limit else out
 
 
+def summary(queue: DataFrame) -> DataFrame:
+    """One row: rows of the queue by reason."""
+    return queue.agg(F.count(F.lit(1)).alias("queue_total"), F.count_if(F.col("ocr_reason") == PRIMARY).alias("selected_pdf_total"), F.count_if(F.col("ocr_reason") == BACKFILL).alias("backfill_pdf_total"))
+
+
 def by_reason(queue: DataFrame, only: str) -> DataFrame:
     """Rows of the backfill, or the others; a null reason is no backfill."""
     is_backfill = missing_as_empty(F.col("ocr_reason")).startswith("backfill")

@@ -55,18 +55,18 @@ def select_variants(inv: DataFrame) -> DataFrame:
     """Every row of the inventory with `selected` and `selection_reason`.
 
     A group with any Word file is served by its Word files; its PDFs become backfill. One best file is kept for each known
-    language, and for each file key of unknown language. Groups are reduced with partial aggregation and joined back, so
-    that a group with a third of all files is never sorted in one task.
+    language, and for each file key of unknown language. Groups are reduced to pools with partial aggregation, the Word flag is
+    taken from the pools, and rows are joined once with their pool, so that a group with a third of all files is never sorted in one task
+    (adaptive execution splits the join of a hot pool).
     """
-    inv = durable(inv)  # slim rows that are read three times
+    inv = durable(inv)  # slim rows that are read twice
     group = ["disease_class_id", "doc_type"]
-    is_word = F.col("source_extension").isin(*R.WORD_EXTENSIONS)
     known = F.col("language_hint").isin(*R.REQUESTED_LANGUAGES)
-    rows = inv.join(inv.groupBy(*group).agg(F.max(is_word).alias("_word")), group)
-    rows = rows.withColumns({"_backfill": F.col("_word") & ~is_word, "_key": F.when(known, F.lit("")).otherwise(F.concat(F.lit("k"), "normalized_file_key"))})
-    pool = [*group, "_backfill", "language_hint", "_key"]
+    rows = inv.withColumns({"_is_word": F.col("source_extension").isin(*R.WORD_EXTENSIONS), "_key": F.when(known, F.lit("")).otherwise(F.concat(F.lit("k"), "normalized_file_key"))})
+    pool = [*group, "_is_word", "language_hint", "_key"]
     best = rows.groupBy(*pool).agg(F.min(F.struct("priority", (-F.coalesce("size_kb", F.lit(0.0))).alias("s"), "source_path", "variant_id")).alias("_b"))
-    rows = rows.join(best, pool).withColumn("_best", F.col("_b.variant_id"))
+    best = best.join(best.groupBy(*group).agg(F.max("_is_word").alias("_word")), group)
+    rows = rows.join(best, pool).withColumns({"_best": F.col("_b.variant_id"), "_backfill": F.col("_word") & ~F.col("_is_word")})
     first = F.col("source_path") == F.col("_b.source_path")
     name = F.when(F.col("_word"), "word_primary").otherwise("pdf_primary_no_word_available")
     reason = (
@@ -105,13 +105,18 @@ def grouped(sel: DataFrame) -> DataFrame:
     ).select("disease_class_id", "g.clinical_doc_group_id", "g.specialty", "g.disease_path", "doc_type", "available_languages", "variants")
 
 
-def fallback_plan(groups: DataFrame) -> DataFrame:
-    """For each document and requested language the variant to use: of that language, else of the first in the fallback order."""
+def fallback_plan(sel: DataFrame) -> DataFrame:
+    """For each document and requested language the variant to use: of that language, else of the first in the fallback order.
+
+    Only the first variant of each language is gathered, by partial aggregation, so a document of any number of variants is one small row."""
+    key = ["disease_class_id", "doc_type"]
+    first = sel.groupBy(*key, "language_hint").agg(F.min(F.struct("specialty", "disease_path", "clinical_doc_group_id")).alias("g"), F.min(F.struct("priority", "source_path", "variant_id", "source_format")).alias("v"))
+    groups = first.groupBy(*key).agg(F.min("g").alias("g"), F.map_from_entries(F.collect_list(F.struct("language_hint", "v"))).alias("variants")).select(*key, "g.*", "variants")
     asked = groups.withColumn("requested_language", F.explode(F.array(*map(F.lit, R.REQUESTED_LANGUAGES))))
     have = F.col("variants")
     order = [F.col("requested_language"), *map(F.lit, R.FALLBACK_ORDER)]
     resolved = F.coalesce(*(F.when(F.map_contains_key(have, l), l) for l in order))
-    rows = asked.withColumn("resolved_language", resolved).filter("resolved_language is not null").withColumn("_v", F.get(F.try_element_at(have, F.col("resolved_language")), F.lit(0)))
+    rows = asked.withColumn("resolved_language", resolved).filter("resolved_language is not null").withColumn("_v", F.try_element_at(have, F.col("resolved_language")))
     return rows.select(
         "disease_class_id", "clinical_doc_group_id", "specialty", "disease_path", "doc_type", "requested_language", "resolved_language",
         F.when(F.col("requested_language") == F.col("resolved_language"), "exact").otherwise("fallback").alias("fallback_type"),

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import text as X
-from ..functions.barrier import once
+from ..functions.barrier import first_by_key, once, side_by_side
 from ..functions.text import clean, filled, missing_as_empty
+from .durable import durable
 
 ARTEFACTS = ("markdown_path", "agentic_json_path", "raw_docling_dir", "visual_manifest_path")
 DESCRIPTIVE = "variant_id disease_class_id clinical_doc_group_id specialty disease_path doc_type source_path source_format extraction_source extraction_method language_hint".split()
@@ -26,13 +27,14 @@ def validation_text(rows: DataFrame) -> DataFrame:
 
 
 def with_artefacts(rows: DataFrame, artefacts: DataFrame) -> DataFrame:
-    """rows with a boolean has_<column> for each artefact column. Missing paths get keys of their own, so that they spread."""
+    """rows with a boolean has_<column> for each artefact column. The paths of all columns are looked up in one join, from a written
+    table of slim rows, and come back as a set of column numbers."""
     listed = artefacts.filter("path <> ''").select(F.col("path").alias("_p")).distinct()
-    for c in ARTEFACTS:
-        there = listed.select(F.col("_p").alias("_k"), F.lit(True).alias("_is"))
-        key = F.coalesce(filled(F.col(c)), F.concat(F.lit("\u0001"), F.xxhash64("variant_id", "source_path").cast("string")))
-        rows = rows.withColumn("_key", key).join(there, F.col("_key") == F.col("_k"), "left").withColumn(f"has_{c}", F.coalesce("_is", F.lit(False))).drop("_key", "_k", "_is")
-    return rows
+    rows = durable(rows.withColumn("_uid", F.monotonically_increasing_id()))  # the number of a row must not be made anew
+    named = rows.select("_uid", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(c).alias("p")) for k, c in enumerate(ARTEFACTS)))).alias("a")).filter("a.p <> ''").select("_uid", "a.k", F.col("a.p").alias("_p"))
+    there = named.join(listed, "_p", "left_semi").groupBy("_uid").agg(F.collect_set("k").alias("_there"))
+    rows = rows.join(there, "_uid", "left")
+    return rows.withColumns({f"has_{c}": F.coalesce(F.array_contains("_there", k), F.lit(False)) for k, c in enumerate(ARTEFACTS)}).drop("_uid", "_there")
 
 
 def manifest_facts(manifest: DataFrame, artefacts: DataFrame | None = None) -> DataFrame:
@@ -95,11 +97,11 @@ def quality_report(rows: DataFrame, artefacts: DataFrame, manifest: DataFrame, m
 
 
 def visual_review(rows: DataFrame, manifest: DataFrame, artefacts: DataFrame) -> DataFrame:
-    """A row for each item of the manifests, with whether its crop exists."""
+    """A row for each item of the manifests, as `blocks.visual_manifest` gives them, with whether its crop exists."""
     listed = artefacts.filter("path <> ''").select(F.col("path").alias("_p"), F.lit(True).alias("_is")).distinct()
     items = manifest.join(rows.select("variant_id", "source_path").distinct(), "variant_id")
     return items.join(listed, items["crop_path"] == listed["_p"], "left").select(
-        "variant_id", "source_path", "asset_id", "page", "order_no", "suggested_type", "crop_path", F.coalesce("_is", F.lit(False)).alias("crop_exists"), "status", "caption"
+        "variant_id", "source_path", "asset_id", "page", "order", "suggested_type", "crop_path", F.coalesce("_is", F.lit(False)).alias("crop_exists"), "status", "caption"
     )
 
 
@@ -115,15 +117,24 @@ def duplicate_texts(rows: DataFrame, *keep: str) -> DataFrame:
     return slim.join(groups, "text_hash")
 
 
-def flag_ranking(report: DataFrame) -> DataFrame:
-    """(flag, n) of the joined flags, most frequent first."""
-    return report.select(F.explode(F.split("review_flags", "; ")).alias("flag")).filter("flag <> ''").groupBy("flag").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "flag")
+def flag_ranking(report: DataFrame, order: str = "variant_id") -> DataFrame:
+    """(flag, n) of the joined flags, most frequent first; ties in the order of their first row and place there."""
+    flags = report.select(F.struct(F.col(order).alias("o"), F.lit(0).alias("p")).alias("_at"), F.posexplode(F.split("review_flags", "; ")).alias("p", "flag")).filter("flag <> ''")
+    ranked = flags.groupBy("flag").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_at.o", "p")).alias("_first"))
+    return ranked.orderBy(F.desc("n"), "_first").select("flag", "n")
+
+
+def report_summary(report: DataFrame, visuals: DataFrame, duplicates: DataFrame) -> DataFrame:
+    """One row: totals of a validation run."""
+    count = F.count(F.lit(1))
+    rows = report.agg(count.alias("total_rows"), F.count_if("needs_review").alias("needs_review_total"), F.coalesce(F.sum("char_count"), F.lit(0)).cast("bigint").alias("total_chars"))
+    return side_by_side(rows, visuals.agg(count.alias("visual_asset_total")), duplicates.agg(F.countDistinct("text_hash").alias("duplicate_groups")))
 
 
 def best_candidate(candidates: DataFrame) -> DataFrame:
-    """The longest readable candidate of each variant; ties go to the method of the lower rank. `stats` has each length, -1 for a failure."""
+    """The longest readable candidate of each variant; ties go to the method of the lower rank. `stats` has each length, -1 for a failure; a method listed twice counts once, with its longest text."""
     n = F.when(F.col("ok"), F.length(missing_as_empty(F.col("text")))).otherwise(-1)
     agg = candidates.withColumn("_n", n).groupBy("variant_id").agg(
-        F.max(F.when(F.col("ok"), F.struct(F.col("_n"), (-F.col("method_rank")).alias("r"), "method", "text"))).alias("b"), F.map_from_entries(F.array_sort(F.collect_set(F.struct("method", "_n")))).alias("stats")
+        F.max(F.when(F.col("ok"), F.struct(F.col("_n"), (-F.col("method_rank")).alias("r"), "method", "text"))).alias("b"), F.array_sort(F.collect_set(F.when(F.col("method").isNotNull(), F.struct(F.col("method").alias("key"), (-F.col("_n")).alias("m"))))).alias("_e")
     )
-    return agg.select("variant_id", F.col("b.method").alias("method"), F.col("b.text").alias("text"), F.col("b._n").alias("char_count"), "stats")
+    return agg.select("variant_id", F.col("b.method").alias("method"), F.col("b.text").alias("text"), F.col("b._n").alias("char_count"), F.map_from_entries(F.transform(first_by_key(F.col("_e")), lambda x: F.struct(x["key"], -x["m"]))).alias("stats"))

@@ -10,7 +10,7 @@ from ..functions import boxes as B
 from ..functions import paths as P
 from ..functions import tables as T
 from ..functions import text as X
-from ..operators import blocks, extraction, merging, queueing, registry, validation
+from ..operators import blocks, extraction, merging, pdf, queueing, registry, validation, word
 from ..sources.readers import spread
 from .oracle import oracle_sql  # noqa: F401 - part of the contract
 
@@ -85,7 +85,7 @@ def registry_grouped(spark, d):
 
 
 def fallback_plan(spark, d):
-    return registry.fallback_plan(registry.grouped(registry.selected(_selection(spark, d))))
+    return registry.fallback_plan(registry.selected(_selection(spark, d)))
 
 
 def registry_counters(spark, d):
@@ -159,7 +159,7 @@ def char_ratios(spark, d):
 
 
 def bad_patterns(spark, d):
-    return _raw(spark, d).select("row_id", (X.bad_patterns(X.clean(F.col("raw_text"))) > 0).alias("has_bad"))
+    return _raw(spark, d).select("row_id", X.bad_patterns(X.clean(F.col("raw_text"))).cast("int").alias("n"))
 
 
 def table_quality(spark, d):
@@ -191,9 +191,8 @@ def _items(spark, d):
 
 
 def _pages(spark, d):
-    """One row a page, with sizes that divide into exact binary fractions."""
-    once = blocks.one_measure(table(spark, d, "page_info"))
-    return once.withColumns({"width_pts": F.lit(512.0), "height_pts": F.lit(1024.0)})
+    """One row a page, as measured last."""
+    return blocks.one_measure(table(spark, d, "page_info"))
 
 
 def _blocks(spark, d):
@@ -223,7 +222,22 @@ def neighbor_context(spark, d):
 
 
 def visual_manifest(spark, d):
-    return blocks.visual_manifest(_blocks(spark, d)).select("variant_id", "asset_id", "page", "order", "suggested_type", "crop_path", "status")
+    m = blocks.visual_manifest(_blocks(spark, d))
+    hashed = [F.md5(F.col(c).cast("binary")).alias(f"{c}_md5") for c in ("caption", "before_text", "after_text")]
+    return m.select("doc_id", "variant_id", "asset_id", "page", "order", "block_id", "suggested_type", F.col("bbox.x0").alias("x0"), F.col("bbox.y0").alias("y0"), F.col("bbox.x1").alias("x1"), F.col("bbox.y1").alias("y1"), "crop_path", *hashed, "status")
+
+
+def _images(spark, d):
+    """Page images of 1000 x 1400 pixels for three quarters of the pages, some of them empty, by digest."""
+    digit = F.substring(F.md5(F.concat_ws("/", "variant_id", F.col("page").cast("string")).cast("binary")), 1, 1)
+    return _pages(spark, d).filter(digit < "c").select("variant_id", "page", F.when(digit == "0", 0).otherwise(1000).alias("width"), F.lit(1400).alias("height"))
+
+
+def visual_blocks(spark, d):
+    """Blocks after the export of visuals: what has a crop, what has none and why."""
+    rows = blocks.with_visuals(_blocks(spark, d), _images(spark, d), CFG.crop_padding).filter(blocks.is_visual())
+    c = F.col("visual.crop")
+    return rows.select("variant_id", "block_id", "type", "needs_review", "needs_vlm", F.array_join("reasons", ",").alias("reasons"), "visual.asset_id", *(c[x].alias(f"crop_{x}") for x in ("left", "top", "right", "bottom")))
 
 
 def raw_text_assembly(spark, d):
@@ -231,22 +245,64 @@ def raw_text_assembly(spark, d):
 
 
 def markdown_assembly(spark, d):
-    return blocks.markdown(_blocks(spark, d)).select("variant_id", F.md5(F.col("markdown").cast("binary")).alias("markdown_md5"))
+    return blocks.markdown(blocks.with_visuals(_blocks(spark, d))).select("variant_id", F.md5(F.col("markdown").cast("binary")).alias("markdown_md5"))
 
 
 def page_nesting(spark, d):
-    return blocks.nested_pages(_blocks(spark, d)).select("variant_id", F.size("pages").alias("n_pages"), F.aggregate("pages", F.lit(0), lambda a, p: a + F.size(p["blocks"])).alias("n_blocks"))
+    ids = F.array_join(F.transform("pages", lambda p: F.concat(p["page"].cast("string"), F.lit(":"), F.array_join(F.transform(p["blocks"], lambda b: b["block_id"]), ","))), ";")
+    return blocks.nested_pages(_blocks(spark, d)).select("variant_id", F.size("pages").alias("n_pages"), F.aggregate("pages", F.lit(0), lambda a, p: a + F.size(p["blocks"])).alias("n_blocks"), F.md5(ids.cast("binary")).alias("ids_md5"))
+
+
+def page_scan(spark, d):
+    """Facts of each page that a scan gives, from its native text."""
+    t = X.strip(X.missing_as_empty(F.col("native_text")))
+    return _pages(spark, d).select("variant_id", "page", "width_pts", "height_pts", F.length(t).alias("text_chars"), pdf.is_scanned_like(F.col("native_text")).alias("is_scanned_like"))
+
+
+def _fails(variant: F.Column, batch: F.Column) -> F.Column:
+    return F.substring(F.md5(F.concat_ws("_", variant, batch.cast("string")).cast("binary")), 1, 1) == "0"
+
+
+def _pdf(spark, d):
+    """(queue, pages, failed batches, blocks, manifest): a sixteenth of the batches fails, by digest."""
+    pages = _pages(spark, d)
+    broken = pages.select("variant_id", (F.floor((F.col("page") - 1) / CFG.page_batch).cast("int") + 1).alias("batch_no")).distinct().filter(_fails(F.col("variant_id"), F.col("batch_no")))
+    found = blocks.assemble_blocks(_items(spark, d).filter(~_fails(F.col("variant_id"), F.col("batch_no"))), pages)
+    queue = merging.latest(table(spark, d, "parsed_docling"), "variant_id", "ingested_at", "row_id").select("variant_id", "source_path", "doc_type", "language_hint")
+    return queue, pages, broken, found, blocks.visual_manifest(found)
+
+
+def parsed_pdf(spark, d):
+    """Records of parsed_docling made from layout items and pages."""
+    queue, pages, broken, found, manifest = _pdf(spark, d)
+    rows = pdf.records(queue, found, manifest, pages, broken, CFG, "source_path", "doc_type", "language_hint")
+    return rows.select(
+        "variant_id", "source_path", "doc_type", "language_hint", "detected_language", "extraction_method", F.array_join("quality_flags", ",").alias("flags"), "markdown_path", "agentic_json_path", "raw_docling_dir", "visual_manifest_path", "visual_assets_dir",
+        "pending_visual_count", "visual_asset_count", "docling_batch_count", "docling_batch_failed_count", "page_count", "char_count", F.array_join("icd_codes_detected", ",").alias("codes"), F.md5(F.col("raw_text").cast("binary")).alias("text_md5"),
+    )
+
+
+def pdf_batches(spark, d):
+    _, pages, broken, _, _ = _pdf(spark, d)
+    return pdf.batch_outputs(pages, broken, CFG)
+
+
+def pdf_summary(spark, d):
+    queue, pages, broken, found, manifest = _pdf(spark, d)
+    scanned = pages.select("variant_id", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error"))
+    failed = pdf.failures(queue.withColumn("ocr_input_path", F.col("source_path")), scanned)
+    return pdf.summary(queue, pdf.records(queue, found, manifest, pages, broken, CFG), failed, manifest)
 
 
 def bbox_normalize(spark, d):
-    box = B.relative_box(*(F.col(c) for c in "ltrb"), F.lit(512.0), F.lit(1024.0))
-    rows = _items(spark, d).select("variant_id", "item_seq", box.alias("x"))
+    items = _items(spark, d).withColumn("page", F.col("batch_start_page") + F.col("local_page") - 1).join(_pages(spark, d), ["variant_id", "page"])
+    rows = items.select("variant_id", "item_seq", B.relative_box(*(F.col(c) for c in "ltrb"), F.col("width_pts"), F.col("height_pts")).alias("x"))
     return rows.select("variant_id", "item_seq", "x.x0", "x.y0", "x.x1", "x.y1", B.area(F.col("x")).alias("area"))
 
 
 def crop_box(spark, d):
     m = table(spark, d, "visual_manifest").filter("bbox is not null").distinct()
-    c = B.crop(F.col("bbox"), F.lit(1024), F.lit(2048), CFG.crop_padding)
+    c = B.crop(F.col("bbox"), 800 + F.col("page") % 7 * 100, 1100 + F.col("page") % 5 * 100, CFG.crop_padding)
     return m.select("asset_id", c.alias("c")).select("asset_id", "c.left", "c.top", "c.right", "c.bottom")
 
 
@@ -260,10 +316,10 @@ def _merged(spark, d):
 
 
 def merge_normalize(spark, d):
-    return _merged(spark, d).select(
-        "row_id", "variant_id", "source_path", "language_hint", "detected_language", "final_language", "char_count", F.array_join("quality_flags", ",").alias("flags"), "pending_visual_count", "docling_batch_failed_count", "page_count",
-        F.array_join("icd_codes_detected", ",").alias("codes"), "icd_code_count", F.md5(F.col("raw_text").cast("binary")).alias("text_md5"),
-    )
+    """All columns; arrays as texts, texts as digests."""
+    rows = _merged(spark, d)
+    shown = {"quality_flags": F.array_join("quality_flags", ","), "icd_codes_detected": F.array_join("icd_codes_detected", ","), "raw_text": F.md5(F.col("raw_text").cast("binary"))}
+    return rows.select(*(shown.get(c, F.col(c)).alias(c) for c in rows.columns))
 
 
 def merge_missing(spark, d):
@@ -273,7 +329,7 @@ def merge_missing(spark, d):
 def merge_grouped(spark, d):
     g = merging.grouped(_merged(spark, d), "row_id")
     return g.select("disease_class_id", "doc_type", "specialty", "clinical_doc_group_id", F.array_join("available_languages", ",").alias("languages"), F.explode("variants").alias("language", "rows")).select(
-        "disease_class_id", "doc_type", "specialty", "clinical_doc_group_id", "languages", "language", F.size("rows").alias("n")
+        "disease_class_id", "doc_type", "specialty", "clinical_doc_group_id", "languages", "language", F.array_join(F.transform("rows", lambda r: F.concat_ws("/", r["seq"].cast("string"), r["variant_id"], r["char_count"].cast("string"), r["detected_language"], F.array_join(r["quality_flags"], "+"))), ",").alias("rows")
     )
 
 
@@ -282,7 +338,7 @@ def merge_flag_counts(spark, d):
 
 
 def merge_summary(spark, d):
-    return merging.summary(_merged(spark, d), CFG.min_chars).drop("avg_seconds")
+    return merging.summary(_merged(spark, d), CFG.min_chars)
 
 
 def merge_latest(spark, d):
@@ -301,9 +357,8 @@ def _report(spark, d):
 
 
 def quality_report(spark, d):
-    return _report(spark, d).select(
-        "row_id", "variant_id", "detected_language", "final_language", "validation_text_source", "char_count", "page_count", "icd_code_count", "icd_codes_detected", "pending_visual_count", "review_flag_count", "review_flags", "needs_review",
-    )
+    """All columns."""
+    return _report(spark, d)
 
 
 def needs_review(spark, d):
@@ -311,7 +366,7 @@ def needs_review(spark, d):
 
 
 def flag_ranking(spark, d):
-    return validation.flag_ranking(_report(spark, d))
+    return validation.flag_ranking(_report(spark, d), "row_id")
 
 
 def duplicate_texts(spark, d):
@@ -324,7 +379,21 @@ def manifest_check(spark, d):
 
 
 def visual_review(spark, d):
-    return validation.visual_review(_raw(spark, d), table(spark, d, "visual_manifest"), artefacts(spark, d)).select("variant_id", "source_path", "asset_id", "page", "order_no", "suggested_type", "crop_exists", "status")
+    return validation.visual_review(_raw(spark, d), _manifest(spark, d), artefacts(spark, d))
+
+
+def validation_summary(spark, d):
+    raw = _raw(spark, d)
+    return validation.report_summary(_report(spark, d), validation.visual_review(raw, _manifest(spark, d), artefacts(spark, d)), validation.duplicate_texts(raw))
+
+
+def queue_summary(spark, d):
+    return queueing.summary(_queue(spark, d)[0])
+
+
+def _manifest(spark, d):
+    """The driver's table names its `order` otherwise."""
+    return table(spark, d, "visual_manifest").withColumnRenamed("order_no", "order")
 
 
 def _candidates(spark, d):
@@ -342,6 +411,42 @@ def word_best_candidate(spark, d):
     return validation.best_candidate(_candidates(spark, d)).select("variant_id", "method", "char_count", F.array_join(F.transform(F.array_sort(F.map_entries("stats")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("stats"))
 
 
+def _word(spark, d):
+    """(rows, candidates) of a Word stage: formats, failures and the structured conversion by row."""
+    raw, t, k = _raw(spark, d), F.col("raw_text"), F.col("row_id")
+    rows = raw.select(k.cast("string").alias("variant_id"), "source_path", F.when(k % 4 == 0, "doc").otherwise("docx").alias("source_format"), "language_hint")
+    one = lambda method, rank, source, text, ok: F.struct(F.lit(method).alias("method"), F.lit(rank).alias("method_rank"), F.lit(source).alias("source"), F.when(ok, text).alias("text"), ok.alias("ok"), F.when(~ok, F.concat(F.lit("broken "), F.lit(method))).alias("error"))
+    half = F.substring(t, F.lit(1), F.floor(F.length(t) / 2).cast("int"))
+    forms = F.array(one("first", 1, "native", F.when(k % 3 == 0, half).otherwise(t), k % 11 != 0), one("second", 2, "native", t, k % 2 == 0), one("third", 1, word.STRUCTURED, F.concat(t, F.when(k % 5 == 0, " x").otherwise("")), k % 7 != 0))
+    return rows, raw.filter("raw_text is not null").select(k.cast("string").alias("variant_id"), F.explode(forms).alias("c")).select("variant_id", "c.*")
+
+
+def word_rows(spark, d):
+    """Parsed rows of the Word stage."""
+    rows, found = _word(spark, d)
+    parsed, _ = word.parsed_rows(rows, found, CFG.min_chars)
+    stats = F.array_join(F.transform(F.array_sort(F.map_entries("extractor_stats")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return parsed.withColumns({"extractor_stats": stats, "quality_flags": F.array_join("quality_flags", ","), "raw_text": F.md5(F.col("raw_text").cast("binary"))})
+
+
+def word_failures(spark, d):
+    rows, found = _word(spark, d)
+    return word.parsed_rows(rows, found, CFG.min_chars)[1]
+
+
+def word_summary(spark, d):
+    rows, found = _word(spark, d)
+    todo = rows.filter(F.col("variant_id").cast("bigint") % 9 != 0)
+    parsed, failed = word.parsed_rows(todo, found, CFG.min_chars)
+    return word.summary(rows, todo, parsed, failed)
+
+
+def word_selection(spark, d):
+    """Word rows of the registry of unknown language, the hundred after the first ten by path."""
+    rows = table(spark, d, "registry").groupBy("variant_id").agg(F.max(F.struct("source_path", "source_format", "source_extension", "language_hint")).alias("m")).select("variant_id", "m.*")
+    return word.word_rows_of(rows, None, True, 10, 100).select("variant_id", "source_path")
+
+
 def failures_split(spark, d):
     ok, failed = extraction.split_by_status(_candidates(spark, d))
     return ok.groupBy("method").agg(F.count(F.lit(1)).alias("n")).withColumn("status", F.lit("ok")).unionByName(failed.groupBy("method").agg(F.count(F.lit(1)).alias("n")).withColumn("status", F.lit("failed")))

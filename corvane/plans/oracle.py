@@ -26,6 +26,10 @@ def _count(c: str, cls: str) -> str:
     return f"length(regexp_replace({c}, '[^{cls}]', '', 'g'))"
 
 
+def _ratio(c: str, cls: str) -> str:
+    return f"CASE WHEN length({c}) > 0 THEN ((CAST({_count(c, cls)} AS BIGINT) * 20000 + length({c})) // (2 * length({c}))) / 10000 ELSE 0.0 END"
+
+
 def _language(c: str) -> str:
     s = f"lower({_clean(f'substr(coalesce({c}, {chr(39)*2}), 1, {R.LANGUAGE_SAMPLE})')})"
     return s
@@ -110,18 +114,19 @@ it0 AS (SELECT variant_id, CAST(i AS INTEGER) AS i, line, CAST(i // 5 + 1 AS INT
 items AS (SELECT *, CASE WHEN kind = 'text' THEN line ELSE '' END AS text,
   CASE WHEN i % 6 <> 1 THEN '' WHEN i % 5 = 0 THEN E'| a | b |\n|---|---|\n| 1 | 2 |\n| 3 | 4 |' WHEN i % 5 = 1 THEN E'| a | b |\n| 1 | 2 | 3 |\n| 4 | 5 | 6 | 7 |' WHEN i % 5 = 2 THEN E'| only one column |\n| still only one |' WHEN i % 5 = 3 THEN '| a single row of a table |' ELSE '| a |' END AS markdown,
   CASE WHEN kind = 'picture' THEN CASE i % 4 WHEN 0 THEN 'chart' WHEN 2 THEN 'Схема' ELSE 'picture' END WHEN i % 7 = 2 THEN 'caption' ELSE kind END AS label,
-  (i % 4) * 64.0 / 512 AS x0, CASE WHEN i % 17 = 3 THEN (i % 4) * 64.0 / 512 ELSE (i % 4 * 64.0 + 64) / 512 END AS x1, ((i * 3 % 5) * 128.0) / 1024 AS y0, ((i * 3 % 5) * 128.0 + 64) / 1024 AS y1 FROM it0),
-pages AS (SELECT variant_id, page, arg_max(native_text, t) AS native_text FROM (SELECT variant_id, page, coalesce(native_text, chr(1)) AS native_text,
-  row_number() OVER (PARTITION BY variant_id, page ORDER BY measured_at NULLS FIRST, width_pts NULLS FIRST, height_pts NULLS FIRST, text_chars NULLS FIRST, native_text NULLS FIRST) AS t FROM page_info WHERE page IS NOT NULL) GROUP BY 1, 2),
-loc AS (SELECT items.* FROM items JOIN pages USING (variant_id, page) WHERE (x1 - x0) * (y1 - y0) > 0.00001),
-bl0 AS (SELECT variant_id, batch_no, page, CAST(row_number() OVER (PARTITION BY variant_id, batch_no ORDER BY page, y0, x0, i) - 1 AS INTEGER) AS ord, CASE WHEN kind = 'picture' THEN 'pending_visual' ELSE kind END AS type, x0, y0, text, markdown, label,
+  CAST((i % 4) * 64 AS DOUBLE) AS l, CAST(CASE WHEN i % 17 = 3 THEN (i % 4) * 64 ELSE i % 4 * 64 + 64 END AS DOUBLE) AS r, CAST(1024 - (i * 3 % 5) * 128 AS DOUBLE) AS t, CAST(1024 - (i * 3 % 5) * 128 - 64 AS DOUBLE) AS b FROM it0),
+pages AS (SELECT variant_id, page, width_pts AS w, height_pts AS h, text_chars, coalesce(native_text, chr(1)) AS native_text FROM (SELECT *,
+  row_number() OVER (PARTITION BY variant_id, page ORDER BY measured_at DESC NULLS LAST, width_pts DESC NULLS LAST, height_pts DESC NULLS LAST, text_chars DESC NULLS LAST, native_text DESC NULLS LAST) AS n FROM page_info WHERE page IS NOT NULL) WHERE n = 1),
+boxed AS (SELECT items.*, w > 0 AND h > 0 AS sized, least(1.0, greatest(0.0, l / w)) AS x0, least(1.0, greatest(0.0, r / w)) AS x1, least(1.0, greatest(0.0, 1 - t / h)) AS y0, least(1.0, greatest(0.0, 1 - b / h)) AS y1 FROM items JOIN pages USING (variant_id, page)),
+loc AS (SELECT * FROM boxed WHERE sized AND (x1 - x0) * (y1 - y0) > 0.00001),
+bl0 AS (SELECT variant_id, batch_no, page, CAST(row_number() OVER (PARTITION BY variant_id, batch_no ORDER BY page, y0, x0, i) - 1 AS INTEGER) AS ord, CASE WHEN kind = 'picture' THEN 'pending_visual' ELSE kind END AS type, x0, y0, x1, y1, text, markdown, label,
   CASE WHEN kind = 'picture' THEN 'visual_needs_vlm' WHEN kind = 'text' THEN '' ELSE CASE i % 5 WHEN 0 THEN '' WHEN 1 THEN 'inconsistent_row_column_counts' WHEN 2 THEN 'table_has_fewer_than_2_columns' WHEN 3 THEN 'not_enough_markdown_table_rows' ELSE 'empty_or_short_table_markdown' END END AS reasons, false AS fallback FROM loc),
 """ + f"""
 fb AS (SELECT variant_id, page, {_clean("CASE WHEN native_text = chr(1) THEN '' ELSE native_text END")} AS nt FROM pages ANTI JOIN (SELECT DISTINCT variant_id, page FROM bl0) b USING (variant_id, page)),
-bl1 AS (SELECT variant_id, page, ord, type, text, markdown, label, reasons, fallback FROM bl0 UNION ALL
-  SELECT variant_id, page, 1073741824, CASE WHEN nt <> '' THEN 'text' ELSE 'pending_visual' END, nt, '', CASE WHEN nt <> '' THEN 'native_text_fallback' ELSE 'full_page_visual_fallback' END, CASE WHEN nt <> '' THEN '' ELSE 'page_without_blocks' END, true FROM fb),
+bl1 AS (SELECT variant_id, page, ord, type, x0, y0, x1, y1, text, markdown, label, reasons, fallback FROM bl0 UNION ALL
+  SELECT variant_id, page, 1073741824, CASE WHEN nt <> '' THEN 'text' ELSE 'pending_visual' END, 0.0, 0.0, 1.0, 1.0, nt, '', CASE WHEN nt <> '' THEN 'native_text_fallback' ELSE 'full_page_visual_fallback' END, CASE WHEN nt <> '' THEN '' ELSE 'page_without_blocks' END, true FROM fb),
 bl AS (SELECT * EXCLUDE ord, CAST(row_number() OVER (PARTITION BY variant_id ORDER BY page, ord) - 1 AS INTEGER) AS ord FROM bl1),
-blocks AS (SELECT *, printf('p%04d_b%06d', page, ord) AS block_id, {_clean("CASE WHEN text <> '' THEN text ELSE markdown END")} AS own FROM bl),
+blocks AS (SELECT *, printf('p%04d_b%06d', page, ord) AS block_id, {_clean("CASE WHEN text <> '' THEN text ELSE markdown END")} AS own, {_clean("CASE WHEN markdown <> '' THEN markdown ELSE text END")} AS body FROM bl),
 rd AS (SELECT variant_id, page, ord, own, lower(label) AS lab, row_number() OVER (PARTITION BY variant_id, page ORDER BY ord) AS n FROM blocks WHERE type IN ('text', 'table')),
 pos AS (SELECT b.*, coalesce((SELECT max(0)), 0) AS z, count(r.n) AS k FROM blocks b LEFT JOIN rd r ON r.variant_id = b.variant_id AND r.page = b.page AND r.ord < b.ord GROUP BY ALL),
 ctx AS (SELECT p.*, b2.own AS b2, b1.own AS b1, b1.lab AS l1, a1.own AS a1, a1.lab AS m1, a2.own AS a2 FROM (SELECT *, CASE WHEN type IN ('text', 'table') THEN 1 ELSE 0 END AS me FROM pos) p
@@ -129,7 +134,7 @@ ctx AS (SELECT p.*, b2.own AS b2, b1.own AS b1, b1.lab AS l1, a1.own AS a1, a1.l
   LEFT JOIN rd a1 ON a1.variant_id = p.variant_id AND a1.page = p.page AND a1.n = p.k + p.me + 1 LEFT JOIN rd a2 ON a2.variant_id = p.variant_id AND a2.page = p.page AND a2.n = p.k + p.me + 2)"""
 _opens = lambda c: "(" + " OR ".join(f"starts_with(lower({c}), {_q(x)})" for x in R.CAPTION_OPENINGS) + ")"
 _CTX = f"""{_ITEMS},
-cx AS (SELECT variant_id, page, ord, type, label, reasons, block_id, substr({_clean("concat_ws(chr(10), b2, b1)")}, 1, {R.CONTEXT_CHARS}) AS before_text, substr({_clean("concat_ws(chr(10), a1, a2)")}, 1, {R.CONTEXT_CHARS}) AS after_text,
+cx AS (SELECT variant_id, page, ord, type, label, reasons, block_id, x0, y0, x1, y1, markdown, text, substr({_clean("concat_ws(chr(10), b2, b1)")}, 1, {R.CONTEXT_CHARS}) AS before_text, substr({_clean("concat_ws(chr(10), a1, a2)")}, 1, {R.CONTEXT_CHARS}) AS after_text,
   substr(CASE WHEN b1 IS NOT NULL AND (contains(l1, 'caption') OR {_opens('b1')}) THEN b1 WHEN a1 IS NOT NULL AND (contains(m1, 'caption') OR {_opens('a1')}) THEN a1 ELSE '' END, 1, {R.CAPTION_CHARS}) AS caption FROM ctx)"""
 
 
@@ -141,6 +146,7 @@ def _visual(label: str, context: str) -> str:
 _FLAGS = f"""[CASE WHEN length(t) = 0 THEN 'empty_text' WHEN length(t) < {R.LOW_CHARS} THEN 'low_char_count' END, CASE WHEN lang = 'unknown' THEN 'unknown_detected_language' END,
  CASE WHEN {_count('t', '�')} > {R.REPLACEMENTS} THEN 'encoding_replacement_chars' END, CASE WHEN length(t) > {R.LOW_CHARS} AND {_count('t', _LETTER)} / length(t) < {R.LETTER_RATIO} THEN 'low_letter_ratio' END]"""
 _compact = lambda lst: f"list_filter({lst}, lambda x: x IS NOT NULL)"
+_N_BAD = r"CAST(len(regexp_extract_all(t, '\x{fffd}{3,}')) + len(regexp_extract_all(t, '[\x01-\x08\x0b\x0c\x0e-\x1f]')) + coalesce(list_sum(list_transform(list_filter(list_distinct(string_split(t, '')), lambda c: c <> '' AND c <> chr(10) AND contains(t, repeat(c, 21))), lambda c: len(regexp_extract_all(t, regexp_escape(c) || '{21,}')))), 0) AS INTEGER)"
 _HAS_BAD = r"(regexp_matches(t, '\x{fffd}{3,}') OR regexp_matches(t, '[\x01-\x08\x0b\x0c\x0e-\x1f]') OR len(list_filter(list_distinct(string_split(t, '')), lambda c: c <> '' AND c <> chr(10) AND contains(t, repeat(c, 21)))) > 0)"
 _RAW = f"""
 txt AS (SELECT *, {_clean('raw_text')} AS t, {_language('raw_text')} AS s FROM parsed_guidelines_raw),
@@ -150,6 +156,7 @@ txt AS (SELECT *, {_clean('raw_text')} AS t FROM parsed_docling),
 txt2 AS (SELECT *, {_language('t')} AS s FROM txt),
 lg AS (SELECT *, CASE WHEN detected_language <> '' THEN detected_language ELSE {_LANG_CASE} END AS lang FROM txt2),
 mg AS (SELECT row_id, variant_id, disease_class_id, clinical_doc_group_id, specialty, disease_path, doc_type, coalesce(nullif(source_path, ''), nullif(original_source_path, ''), nullif(ocr_input_path, '')) AS source_path,
+  filename, size_kb, extraction_method, {', '.join(f"{c}" for c in ('markdown_path', 'agentic_json_path', 'raw_docling_dir', 'visual_manifest_path', 'visual_assets_dir', 'elapsed_seconds', 'ocr_reason', 'ocr_input_path'))}, coalesce(visual_asset_count, 0) AS visual_asset_count, coalesce(docling_batch_count, 0) AS docling_batch_count,
   coalesce(language_hint, 'unknown') AS language_hint, lang AS detected_language, CASE WHEN lang <> 'unknown' THEN lang ELSE coalesce(language_hint, 'unknown') END AS final_language, length(t) AS char_count,
   list_sort(list_distinct(list_concat(coalesce(quality_flags, []), {_compact(_FLAGS)}, {_compact("[CASE WHEN coalesce(pending_visual_count, 0) > 0 THEN 'pending_visual_assets' END, CASE WHEN coalesce(docling_batch_failed_count, 0) > 0 THEN 'docling_batch_errors' END]")}))) AS flags,
   coalesce(pending_visual_count, 0) AS pending_visual_count, coalesce(docling_batch_failed_count, 0) AS docling_batch_failed_count, coalesce(page_count, 0) AS page_count,
@@ -164,7 +171,7 @@ rep0 AS (SELECT r.* EXCLUDE (detected_language), CASE WHEN detected_language <>
   {_has('markdown_path')} AS h1, {_has('agentic_json_path')} AS h2, {_has('raw_docling_dir')} AS h3 FROM raw r LEFT JOIN mf USING (variant_id)),
 rep1 AS (SELECT *, {_distinct('cs')} AS codes, list_concat(coalesce(quality_flags, []), {_compact(_FLAGS)}, {_compact(f'''[
   CASE WHEN source_format IS DISTINCT FROM 'pdf' THEN 'non_pdf_row_in_pdf_only_validation' END, CASE WHEN length(t) < 500 THEN 'needs_review_char_count_below_min' END, CASE WHEN len(cs) = 0 THEN 'needs_review_no_icd_codes_detected' END,
-  CASE WHEN {_HAS_BAD} THEN 'needs_review_bad_text_patterns' END, CASE WHEN length(t) > 500 AND round({_count('t', _LETTER)} / length(t), 4) < 0.25 THEN 'needs_review_low_letter_ratio' END,
+  CASE WHEN {_HAS_BAD} THEN 'needs_review_bad_text_patterns' END, CASE WHEN length(t) > 500 AND {_ratio('t', _LETTER)} < 0.25 THEN 'needs_review_low_letter_ratio' END,
   CASE WHEN coalesce(final_language, '') = 'unknown' OR lang = 'unknown' THEN 'needs_review_unknown_language' END, CASE WHEN NOT h1 THEN 'missing_markdown_output' END, CASE WHEN NOT h2 THEN 'missing_agentic_json_output' END, CASE WHEN NOT h3 THEN 'missing_raw_docling_dir' END,
   CASE WHEN pend > 0 THEN 'pending_visual_assets' END, CASE WHEN pend > 0 AND NOT hm THEN 'missing_visual_manifest' END, CASE WHEN pend > 0 AND hm AND coalesce(manifest_rows, 0) <> pend THEN 'visual_manifest_count_mismatch' END,
   CASE WHEN pend > 0 AND hm AND coalesce(missing_crops, 0) > 0 THEN 'missing_visual_crop_files' END, CASE WHEN coalesce(docling_batch_failed_count, 0) > 0 THEN 'docling_batch_failures' END, CASE WHEN coalesce(page_count, 0) <= 0 THEN 'missing_page_count' END]''')}) AS fl FROM rep0),
@@ -174,6 +181,32 @@ cand AS (SELECT CAST(row_id AS VARCHAR) AS variant_id, m.* FROM (SELECT row_id,
   {'method': 'first', 'rk': 1, 'text': CASE WHEN row_id % 3 = 0 THEN left(raw_text, length(raw_text) // 2) ELSE raw_text END, 'ok': true}, {'method': 'second', 'rk': 2, 'text': raw_text, 'ok': row_id % 2 = 0},
   {'method': 'third', 'rk': 3, 'text': raw_text || CASE WHEN row_id % 5 = 0 THEN 'x' ELSE '' END, 'ok': row_id % 7 <> 0}]) AS m FROM parsed_guidelines_raw WHERE raw_text IS NOT NULL))"""
 
+_VIS = "(type = 'pending_visual' OR type = 'table' AND reasons <> '')"
+_KIND = f"""CASE WHEN type = 'table' THEN 'complex_table' ELSE {_visual('label', "concat_ws(' ', caption, before_text, after_text)")} END"""
+_BROKEN = "substr(md5({v} || '_' || {b}), 1, 1) = '0'"
+_PDF = f"""{_ITEMS.replace('b FROM it0)', f"b FROM it0 WHERE NOT {_BROKEN.format(v='variant_id', b='batch_no')})")},
+que AS (SELECT variant_id, source_path, doc_type, language_hint FROM (SELECT *, row_number() OVER (PARTITION BY variant_id ORDER BY ingested_at DESC NULLS LAST, row_id DESC) AS n FROM parsed_docling) WHERE n = 1),
+cnt AS (SELECT variant_id, CAST(count(*) AS INTEGER) AS np FROM pages GROUP BY 1),
+fail AS (SELECT DISTINCT variant_id, CAST((page - 1) // 8 + 1 AS INTEGER) AS batch_no FROM pages WHERE {_BROKEN.format(v='variant_id', b='CAST((page - 1) // 8 + 1 AS INTEGER)')}),
+txts AS (SELECT variant_id, {_clean('string_agg(body, chr(10) || chr(10) ORDER BY page, ord)')} AS t FROM blocks WHERE type IN ('text', 'table') AND body <> '' GROUP BY 1),
+vis AS (SELECT variant_id, CAST(count(*) AS INTEGER) AS nv FROM blocks WHERE {_VIS} GROUP BY 1),
+fl AS (SELECT variant_id, CAST(count(*) AS INTEGER) AS nf FROM fail GROUP BY 1),
+r0 AS (SELECT que.*, np, CAST(ceil(np / 8) AS INTEGER) AS nb, coalesce(nv, 0) AS nv, coalesce(nf, 0) AS nf, coalesce(t, '') AS t, {_language('t')} AS s FROM que JOIN cnt USING (variant_id) LEFT JOIN txts USING (variant_id) LEFT JOIN vis USING (variant_id) LEFT JOIN fl USING (variant_id)),
+r1 AS (SELECT *, {_LANG_CASE} AS lang, {_codes('t')} AS cs FROM r0),
+rec AS (SELECT *, list_sort(list_distinct(list_concat({_compact(_FLAGS)}, {_compact("[CASE WHEN nf > 0 THEN 'docling_batch_errors' END, CASE WHEN nv > 0 THEN 'pending_visual_assets' END, CASE WHEN length(t) < 500 THEN 'pdf_low_char_count' END]")}))) AS flags FROM r1)"""
+_WORD_FLAGS = "[CASE WHEN length(t) < 500 THEN 'low_char_count' END, CASE WHEN native_error IS NOT NULL THEN 'native_extraction_error' END, CASE WHEN docling_error IS NOT NULL THEN 'docling_extraction_error' END]"
+_WORD = f"""
+wr AS (SELECT CAST(row_id AS VARCHAR) AS variant_id, source_path, CASE WHEN row_id % 4 = 0 THEN 'doc' ELSE 'docx' END AS source_format, language_hint FROM parsed_guidelines_raw),
+wc AS (SELECT CAST(row_id AS VARCHAR) AS variant_id, {_clean('CASE WHEN row_id % 3 = 0 THEN left(raw_text, length(raw_text) // 2) ELSE raw_text END')} AS t1, {_clean('raw_text')} AS t2, {_clean("raw_text || CASE WHEN row_id % 5 = 0 THEN ' x' ELSE '' END")} AS t3,
+  row_id % 11 <> 0 AS o1, row_id % 2 = 0 AS o2, row_id % 7 <> 0 AS o3 FROM parsed_guidelines_raw WHERE raw_text IS NOT NULL),
+w1 AS (SELECT *, CASE WHEN o1 THEN length(t1) ELSE -1 END AS n1, CASE WHEN o2 THEN length(t2) ELSE -1 END AS n2, CASE WHEN o3 THEN length(t3) ELSE -1 END AS n3 FROM wc),
+w2 AS (SELECT *, CASE WHEN n1 < 0 AND n2 < 0 THEN NULL WHEN n1 >= n2 THEN 'first' ELSE 'second' END AS native_method, greatest(n1, n2, 0) AS native_char_count, greatest(n3, 0) AS docling_char_count, 'first=' || n1 || ',second=' || n2 AS extractor_stats,
+  CASE WHEN NOT o2 THEN 'broken second' WHEN NOT o1 THEN 'broken first' END AS any_ne, CASE WHEN NOT o3 THEN 'broken third' END AS any_de FROM w1),
+w3 AS (SELECT *, CASE WHEN native_char_count > 0 AND native_char_count >= docling_char_count THEN 'native' WHEN docling_char_count > 0 THEN 'docling' END AS extraction_source, CASE WHEN native_method IS NULL THEN any_ne END AS native_error, any_de AS docling_error FROM w2),
+w35 AS (SELECT *, CASE extraction_source WHEN 'native' THEN native_method WHEN 'docling' THEN 'third' END AS method, CASE WHEN extraction_source = 'native' THEN CASE native_method WHEN 'first' THEN t1 ELSE t2 END WHEN extraction_source = 'docling' THEN t3 END AS t FROM w3),
+w37 AS (SELECT *, {_language('t')} AS s FROM wr LEFT JOIN w35 USING (variant_id)),
+w4 AS (SELECT *, {_LANG_CASE} AS lang FROM w37)"""
+
 
 def oracle_sql() -> dict[str, str]:
     sel = lambda cols, where: f"WITH {_SEL} SELECT {cols} FROM sel WHERE {where}"
@@ -203,7 +236,8 @@ def oracle_sql() -> dict[str, str]:
         "quality_flags": f"WITH {_RAW} SELECT row_id, array_to_string({_compact(_FLAGS)}, ',') AS flags FROM (SELECT *, auto AS lang FROM raw)",
         "icd_codes": f"WITH {_RAW}, c AS (SELECT *, {_codes('t')} AS cs FROM raw) SELECT row_id, array_to_string({_distinct('cs')}, ',') AS codes, {_any('lower(coalesce(raw_text, chr(32)))', R.CODE_MARKERS)} AS has_marker FROM c",
         "char_counts": f"WITH {_RAW} SELECT row_id, length(t) AS n, {_count('t', _LETTER)} AS letter_count, {_count('t', chr(92) + 'p{Nd}')} AS digit_count, {_count('t', 'А-Яа-яЁёҚқЎўҒғҲҳ')} AS cyrillic_count, {_count('t', 'A-Za-z')} AS latin_count FROM raw",
-        "bad_patterns": f"WITH {_RAW} SELECT row_id, {_HAS_BAD} AS has_bad FROM raw",
+        "char_ratios": f"WITH {_RAW} SELECT row_id, {_ratio('t', _LETTER)} AS letter_ratio, {_ratio('t', chr(92) + 'p{Nd}')} AS digit_ratio, {_ratio('t', 'А-Яа-яЁёҚқЎўҒғҲҳ')} AS cyrillic_ratio, {_ratio('t', 'A-Za-z')} AS latin_ratio FROM raw",
+        "bad_patterns": f"WITH {_RAW} SELECT row_id, {_N_BAD} AS n FROM raw",
         "table_quality": f"""WITH l AS (SELECT row_id, list_filter(string_split(raw_text, chr(10)), lambda x: contains(x, '|')) AS ls FROM parsed_guidelines_raw WHERE contains(raw_text, '|')),
             b AS (SELECT row_id, ls, list_transform(list_filter(list_transform(ls, lambda x: regexp_replace({_strip('x')}, '^\\|+|\\|+$', '', 'g')), lambda x: regexp_replace(x, '[|\\-:{_BLANK}]', '', 'g') <> ''), lambda x: len(string_split(x, '|'))) AS n FROM l),
             m AS (SELECT *, list_sort(list_transform(list_distinct(n), lambda v: {{'c': -len(list_filter(n, lambda x: x = v)), 'v': v}}))[1] AS top FROM b)
@@ -216,34 +250,56 @@ def oracle_sql() -> dict[str, str]:
         "block_order": f'WITH {_ITEMS} SELECT variant_id, batch_no, page, ord AS "order", type, x0, y0, reasons FROM bl0',
         "page_fallback": f"WITH {_ITEMS} SELECT variant_id, page, block_id, type, label FROM blocks WHERE fallback",
         "neighbor_context": f"WITH {_CTX} SELECT variant_id, block_id, md5(before_text) AS before_md5, md5(after_text) AS after_md5, md5(caption) AS caption_md5 FROM cx",
-        "visual_manifest": f"""WITH {_CTX} SELECT variant_id, variant_id || '_' || block_id AS asset_id, page, ord AS "order", CASE WHEN type = 'table' THEN 'complex_table' ELSE {_visual('label', "concat_ws(' ', caption, before_text, after_text)")} END AS suggested_type,
-            'data/parsed_docling/' || variant_id || '/visual_assets/' || variant_id || '_' || block_id || '.png' AS crop_path, 'pending' AS status FROM cx WHERE type = 'pending_visual' OR type = 'table' AND reasons <> ''""",
-        "raw_text_assembly": f"WITH {_ITEMS} SELECT variant_id, md5({_clean('string_agg(own, chr(10) || chr(10) ORDER BY page, ord)')}) AS text_md5 FROM blocks WHERE type IN ('text', 'table') AND own <> '' GROUP BY 1",
-        "markdown_assembly": f"""WITH {_ITEMS}, m AS (SELECT variant_id, page, ord, concat_ws(chr(10) || chr(10), CASE WHEN row_number() OVER (PARTITION BY variant_id, page ORDER BY ord) = 1 THEN '<!-- page ' || page || ' -->' END,
-            CASE WHEN type = 'pending_visual' THEN '[PENDING_VISUAL asset_id=' || variant_id || '_' || block_id || ' type=' || label || ']' WHEN type = 'table' THEN coalesce(nullif(markdown, ''), nullif(text, '')) ELSE nullif(text, '') END) AS p FROM blocks)
+        "visual_manifest": f"""WITH {_CTX} SELECT variant_id AS doc_id, variant_id, variant_id || '_' || block_id AS asset_id, page, ord AS "order", block_id, {_KIND} AS suggested_type, x0, y0, x1, y1, 'data/pdf_visual_assets/' || variant_id || '/crops/' || variant_id || '_' || block_id || '.png' AS crop_path,
+            md5(caption) AS caption_md5, md5(before_text) AS before_text_md5, md5(after_text) AS after_text_md5, 'pending_vlm' AS status FROM cx WHERE {_VIS}""",
+        "visual_blocks": f"""WITH {_CTX}, im AS (SELECT variant_id, page, CASE WHEN g = '0' THEN 0 ELSE 1000 END AS iw, 1400 AS ih FROM (SELECT *, substr(md5(variant_id || '/' || page), 1, 1) AS g FROM pages) WHERE g < 'c'),
+            c AS (SELECT cx.*, iw IS NOT NULL AS there, greatest(0, CAST(trunc(x0 * iw) AS INTEGER) - 12) AS cl, greatest(0, CAST(trunc(y0 * ih) AS INTEGER) - 12) AS ct, least(iw, CAST(trunc(x1 * iw) AS INTEGER) + 12) AS cr, least(ih, CAST(trunc(y1 * ih) AS INTEGER) + 12) AS cb FROM cx LEFT JOIN im USING (variant_id, page) WHERE {_VIS}),
+            m AS (SELECT *, there AND cr > cl AND cb > ct AS made FROM c)
+            SELECT variant_id, block_id, type, true AS needs_review, made AS needs_vlm, array_to_string(CASE WHEN made THEN list_sort(list_append(CASE WHEN reasons = '' THEN [] ELSE string_split(reasons, ',') END, 'visual/table crop exported for later VLM enrichment')) ELSE list_append(string_split(reasons, ','), CASE WHEN there THEN 'visual_crop_failed' ELSE 'page_image_missing_for_visual_crop' END) END, ',') AS reasons,
+            CASE WHEN made THEN variant_id || '_' || block_id END AS asset_id, CASE WHEN made THEN cl END AS crop_left, CASE WHEN made THEN ct END AS crop_top, CASE WHEN made THEN cr END AS crop_right, CASE WHEN made THEN cb END AS crop_bottom FROM m""",
+        "raw_text_assembly": f"WITH {_ITEMS} SELECT variant_id, md5({_clean('string_agg(body, chr(10) || chr(10) ORDER BY page, ord)')}) AS text_md5 FROM blocks WHERE type IN ('text', 'table') AND body <> '' GROUP BY 1",
+        "markdown_assembly": f"""WITH {_CTX}, m AS (SELECT variant_id, page, ord, concat_ws(chr(10) || chr(10), CASE WHEN row_number() OVER (PARTITION BY variant_id, page ORDER BY ord) = 1 THEN chr(10) || chr(10) || '<!-- page ' || page || ' -->' || chr(10) END,
+            CASE WHEN type = 'pending_visual' THEN '[PENDING_VISUAL asset_id=' || variant_id || '_' || block_id || ' type=' || {_KIND} || ']' ELSE nullif({_strip("CASE WHEN markdown <> '' THEN markdown ELSE text END")}, '') END) AS p FROM cx)
             SELECT variant_id, md5({_clean('string_agg(p, chr(10) || chr(10) ORDER BY page, ord)')}) AS markdown_md5 FROM m WHERE p <> '' GROUP BY 1""",
-        "page_nesting": f"WITH {_ITEMS} SELECT variant_id, CAST(count(DISTINCT page) AS INTEGER) AS n_pages, CAST(count(*) AS INTEGER) AS n_blocks FROM blocks GROUP BY 1",
-        "bbox_normalize": f"WITH {_ITEMS} SELECT variant_id, i AS item_seq, x0, y0, x1, y1, (x1 - x0) * (y1 - y0) AS area FROM items",
+        "page_nesting": f"WITH {_ITEMS}, pg AS (SELECT variant_id, page, count(*) AS n, string_agg(block_id, ',' ORDER BY ord) AS ids FROM blocks GROUP BY 1, 2) SELECT variant_id, CAST(count(*) AS INTEGER) AS n_pages, CAST(sum(n) AS INTEGER) AS n_blocks, md5(string_agg(page || ':' || ids, ';' ORDER BY page)) AS ids_md5 FROM pg GROUP BY 1",
+        "page_scan": f"WITH {_ITEMS} SELECT variant_id, page, width_pts, height_pts, length(s) AS text_chars, length(s) < {R.SCANNED_PAGE} AS is_scanned_like FROM (SELECT variant_id, page, w AS width_pts, h AS height_pts, CASE WHEN native_text = chr(1) THEN '' ELSE {_strip('native_text')} END AS s FROM pages)",
+        "parsed_pdf": f"""WITH {_PDF} SELECT variant_id, source_path, doc_type, language_hint, lang AS detected_language, 'agentic_pdf_docling_surya_deferred_vlm' AS extraction_method, array_to_string(flags, ',') AS flags, 'data/parsed_docling/' || variant_id || '/document.md' AS markdown_path,
+            'data/parsed_pdf_agentic/' || variant_id || '/agentic.json' AS agentic_json_path, 'data/parsed_pdf_docling_raw/' || variant_id AS raw_docling_dir, 'data/pdf_visual_assets/' || variant_id || '/visual_manifest.jsonl' AS visual_manifest_path, 'data/pdf_visual_assets/' || variant_id AS visual_assets_dir,
+            nv AS pending_visual_count, nv AS visual_asset_count, nb AS docling_batch_count, nf AS docling_batch_failed_count, np AS page_count, length(t) AS char_count, array_to_string({_distinct('cs')}, ',') AS codes, md5(t) AS text_md5 FROM rec""",
+        "pdf_batches": f"WITH {_PDF}, s AS (SELECT variant_id, np, unnest(range(0, np, 8)) AS s FROM cnt) SELECT s.variant_id, CAST(s // 8 + 1 AS INTEGER) AS batch_no, CAST(s + 1 AS INTEGER) AS first_page, CAST(least(s + 8, np) AS INTEGER) AS last_page, CASE WHEN f.batch_no IS NULL THEN 'ok' ELSE 'failed' END AS status FROM s LEFT JOIN fail f ON f.variant_id = s.variant_id AND f.batch_no = s // 8 + 1",
+        "pdf_summary": f"WITH {_PDF} SELECT (SELECT count(*) FROM que) AS ocr_rows_considered, (SELECT count(*) FROM rec) AS parsed_ok, CAST((SELECT coalesce(sum(length(t)), 0) FROM rec) AS BIGINT) AS total_chars, (SELECT count(*) FROM que ANTI JOIN cnt USING (variant_id)) AS failed, (SELECT count(*) FROM blocks WHERE {_VIS}) AS total_visual_assets_manifest",
+
+        "bbox_normalize": f"WITH {_ITEMS} SELECT variant_id, i AS item_seq, CASE WHEN sized THEN x0 END AS x0, CASE WHEN sized THEN y0 END AS y0, CASE WHEN sized THEN x1 END AS x1, CASE WHEN sized THEN y1 END AS y1, CASE WHEN sized THEN greatest(0.0, x1 - x0) * greatest(0.0, y1 - y0) END AS area FROM boxed",
         "crop_box": """SELECT asset_id, l AS "left", t AS "top", r AS "right", b AS "bottom" FROM (SELECT asset_id, CASE WHEN ok THEN l END AS l, CASE WHEN ok THEN t END AS t, CASE WHEN ok THEN r END AS r, CASE WHEN ok THEN b END AS b FROM (SELECT *, r > l AND b > t AS ok FROM (
-            SELECT asset_id, greatest(0, CAST(trunc(bbox.x0 * 1024) AS INTEGER) - 12) AS l, greatest(0, CAST(trunc(bbox.y0 * 2048) AS INTEGER) - 12) AS t, least(1024, CAST(trunc(bbox.x1 * 1024) AS INTEGER) + 12) AS r, least(2048, CAST(trunc(bbox.y1 * 2048) AS INTEGER) + 12) AS b
-            FROM (SELECT DISTINCT * FROM visual_manifest WHERE bbox IS NOT NULL))))""",
+            SELECT asset_id, greatest(0, CAST(trunc(bbox.x0 * w) AS INTEGER) - 12) AS l, greatest(0, CAST(trunc(bbox.y0 * h) AS INTEGER) - 12) AS t, least(w, CAST(trunc(bbox.x1 * w) AS INTEGER) + 12) AS r, least(h, CAST(trunc(bbox.y1 * h) AS INTEGER) + 12) AS b
+            FROM (SELECT DISTINCT *, 800 + page % 7 * 100 AS w, 1100 + page % 5 * 100 AS h FROM visual_manifest WHERE bbox IS NOT NULL))))""",
         "page_batches": "SELECT row_id, CAST(s // 8 + 1 AS INTEGER) AS batch_no, CAST(s + 1 AS INTEGER) AS first_page, CAST(least(s + 8, page_count) AS INTEGER) AS last_page FROM (SELECT row_id, page_count, unnest(range(0, page_count, 8)) AS s FROM parsed_docling WHERE page_count > 0)",
-        "merge_normalize": f"WITH {_MERGED} SELECT row_id, variant_id, source_path, language_hint, detected_language, final_language, char_count, array_to_string(flags, ',') AS flags, pending_visual_count, docling_batch_failed_count, page_count, array_to_string(codes, ',') AS codes, CAST(len(codes) AS INTEGER) AS icd_code_count, md5(t) AS text_md5 FROM mg",
+        "merge_normalize": f"WITH {_MERGED} SELECT row_id, variant_id, disease_class_id, clinical_doc_group_id, specialty, disease_path, doc_type, source_path, 'pdf' AS source_format, '.pdf' AS source_extension, filename, size_kb, 'pdf_agentic_docling_surya' AS extraction_source, extraction_method, markdown_path, agentic_json_path, raw_docling_dir, visual_manifest_path, visual_assets_dir, visual_asset_count, docling_batch_count, elapsed_seconds, ocr_reason, ocr_input_path, language_hint, detected_language, final_language, char_count, array_to_string(flags, ',') AS quality_flags, pending_visual_count, docling_batch_failed_count, page_count, array_to_string(codes, ',') AS icd_codes_detected, CAST(len(codes) AS INTEGER) AS icd_code_count, md5(t) AS raw_text FROM mg",
         "merge_missing": f"WITH {_MERGED} SELECT variant_id, source_path, 'low_char_count' AS reason, char_count FROM mg WHERE char_count < 500",
-        "merge_grouped": f"""WITH {_MERGED}, p AS (SELECT disease_class_id, doc_type, coalesce(nullif(final_language, ''), 'unknown') AS language, CAST(count(*) AS INTEGER) AS n FROM mg GROUP BY 1, 2, 3),
+        "merge_grouped": f"""WITH {_MERGED}, p AS (SELECT disease_class_id, doc_type, coalesce(nullif(final_language, ''), 'unknown') AS language, string_agg(concat_ws('/', row_id, variant_id, char_count, detected_language, array_to_string(flags, '+')), ',' ORDER BY row_id) AS rows FROM mg GROUP BY 1, 2, 3),
             g AS (SELECT disease_class_id, doc_type, arg_max(struct_pack(sp := specialty, cd := clinical_doc_group_id), row_id) AS x FROM mg GROUP BY 1, 2), l AS (SELECT disease_class_id, doc_type, string_agg(language, ',' ORDER BY language) AS languages FROM p GROUP BY 1, 2)
-            SELECT p.disease_class_id, p.doc_type, x.sp AS specialty, x.cd AS clinical_doc_group_id, languages, language, n FROM p JOIN g ON p.disease_class_id IS NOT DISTINCT FROM g.disease_class_id AND p.doc_type IS NOT DISTINCT FROM g.doc_type
+            SELECT p.disease_class_id, p.doc_type, x.sp AS specialty, x.cd AS clinical_doc_group_id, languages, language, p.rows FROM p JOIN g ON p.disease_class_id IS NOT DISTINCT FROM g.disease_class_id AND p.doc_type IS NOT DISTINCT FROM g.doc_type
             JOIN l ON p.disease_class_id IS NOT DISTINCT FROM l.disease_class_id AND p.doc_type IS NOT DISTINCT FROM l.doc_type""",
         "merge_flag_counts": f"WITH {_MERGED} SELECT flag, count(*) AS n FROM (SELECT unnest(flags) AS flag FROM mg) GROUP BY 1",
-        "merge_summary": f"WITH {_MERGED} SELECT count(*) AS rows, count(*) FILTER (WHERE char_count >= 500) AS usable_rows, CAST(sum(char_count) AS BIGINT) AS total_char_count, CAST(sum(pending_visual_count) AS BIGINT) AS total_pending_visual_count, count(*) FILTER (WHERE docling_batch_failed_count > 0) AS rows_with_failed_batches FROM mg",
+        "merge_summary": f"WITH {_MERGED} SELECT count(*) AS rows, count(*) FILTER (WHERE char_count >= 500) AS usable_rows, CAST(sum(char_count) AS BIGINT) AS total_char_count, CAST(sum(pending_visual_count) AS BIGINT) AS total_pending_visual_count, count(*) FILTER (WHERE docling_batch_failed_count > 0) AS rows_with_failed_batches, round(sum(elapsed_seconds) / count(elapsed_seconds), 3) AS avg_seconds FROM mg",
         "merge_latest": "SELECT variant_id, row_id FROM (SELECT *, row_number() OVER (PARTITION BY variant_id ORDER BY ingested_at DESC NULLS LAST, row_id DESC) AS n FROM parsed_docling) WHERE n = 1",
-        "quality_report": f"""WITH {_REPORT} SELECT row_id, variant_id, lang AS detected_language, coalesce(nullif(final_language, ''), lang) AS final_language, 'raw_text' AS validation_text_source, length(t) AS char_count, page_count, CAST(len(codes) AS INTEGER) AS icd_code_count,
+        "quality_report": f"""WITH {_REPORT} SELECT row_id, variant_id, disease_class_id, clinical_doc_group_id, specialty, disease_path, doc_type, source_path, source_format, extraction_source, extraction_method, language_hint, {_ratio('t', _LETTER)} AS letter_ratio, {_ratio('t', chr(92) + 'p{Nd}')} AS digit_ratio, {_ratio('t', 'А-Яа-яЁёҚқЎўҒғҲҳ')} AS cyrillic_ratio, {_ratio('t', 'A-Za-z')} AS latin_ratio,
+            {_N_BAD} AS bad_pattern_count, visual_asset_count, docling_batch_count, docling_batch_failed_count, markdown_path, agentic_json_path, raw_docling_dir, visual_manifest_path, lang AS detected_language, coalesce(nullif(final_language, ''), lang) AS final_language, 'raw_text' AS validation_text_source, length(t) AS char_count, page_count, CAST(len(codes) AS INTEGER) AS icd_code_count,
             array_to_string(codes[1:50], ', ') AS icd_codes_detected, pending_visual_count, CAST(len(flags) AS INTEGER) AS review_flag_count, array_to_string(flags, '; ') AS review_flags, len(flags) > 0 AS needs_review FROM report""",
         "needs_review": f"WITH {_REPORT} SELECT row_id, array_to_string(flags, '; ') AS review_flags FROM report WHERE len(flags) > 0",
         "flag_ranking": f"WITH {_REPORT} SELECT flag, count(*) AS n FROM (SELECT unnest(flags) AS flag FROM report) GROUP BY 1",
         "duplicate_texts": f"WITH {_RAW}, h AS (SELECT *, md5(substr({_one('lower(t)')}, 1, {R.HASH_CHARS})) AS text_hash FROM raw WHERE length(raw_text) >= {R.DUPLICATE_LEAST}) SELECT row_id, text_hash, duplicate_group_size, variant_id, final_language, char_count FROM (SELECT *, count(*) OVER (PARTITION BY text_hash) AS duplicate_group_size FROM h) WHERE duplicate_group_size > 1",
         "manifest_check": f"WITH {_ART} SELECT row_id, coalesce(pending_visual_count, 0) AS pending, coalesce(manifest_rows, 0) AS manifest_rows, coalesce(missing_crops, 0) AS missing_crops FROM parsed_guidelines_raw LEFT JOIN mf USING (variant_id)",
-        "visual_review": f"WITH {_ART} SELECT m.variant_id, p.source_path, asset_id, page, order_no, suggested_type, art.path IS NOT NULL AS crop_exists, status FROM visual_manifest m JOIN (SELECT DISTINCT variant_id, source_path FROM parsed_guidelines_raw) p USING (variant_id) LEFT JOIN art ON m.crop_path = art.path",
+        "visual_review": f'''WITH {_ART} SELECT m.variant_id, p.source_path, asset_id, page, order_no AS "order", suggested_type, m.crop_path, art.path IS NOT NULL AS crop_exists, status, caption FROM visual_manifest m JOIN (SELECT DISTINCT variant_id, source_path FROM parsed_guidelines_raw) p USING (variant_id) LEFT JOIN art ON m.crop_path = art.path''',
+        "validation_summary": f"""WITH {_REPORT}, h AS (SELECT md5(substr({_one('lower(t)')}, 1, {R.HASH_CHARS})) AS text_hash FROM raw WHERE length(raw_text) >= {R.DUPLICATE_LEAST})
+            SELECT (SELECT count(*) FROM report) AS total_rows, (SELECT count(*) FROM report WHERE len(flags) > 0) AS needs_review_total, CAST((SELECT sum(length(t)) FROM report) AS BIGINT) AS total_chars,
+            (SELECT count(*) FROM visual_manifest m JOIN (SELECT DISTINCT variant_id, source_path FROM parsed_guidelines_raw) p USING (variant_id)) AS visual_asset_total, (SELECT count(*) FROM (SELECT text_hash FROM h GROUP BY 1 HAVING count(*) > 1)) AS duplicate_groups""",
+        "queue_summary": f"WITH {_QUEUE} SELECT count(*) AS queue_total, count(*) FILTER (WHERE ocr_reason = 'selected_pdf_docling_surya') AS selected_pdf_total, count(*) FILTER (WHERE ocr_reason = 'backfill_pdf_docling_surya') AS backfill_pdf_total FROM queue",
+        "word_rows": f"""WITH {_WORD} SELECT variant_id, source_path, source_format, language_hint, lang AS detected_language, CASE WHEN source_format = 'doc' THEN 'doc_to_docx_' ELSE '' END || method AS extraction_method, extraction_source, native_method, native_char_count, docling_char_count, extractor_stats,
+            native_error, docling_error, length(t) AS char_count, array_to_string({_distinct(f"list_concat({_compact(_FLAGS)}, {_compact(_WORD_FLAGS)})")}, ',') AS quality_flags, length(t) < 500 AS needs_review, CASE WHEN length(t) < 500 THEN 'word_extraction_weak_low_char_count' END AS review_reason, false AS needs_ocr, CAST(NULL AS VARCHAR) AS ocr_reason, md5(t) AS raw_text FROM w4 WHERE t IS NOT NULL""",
+        "word_failures": f"""WITH {_WORD} SELECT variant_id, source_path, source_format, language_hint, true AS needs_review, 'word_extraction_failed' AS review_reason, false AS needs_ocr, concat_ws('; ', coalesce(any_ne, 'no native text'), coalesce(any_de, 'no structured text')) AS error FROM w4 WHERE t IS NULL""",
+        "word_summary": f"""WITH {_WORD}, x AS (SELECT * FROM w4 WHERE CAST(variant_id AS BIGINT) % 9 <> 0) SELECT (SELECT count(*) FROM w4) AS registry_word_rows_considered, count(*) AS tasks_run, count(t) AS parsed_ok, count(*) FILTER (WHERE length(t) < 500) AS parsed_weak_needs_review, count(*) FILTER (WHERE t IS NULL) AS failed, (SELECT count(*) FROM w4) - count(*) AS skipped_existing FROM x""",
+        "word_selection": f"""WITH o AS (SELECT variant_id, max({{'p': source_path, 'f': source_format, 'e': source_extension, 'l': language_hint}}) AS m FROM registry GROUP BY 1) SELECT variant_id, m.p AS source_path FROM o WHERE lower(m.e) IN ({_list(R.WORD_EXTENSIONS)}) AND m.l = 'unknown' ORDER BY coalesce(m.p, ''), variant_id LIMIT 100 OFFSET 10""",
         "word_best_candidate": f"""WITH {_CAND} SELECT variant_id, CASE WHEN bool_or(ok) THEN (list({{'n': -length(text), 'rk': rk, 'm': method}} ORDER BY length(text) DESC, rk) FILTER (WHERE ok))[1].m END AS method, max(length(text)) FILTER (WHERE ok) AS char_count,
             string_agg(method || '=' || CASE WHEN ok THEN length(text) ELSE -1 END, ',' ORDER BY method) AS stats FROM cand GROUP BY 1""",
         "failures_split": f"WITH {_CAND} SELECT method, count(*) AS n, CASE WHEN ok THEN 'ok' ELSE 'failed' END AS status FROM cand GROUP BY 1, 3",
