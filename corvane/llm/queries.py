@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import spread
-from . import boilerplate, encode, language, leaks, lookalike, mojibake, quality, residue, scanned, split
+from . import boilerplate, chars, encode, language, leaks, lookalike, mojibake, quality, residue, scanned, split
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -127,6 +129,24 @@ hits AS (SELECT row_id, CAST(line_no AS INTEGER) AS line_no FROM keyed JOIN ofte
 """
 
 
+def _look_sql() -> str:
+    """A text's look in SQL: plain forms, composed, every Cyrillic look-alike (with its accents) as its Latin twin."""
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    plain = sorted(chars.PLAIN.items(), key=lambda x: x[1] is None)  # what is removed comes last
+    source, target = "".join(chr(c) for c, _ in plain if c), "".join(chr(to) for _, to in plain if to is not None)
+    twins = dict(chars.CYR_TO_LAT)
+    for c in map(chr, range(0x400, 0x530)):
+        base, *marks = unicodedata.normalize("NFD", c)
+        if marks and base in chars.CYR_TO_LAT:
+            twins[c] = unicodedata.normalize("NFC", chars.CYR_TO_LAT[base] + "".join(marks))
+    single = {c: l for c, l in twins.items() if len(l) == 1}
+    out = f"translate(nfc_normalize(translate(raw_text, {q(source)}, {q(target)})), {q(''.join(single))}, {q(''.join(single.values()))})"
+    for c, l in twins.items():
+        if len(l) > 1:
+            out = f"replace({out}, {q(c)}, {q(l)})"
+    return f"nfc_normalize({out})"
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(f)}
 
@@ -134,5 +154,10 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": f"WITH {_P2_HITS} SELECT row_id, line_no FROM hits",
+        "p2_clean": f"""WITH {_P2_HITS}, parts AS (SELECT row_id, unnest(string_split(raw_text, chr(10))) AS line, unnest(range(1, len(string_split(raw_text, chr(10))) + 1)) AS line_no FROM parsed_guidelines_raw WHERE raw_text IS NOT NULL),
+            kept AS (SELECT row_id, string_agg(line, chr(10) ORDER BY line_no) AS t FROM parts ANTI JOIN hits USING (row_id, line_no) GROUP BY 1)
+            SELECT row_id, CASE WHEN raw_text IS NOT NULL THEN coalesce(t, '') END AS clean_text FROM parsed_guidelines_raw LEFT JOIN kept USING (row_id)""",
+        "p4_found": f"WITH k AS (SELECT row_id, raw_text, {_look_sql()} AS look FROM parsed_guidelines_raw WHERE raw_text IS NOT NULL), s AS (SELECT * FROM k WHERE regexp_matches(look, '\\S')) SELECT a.row_id AS row_id_a, b.row_id AS row_id_b FROM s a JOIN s b ON a.look = b.look AND a.row_id < b.row_id AND a.raw_text <> b.raw_text",
+        "p4_classes": f"WITH k AS (SELECT row_id, raw_text, {_look_sql()} AS look FROM parsed_guidelines_raw WHERE raw_text IS NOT NULL) SELECT row_id, min(row_id) OVER w AS class_id, count(*) OVER w AS n_rows, min(raw_text) OVER w <> max(raw_text) OVER w AS several_forms FROM k WHERE regexp_matches(look, '\\S') WINDOW w AS (PARTITION BY look)",
         "p7_found": "SELECT row_id FROM parsed_guidelines_raw JOIN (SELECT doc_type, min(max_chars) AS most FROM split_limits WHERE max_chars >= 1 GROUP BY 1) USING (doc_type) WHERE length(raw_text) > most",
     }

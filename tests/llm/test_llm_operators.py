@@ -429,3 +429,18 @@ def test_residue_hints_pass_what_the_rules_know(spark):
     got = {r.doc_id for r in residue.residue_rows(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
     missed = [t for i, t, _ in rows if i < 2000 and i not in got and residue.classify(residue.mask(t))]
     assert not missed and set(range(6)) <= got and {1000, 1001, 1002, 1010, 1011, 1012} <= got and not got & {2000, 2001}
+
+
+# SQL
+def test_queries_match_their_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    from corvane.llm import queries
+
+    con = duckdb.connect()
+    for name in ("parsed_guidelines_raw", "split_limits"):
+        con.execute(f"create view {name} as select * from read_parquet('/root/testdata/sf0.01/{name}.parquet')")
+    for name, sql in queries.oracle_sql().items():
+        got = queries.queries()[name](spark, "/root/testdata/sf0.01")
+        cols = sorted(got.columns)
+        want = con.execute(f"select {', '.join(cols)} from ({sql})").fetchall()
+        assert sorted(map(tuple, got.select(*cols).collect()), key=repr) == sorted(want, key=repr) and want, name
