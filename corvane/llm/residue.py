@@ -63,10 +63,12 @@ STATUS = """Not Found|Page not found|Forbidden|Access denied|Internal Server Err
 Sahifa topilmadi|So‘rov noto‘g‘ri|Serverda ichki xato|Xizmat vaqtincha mavjud emas|Kirish taqiqlangan|Kutish vaqti tugadi|Shlyuz ishlamayapti|So‘rovlar juda ko‘p|Hujjat o‘chirilgan|Tizimga kiring""".replace("\n", "|").split("|")
 
 
+FOLDED = TO_LATIN | dict.fromkeys(map(ord, "‘’'`´ʻʼ"))
+
+
 def fold(s: str) -> str:
     """Lower case, one alphabet, no apostrophes, single blanks."""
-    s = re.sub("[‘’'`´ʻʼ]", "", s.lower()).translate(TO_LATIN).replace("ye", "e")
-    return " ".join(s.split())
+    return " ".join(s.lower().translate(FOLDED).replace("ye", "e").split())
 
 
 def mask(line: str) -> str:
@@ -137,12 +139,12 @@ LIKELY = [re.compile(p) for p in (rf"^(?:oops|uups|ups)\b.{{0,60}}$", r"^somethi
 # What a message must hold, in the folded form that the rules read, for any rule to match: each rule of SURE and
 # LIKELY has a part of this list, a phrase of FILLER or STATUS, or a status code in brackets. A code before other words needs STATUS or <title>.
 PARTS = "java|js|skript|stsenari|ssenari|aktivn|traceback|fatal error|establishing|ora-|include|require|mysql|pg_|bolshe ne dostup|nedostup|ne sushestvu|does not exist|unavailable|mavjud emas|topilmadi|oops|ups|went wrong|todo|nginx|apache|endi mavjud emas|no longer available|brauzer|browser|captcha|ddos|</title>"
-HINTS = re.compile("|".join((PARTS, _any([*FILLER, *STATUS]), re.escape(fold("не работает без")), re.escape(fold("ваш браузер")), re.escape(fold("в вашем браузере")))))
+HINTS = tuple(dict.fromkeys([*PARTS.split("|"), *(fold(p) for p in (*FILLER, *STATUS, "не работает без", "ваш браузер", "в вашем браузере"))]))
 
 
 def hinted(folded: str) -> bool:
     """Whether any rule may match a text or sentence that fold() has brought to the form of the rules."""
-    return HINTS.search(folded) is not None
+    return any(h in folded for h in HINTS)
 
 
 def classify(message: str) -> str | None:
