@@ -187,12 +187,16 @@ class Profiles:
         chars += self.made[at].sum(0)
         return tokens, chars, np.array(lines, float)
 
+    def divergences(self, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        """Weighted Jensen-Shannon divergence from every profile."""
+        own = self.distribution(counts)
+        return (self.entropy(own)[self.language] + self.own) / 2 - self.entropy((own[self.language] + self.profiles) / 2)
+
     def nearest(self, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[str, float]:
         """Kind of the nearest profile, and the divergence from the nearest prose."""
         if not len(self.which):  # no samples, nothing to compare with
             return "prose", 0.0
-        own = self.distribution(counts)
-        d = (self.entropy(own)[self.language] + self.own) / 2 - self.entropy((own[self.language] + self.profiles) / 2)
+        d = self.divergences(counts)
         return KINDS[self.which[int(d.argmin())]], max(float(d[self.which == 0].min()), 0.0)
 
 

@@ -54,13 +54,68 @@ PLACEHOLDERS = [
 # Words of filler text in the usual pseudo-Latin.
 LOREM = frozenset("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split())
 # Sentences that stand for missing content.
-FILLER = """Образец текста|Замените его своим содержанием|Текст раздела будет добавлен позднее|Здесь должен быть текст|Введите описание здесь|Заголовок раздела
-Namuna matni|Uni o‘zingizniki bilan almashtiring|Bo‘lim matni keyinroq qo‘shiladi|Bu yerda matn bo‘lishi kerak|Tavsifni shu yerga kiriting|Bo‘lim sarlavhasi
-Sample text|Replace it with your own content|Section text will be added later|Your text goes here|Enter a description here|Section title|Section heading|Text goes here|Click to add a heading|Click to add a title|Click to add text""".replace("\n", "|").split("|")
+FILLER = (
+    "Образец текста",
+    "Замените его своим содержанием",
+    "Текст раздела будет добавлен позднее",
+    "Здесь должен быть текст",
+    "Введите описание здесь",
+    "Заголовок раздела",
+    "Namuna matni",
+    "Uni o‘zingizniki bilan almashtiring",
+    "Bo‘lim matni keyinroq qo‘shiladi",
+    "Bu yerda matn bo‘lishi kerak",
+    "Tavsifni shu yerga kiriting",
+    "Bo‘lim sarlavhasi",
+    "Sample text",
+    "Replace it with your own content",
+    "Section text will be added later",
+    "Your text goes here",
+    "Enter a description here",
+    "Section title",
+    "Section heading",
+    "Text goes here",
+    "Click to add a heading",
+    "Click to add a title",
+    "Click to add text",
+)
 # Texts of the status codes.
-STATUS = """Not Found|Page not found|Forbidden|Access denied|Internal Server Error|Gone|Too Many Requests|Bad Gateway|Bad Request|Unauthorized|Service Unavailable|Service temporarily unavailable|Gateway Timeout|Request Timeout
-Страница не найдена|Неверный запрос|Внутренняя ошибка сервера|Сервис временно недоступен|Доступ запрещён|Время ожидания истекло|Сбой шлюза|Слишком много запросов|Документ удалён|Требуется вход
-Sahifa topilmadi|So‘rov noto‘g‘ri|Serverda ichki xato|Xizmat vaqtincha mavjud emas|Kirish taqiqlangan|Kutish vaqti tugadi|Shlyuz ishlamayapti|So‘rovlar juda ko‘p|Hujjat o‘chirilgan|Tizimga kiring""".replace("\n", "|").split("|")
+STATUS = (
+    "Not Found",
+    "Page not found",
+    "Forbidden",
+    "Access denied",
+    "Internal Server Error",
+    "Gone",
+    "Too Many Requests",
+    "Bad Gateway",
+    "Bad Request",
+    "Unauthorized",
+    "Service Unavailable",
+    "Service temporarily unavailable",
+    "Gateway Timeout",
+    "Request Timeout",
+    "Страница не найдена",
+    "Неверный запрос",
+    "Внутренняя ошибка сервера",
+    "Сервис временно недоступен",
+    "Доступ запрещён",
+    "Время ожидания истекло",
+    "Сбой шлюза",
+    "Слишком много запросов",
+    "Документ удалён",
+    "Требуется вход",
+    "Sahifa topilmadi",
+    "So‘rov noto‘g‘ri",
+    "Serverda ichki xato",
+    "Xizmat vaqtincha mavjud emas",
+    "Kirish taqiqlangan",
+    "Kutish vaqti tugadi",
+    "Shlyuz ishlamayapti",
+    "So‘rovlar juda ko‘p",
+    "Hujjat o‘chirilgan",
+    "Tizimga kiring",
+)
 
 
 FOLDED = TO_LATIN | dict.fromkeys(map(ord, "‘’'`´ʻʼ"))

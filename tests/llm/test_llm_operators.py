@@ -304,6 +304,11 @@ def test_kinds_of_held_out_words(samples):
             total += 1
             right += profiles.nearest(profiles.counts(text))[0] == kind
     assert right >= 0.97 * total
+    counts = profiles.counts("Врач назначает осмотр и лечение 5 мг.\n- код I10; 7\n|a|b|c|")
+    parts = quality.np.split(profiles.distribution(counts)[profiles.language], (len(profiles.words) + len(quality.TOKENS), len(profiles.words) + len(quality.TOKENS) + len(quality.CLASSES)), axis=1)
+    theirs = quality.np.split(profiles.profiles, (parts[0].shape[1], parts[0].shape[1] + parts[1].shape[1]), axis=1)
+    want = sum(w * quality.jensen_shannon(p, q) for w, p, q in zip(quality.WEIGHTS, parts, theirs))
+    assert quality.np.allclose(profiles.divergences(counts), want, atol=1e-4)
 
 
 # 7
