@@ -427,7 +427,7 @@ def test_messages_count_sources_of_documents_with_placeholders(spark):
 
 def test_residue_hints_pass_what_the_rules_know(spark):
     bad = ["Ошибка 500: Внутренняя ошибка сервера", "Ошибка 403. Доступ запрещён", "Xato 403: Kirish taqiqlangan", "Warning: require() failed", "Warning: mysql_connect() failed", "Warning: pg_connect() failed"]
-    bad += [f"{code}: {p}" for code in (404, 503) for p in residue.STATUS] + residue.FILLER + ["502 Bad Gateway (502) " + "nginx " * 90, "Traceback (most recent call last) " + "in module " * 60]
+    bad += [f"{code}: {p}" for code in (404, 503) for p in residue.STATUS] + list(residue.FILLER) + ["502 Bad Gateway (502) " + "nginx " * 90, "Traceback (most recent call last) " + "in module " * 60]
     likely = ["Пройдите captcha и продолжайте", "Сайт защищён от ddos атак"]
     good = ["Ошибка в отчёте сервера исправлена.", "Сахар требует контроля."]
     rows = [*((k + 300 * n, t, f"s{n}") for n in range(2) for k, t in enumerate(bad)), *((1000 + 10 * k + n, t, f"s{n}") for k, t in enumerate(likely) for n in range(3)), *((2000 + k, t, "s") for k, t in enumerate(good))]
