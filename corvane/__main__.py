@@ -56,6 +56,7 @@ def main() -> None:
     p.add_argument("--in", dest="source", default=".")
     p.add_argument("--out", required=True)
     p.add_argument("--raw")
+    p.add_argument("--run-id", default="run", help="names the run in logs of failures")
     p.add_argument("--only", choices=["backfill", "primary"])
     p.add_argument("--only-format", choices=["docx", "doc"])
     p.add_argument("--only-unknown", action="store_true")
@@ -74,6 +75,16 @@ def main() -> None:
     for name, df in out.items():
         mode = "append" if name in ("parsed_word", "parsed_docling", "page_info", "visual_manifest") and not a.force and a.stage in ("word", "pdf") else "overwrite"
         df.write.mode(mode).parquet(os.path.join(a.out, name))
+    stored = lambda name: spark.read.parquet(os.path.join(a.out, name))
+    if a.stage == "word":
+        writers.append_failures(stored("word_failures"), os.path.join(a.out, "word_failures_log"), a.run_id)
+        writers.write_word_artefacts(stored("parsed_word"), os.path.join(a.out, "parsed_word_files"))
+    if a.stage == "pdf":
+        writers.append_failures(stored("failures"), os.path.join(a.out, "failures_log"), a.run_id)
+        writers.write_manifests(stored("visual_manifest"), os.path.join(a.out, "visual_manifests"))
+    if a.stage == "validate":
+        for name in ("quality_report", "needs_review", "visual_review", "duplicates"):
+            writers.write_csv(stored(name), os.path.join(a.out, f"{name}_csv"), mark=True)
     if "summary" in out:
         written = [spark.read.parquet(os.path.join(a.out, n)) for n in ("summary", "counters") if n in out]
         writers.write_summary(writers.summary_of(*written), os.path.join(a.out, f"{a.stage}_summary.json"))

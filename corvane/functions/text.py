@@ -48,6 +48,7 @@ def stable_id(c: Column, prefix: str) -> Column:
     return F.concat(F.lit(f"{prefix}_"), F.substring(F.md5(c.cast("binary")), 1, 12))
 
 
+# What cleaning replaces, in turn.
 _CLEANING = (
     (r"(?iuU)Ошибка!" + BLANK + r"*Закладка" + BLANK + r"*не" + BLANK + r"*опред[^\n]*", " "),
     (r"(?iuU)Error!" + BLANK + r"*Bookmark" + BLANK + r"*not" + BLANK + r"*defined[^\n]*", " "),
@@ -129,6 +130,7 @@ def has_code_marker(text: Column) -> Column:
     return any_of(F.lower(missing_as_empty(text)), R.CODE_MARKERS)
 
 
+# Signs of a bad text.
 BAD_PATTERNS = ("�{3,}", r"([^\n])\1{20,}", r"[\x{00}-\x{08}\x{0b}\x{0c}\x{0e}-\x{1f}]")
 
 

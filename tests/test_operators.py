@@ -195,6 +195,8 @@ def test_incremental_listing(spark, tmp_path):
             (tree / n).write_bytes(b"22")
     assert sorted(r.filename for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a.pdf", "b.docx"]
     assert readers.list_files(spark, str(tmp_path / "tree")).count() == 2
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path / "tree"))
+    assert sum(r.files for r in incremental.daily_counts(found).collect()) == 2
 
 
 def test_numbered_is_dense(spark):
@@ -323,3 +325,22 @@ def test_settings_from_texts(monkeypatch):
 def test_flag_ranking_ties_by_first_seen(spark):
     rows = spark.createDataFrame([("v2", "b; a"), ("v1", "c; b"), ("v3", None), ("v4", "")], "variant_id string, review_flags string")
     assert [(r.flag, r.n) for r in validation.flag_ranking(rows).collect()] == [("b", 2), ("c", 1), ("a", 1)]
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    import sys
+
+    from corvane import __main__ as cli
+
+    root, out = tmp_path / "raw", tmp_path / "out"
+    for path, content in {"К/Б/протокол_ru.docx": docx("Клинический протокол лечения. " * 30), "К/В/протокол_ru.pdf": make_pdf((100, 200, [b"Code I10"]), (100, 200, []))}.items():
+        (root / path).parent.mkdir(parents=True, exist_ok=True)
+        (root / path).write_bytes(content)
+    monkeypatch.setattr(cli.SparkSession.builder.__class__, "getOrCreate", lambda self: spark, raising=False)
+    for stage in ("registry", "queue", "word", "pdf", "merge", "validate", "word", "pack"):
+        monkeypatch.setattr(sys, "argv", ["corvane", stage, "--in", str(out), "--out", str(out), "--raw", str(root)])
+        cli.main()
+    assert spark.read.parquet(str(out / "parsed_word")).count() == 1 and spark.read.parquet(str(out / "parsed_docling")).count() == 1
+    assert json.loads((out / "validate_summary.json").read_text())["total_rows"] == 1
+    assert json.loads((out / "word_summary.json").read_text())["skipped_existing"] == 1
+    assert (tmp_path / "out.zip").exists()
